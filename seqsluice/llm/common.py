@@ -36,7 +36,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
@@ -61,6 +61,11 @@ def words_of(data: bytes) -> list[bytes]:
     return data.translate(WORD_BYTES).split()
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with _d and _t, by which results are joined back to rows: the id (null as the least long) and a hash of the text. Rows that share both are alike in every decision."""
+    return docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")), "_t": F.xxhash64("text")})
+
+
 def in_learning_fold(doc_id: str = "doc_id") -> Column:
     """Whether crc32(doc_id as text) mod 5 is not 0; a null id counts as the empty text, of the held-out remainder 0."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 != 0
