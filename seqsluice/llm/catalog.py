@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, line_dedup, mixing, token_counts, topk, toxicity, url_filter
+from . import decontaminate, jaccard_join, language, line_dedup, mixing, token_counts, topk, toxicity, url_filter
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_decontaminate, op5_line_dedup, op6_mix_sources, op7_toxicity, op8_url_filter, op9_language, op10_exact_topk)}
+    return {f.__name__: f for f in (op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_line_dedup, op6_mix_sources, op7_toxicity, op8_url_filter, op9_language, op10_exact_topk)}
 
 
 def oracle_sql() -> dict[str, str]:
