@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language, line_dedup, mixing, token_counts, topk, toxicity, url_filter
+from . import decontaminate, jaccard_join, language, line_dedup, mixing, substring_dedup, token_counts, topk, toxicity, url_filter
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
 
@@ -47,10 +52,12 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_line_dedup, op6_mix_sources, op7_toxicity, op8_url_filter, op9_language, op10_exact_topk)}
+    found = (op1_substring_dedup, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_line_dedup, op6_mix_sources, op7_toxicity, op8_url_filter, op9_language, op10_exact_topk)
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
+    """Of the queries that SQL can express."""
     return {
         "op5_line_dedup": line_dedup.oracle(),
         "op6_mix_sources": mixing.oracle(),
