@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .common import keyed, materialise
 
 FIRST = ("_d", "_t", "i")
+#: Letters whose counts tell lines apart before their texts are compared.
+LETTERS = "etaoinsrhldcumgb"
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
@@ -25,41 +27,56 @@ def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
     return (1 + (i - 1) * short + longer_before).cast("int"), (short + F.when(F.lit(parts - i) < rest, 1).otherwise(0)).cast("int")
 
 
-def _key(line: str, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring(line, start, size))
+def _key(length: Column, i: int, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, F.lit(i), F.substring("line", start, size))
 
 
-def _index(lines: DataFrame, most: int) -> DataFrame:
-    n = F.char_length("line")
-    keys = [_key("line", n, i, *_segment(n, i, most + 1)) for i in range(1, most + 2)]
-    return lines.select("h", F.explode(F.array(*keys)).alias("key"))
+def _letters() -> Column:
+    """Counts of LETTERS in the line, modulo 16, four bits each."""
+    n = lambda c: (F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c), F.lit("")))) % 16
+    out = F.lit(0).cast("long")
+    for k, c in enumerate(LETTERS):
+        out = out.bitwiseOR(F.shiftleft(n(c).cast("long"), 4 * k))
+    return out
+
 
+def _may_match(a: Column, b: Column, most: int) -> Column:
+    """Whether the letters allow `most` edits: an edit adds a letter at most and takes one at most."""
+    more, less = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        x, y = (F.shiftrightunsigned(v, 4 * k).bitwiseAND(F.lit(15).cast("long")) for v in (a, b))
+        d = (x - y + 16).bitwiseAND(F.lit(15).cast("long"))
+        more += F.when(d < 8, d).otherwise(0)
+        less += F.when(d >= 8, 16 - d).otherwise(0)
+    return (more <= most) & (less <= most)
 
-def _keys_at(starts: Column, length: Column, i: int, size: Column) -> Column:
-    return F.transform(starts, lambda p: _key("line", length, i, p, size))
+
+def _index(lines: DataFrame, most: int) -> DataFrame:
+    keys = [_key(F.col("n_chars"), i, *_segment(F.col("n_chars"), i, most + 1)) for i in range(1, most + 2)]
+    return lines.select(F.col("h").alias("b"), F.col("letters").alias("letters_b"), F.explode(F.array(*keys)).alias("key"))
 
 
 def _probes(lines: DataFrame, most: int) -> DataFrame:
     """For each length up to `most` shorter than the line, the substrings that a segment of such a line can meet within `most` edits (multi-match-aware windows)."""
-    n = F.char_length("line")
-    found = []
+    n = F.col("n_chars")
+    keys = []
     for shorter in range(most + 1):
         for i in range(1, most + 2):
-            length = (n - shorter).cast("int")
+            length = n - shorter
             start, size = _segment(length, i, most + 1)
-            low = F.greatest(F.lit(1), start - (i - 1), start + (shorter - (most + 1 - i)))
-            high = F.least(n - size + 1, start + (i - 1), start + (shorter + most + 1 - i))
-            at = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-            found.append(_keys_at(at, length, i, size))
-    return lines.select("h", F.explode(F.flatten(F.array(*found))).alias("key"))
+            for shift in range(max(1 - i, shorter - (most + 1 - i)), min(i - 1, shorter + most + 1 - i) + 1):
+                at = start + shift
+                keys.append(F.when((at >= 1) & (at + size <= n + 1), _key(length, i, at, size)))
+    return lines.select(F.col("h").alias("a"), F.col("letters").alias("letters_a"), F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
 
 
 def removals(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
     """(_d, _t, removed, near): numbers (from 0) of each document's removed lines, and how many of them have no exact twin before."""
     by_first = F.struct(*FIRST)
-    distinct = materialise(_lines(docs, least).groupBy("h", "g").agg(F.min(by_first).alias("first"), F.count("*").alias("n"), F.any_value("line").alias("line")), "lines")
+    distinct = _lines(docs, least).groupBy("h", "g").agg(F.min(by_first).alias("first"), F.count("*").alias("n"), F.any_value("line").alias("line"))
+    distinct = materialise(distinct.withColumns({"n_chars": F.char_length("line"), "letters": _letters()}), "lines")
     # A probing line and an indexed one of no greater length share a segment; equal lines share h.
-    pairs = _probes(distinct, most).withColumnRenamed("h", "a").join(_index(distinct, most).withColumnRenamed("h", "b"), "key").where("a <> b")
+    pairs = _probes(distinct, most).join(_index(distinct, most), "key").where((F.col("a") != F.col("b")) & _may_match(F.col("letters_a"), F.col("letters_b"), most))
     pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     met = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = materialise(distinct.join(met, "h", "left_semi").select("h", "first", "line"), "line-texts")
@@ -85,8 +102,8 @@ def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
     Shorter and blank lines stay.
 
     Distinct lines are split into most + 1 segments, of which an edit join's match must hold one unchanged; segments are
-    indexed by length, number and content, probed by each line's substrings at the places that can match, and pairs that
-    meet are verified with the banded edit distance. Equal lines are one before the join, so neither a hot line nor a group of copies multiplies.
+    indexed by length, number and content, and probed by each line's substrings at the places that can match. Lines that
+    meet are a pair only if their counts of letters allow so few edits, and pairs are verified with the banded edit distance. Equal lines are one before the join, so neither a hot line nor a group of copies multiplies.
 
     A null text has no line and stays null; an empty one has one empty line. A null doc_id sorts first. Rows equal in id and text are one document here: their lines don't count as repeats of each other. Columns of docs with the names of results are replaced.
     """
