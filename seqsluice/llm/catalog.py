@@ -59,6 +59,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Of the queries that SQL can express."""
     return {
+        "op3_decontaminate": decontaminate.oracle(),
+        "op4_jaccard_join": jaccard_join.oracle(),
         "op5_line_dedup": line_dedup.oracle(),
         "op6_mix_sources": mixing.oracle(),
         "op8_url_filter": url_filter.oracle(),

@@ -224,3 +224,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, limit: float =
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     return decontaminate(docs.select("doc_id", "text"), items).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def oracle(n: int = 10) -> str:
+    """report() in DuckDB's SQL: all windows of all documents, joined as text."""
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""WITH i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, w, least({n}, len(w)) AS m FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item, m, array_to_string(w[k : k + m - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS k FROM i)),
+d AS (SELECT doc_id, {words} AS w FROM documents),
+dw AS (SELECT doc_id, m, k, array_to_string(w[k : k + m - 1], ' ') AS s FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM i) WHERE len(w) >= m)),
+h AS (SELECT doc_id, m, k, item FROM dw JOIN iw USING (m, s)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + m)) AS p FROM h) GROUP BY 1),
+g AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id)"""

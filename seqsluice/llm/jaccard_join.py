@@ -116,7 +116,7 @@ def _brute(alike: int):
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         same = (_matrix(b.column(2)) == _matrix(b.column(4))).sum(1) if b.num_rows else []
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(same, pa.int32())], names=["path", "node", "tokens", "pivot", "same"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], b.column(5), pa.array(same, pa.int32())], names=["path", "node", "tokens", "pivot", "n", "same"])
 
 
 def _token(place: Column) -> Column:
@@ -124,6 +124,23 @@ def _token(place: Column) -> Column:
     return F.substring("tokens", place * 4 + 1, F.lit(4))
 
 
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Child buckets of large ones: 2^w children for a bucket of over 2^(w-1) BUCKET sets, each by w sampled tokens that the path picks."""
+    for b in batches:
+        path, node, size = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        x = _matrix(b.column(2)).astype(np.uint64) if b.num_rows else None
+        for p in np.unique(path):
+            rows = np.flatnonzero(path == p)
+            w = min(6, max(1, math.ceil(math.log2(size[rows[0]] / BUCKET))))
+            pick = np.random.default_rng(int(p) & ((1 << 63) - 1))
+            for j in range(1 << w):
+                h = np.full(len(rows), (int(p) + j * 0x9E3779B97F4A7C15) & ((1 << 64) - 1), np.uint64)
+                for place in pick.choice(TOKENS, w, replace=False):
+                    h = (h ^ x[rows, place]) * np.uint64(0xD6E8FEB86659FD93)
+                    h ^= h >> np.uint64(32)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(node[rows]), b.column(2).take(pa.array(rows))], names=["path", "node", "tokens"])
+
+
 def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: float = 0.2) -> DataFrame:
     """(a, b): links that connect all pairs of (node, tokens) which are as alike as `threshold`, but for a share of 1 - recall, and few others.
 
@@ -131,8 +148,8 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
     shares it with probability s, so log(1 - recall) / log(1 - threshold) runs reach the recall. Buckets of up to BUCKET
     sets are compared outright by all their sampled tokens; pairs that agree in a share of threshold - spare are linked. In
     a larger bucket all sets are compared with one pivot. Those that are linked with it need no link with each other, and
-    by the triangle inequality most of them can't be alike to a set that isn't: those leave. What stays is split by two
-    more tokens that the path picks, and so on until no bucket is large. All sets that share the buckets of another run in
+    by the triangle inequality most of them can't be alike to a set that isn't: those leave. What stays is split by some
+    more tokens that the path picks (the larger the bucket, the more tokens, and the more children), and so on until no bucket is large. All sets that share the buckets of another run in
     the same company are compared once."""
     alike = math.ceil((threshold - spare) * TOKENS)
     far = TOKENS - alike
@@ -144,21 +161,21 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
     while True:
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")).where("n > 1")
         once = sizes.where(F.col("n") <= BUCKET).groupBy("n", "who").agg(F.min("path").alias("path")).select("path", "n").unionByName(sizes.where(F.col("n") > BUCKET).select("path", "n"))
-        kept = materialise(rows.join(once, "path").join(sets, "node").select("path", "node", "tokens", "n"), f"buckets-{level}")
+        kept = rows.join(once, "path")
+        kept = materialise((kept if level else kept.join(sets, "node")).select("path", "node", "tokens", "n"), f"buckets-{level}")
         small = kept.where(F.col("n") <= BUCKET).select("path", "node", "tokens").repartition("path").sortWithinPartitions("path")
         found = small.mapInArrow(_brute(alike), "a long, b long")
-        large = kept.where(F.col("n") > BUCKET).select("path", "node", "tokens")
+        large = kept.where(F.col("n") > BUCKET).select("path", "node", "tokens", "n")
         if large.limit(1).count():
             pivots = large.groupBy("path").agg(F.min("node").alias("pivot")).join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("other")), "pivot")
-            beside = large.join(pivots, "path").select("path", "node", "tokens", "pivot", "other")
-            beside = materialise(beside.mapInArrow(_agree, "path long, node long, tokens binary, pivot long, same int"), f"pivots-{level}")
+            beside = large.join(pivots, "path").select("path", "node", "tokens", "pivot", "other", "n")
+            beside = materialise(beside.mapInArrow(_agree, "path long, node long, tokens binary, pivot long, n long, same int"), f"pivots-{level}")
             found = found.unionByName(beside.where((F.col("same") >= alike) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
             apart = TOKENS - F.col("same")
             nearest = beside.where(apart > far).groupBy("path").agg(F.min(apart).alias("nearest"))
             stay = beside.join(nearest, "path").where((apart > far) | (apart >= F.col("nearest") - far))
             level += 1
-            children = [F.xxhash64("path", F.lit(j), _token(F.pmod(F.xxhash64("path", F.lit(j)), F.lit(TOKENS)).cast("int"))) for j in (1, 2)]
-            rows = stay.select("node", F.explode(F.array_distinct(F.array(*children))).alias("path"))
+            rows = stay.select("path", "node", "tokens", "n").mapInArrow(_split, "path long, node long, tokens binary")
         found = materialise(found, "links")
         links = found if links is None else links.unionByName(found)
         if not large.limit(1).count():
@@ -257,3 +274,17 @@ def join(docs: DataFrame, threshold: float = 0.8, k: int = 5, recall: float = 0.
     out = whole.join(per_row, ["_d", "_t"], "left")
     label = F.coalesce("class_id", "_d")
     return out.select(*own, F.when(label != -(2**63), label).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def oracle(threshold: float = 0.8, k: int = 5) -> str:
+    """(doc_id, class_id, n_links) in DuckDB's SQL, by counting shared shingles of all pairs that share one."""
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, {words} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {k - 1}], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - {k - 1}, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE x >= {threshold} * (na.c + nb.c) / {1 + threshold} - 1e-9),
+r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+m AS (SELECT node, min(root) AS class_id FROM r GROUP BY 1),
+t AS (SELECT a, count(*) AS n_links FROM l GROUP BY 1)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM documents JOIN m ON node = doc_id LEFT JOIN t ON a = doc_id"""
