@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,3 +75,19 @@ def in_learning_fold(doc_id: str = "doc_id") -> Column:
 
 def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that rows of one value of the first column, by which they are sorted, stay together."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+        if last or held and held[-1].column(0)[-1].as_py() != key[0]:
+            yield pa.Table.from_batches([*held, b.slice(0, last)]).combine_chunks().to_batches()[0]
+            held = []
+        held.append(b.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialise, text_bytes
+from .common import keyed, materialise, text_bytes, whole_groups
 from .components import components
 from .shingles import minima, shingle_sets
 
@@ -72,22 +72,6 @@ class Forest:
             self.links.append((x, y))
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that rows of one value of the first column, by which they are sorted, stay together."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        key = b.column(0).to_numpy(zero_copy_only=False)
-        last = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
-        if last or held and held[-1].column(0)[-1].as_py() != key[0]:
-            yield pa.Table.from_batches([*held, b.slice(0, last)]).combine_chunks().to_batches()[0]
-            held = []
-        held.append(b.slice(last))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _matrix(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(len(col), TOKENS)
 
@@ -96,7 +80,7 @@ def _brute(alike: int):
     """Links between sets of one bucket whose sampled tokens agree in `alike` places or more: a spanning forest of them, not all pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _whole_groups(batches):
+        for b in whole_groups(batches):
             path, node, x = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False), _matrix(b.column(2))
             forest = Forest()
             live = np.arange(len(path) - 1)
@@ -186,7 +170,7 @@ def _exact(threshold: float):
     """Exact similarities inside a task (one block of a component, or a pair of blocks): each set's links to others, weighted by their copies, and a spanning forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _whole_groups(batches):
+        for b in whole_groups(batches):
             task = b.column(0).to_numpy(zero_copy_only=False)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(task)) + 1, [len(task)]])
             node, part, copies, paired = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 5))

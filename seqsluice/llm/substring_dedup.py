@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, keyed, materialise, text_bytes
+from .common import discard, keyed, materialise, text_bytes, whole_groups
 
 #: Bytes of a repeated string, of the grams that anchor the suffixes, and of the context beside a gram that a string through it can reach.
 LENGTH, GRAM = 200, 64
@@ -18,6 +18,8 @@ SIDE = LENGTH - GRAM
 #: Stands between documents; no byte equals it.
 GAP = 256
 TILE, HALO = 1 << 17, 512
+#: Suffixes of one gram that a task may compare at once after a split; those of more are compared window by window.
+TOGETHER = 20_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CODES = np.random.default_rng(3).integers(1, 1 << 63, GAP + 1, dtype=np.uint64)
 KEY = ["g", "l", "r"]
@@ -222,29 +224,56 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ.any(1), differ.argmax(1), a.shape[1])
 
 
+def _sorted(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Suffixes in order, the bytes before them, their keys, the order, and the number of each one's gram."""
+    suffix = _padded(rows["suffix"].to_pylist(), LENGTH, False)
+    before = _padded(rows["before"].to_pylist(), SIDE, True)
+    order = multikey_sort(np.ascontiguousarray(suffix.astype(">u2")).view(">u8"))
+    suffix, before = suffix[order], before[order]
+    group = np.cumsum(np.concatenate([[0], (suffix[1:, :GRAM] != suffix[:-1, :GRAM]).any(1)]))
+    return suffix, before, [rows[k].to_numpy()[order] for k in KEY], order, group
+
+
+SUFFIX = "g long, l long, r long, suffix binary, before binary"
+REACH = "g long, l long, r long, left long, right long"
+
+
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts one bucket's suffixes and compares those of one gram. The first and last gram may go on in the buckets beside: their windows are passed on for the comparison across boundaries."""
+    """Sorts one bucket's suffixes and compares those of one gram. The first and last gram may go on in the buckets beside, so their suffixes are passed on for the comparison across boundaries."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
         return
     rows = pa.Table.from_batches(parts)
-    suffix = _padded(rows["suffix"].to_pylist(), LENGTH, False)
-    before = _padded(rows["before"].to_pylist(), SIDE, True)
-    keys = [rows[k].to_numpy() for k in KEY]
-    order = multikey_sort(np.ascontiguousarray(suffix.astype(">u2")).view(">u8"))
-    suffix, before, keys = suffix[order], before[order], [k[order] for k in keys]
-    group = np.cumsum(np.concatenate([[0], (suffix[1:, :GRAM] != suffix[:-1, :GRAM]).any(1)]))
+    suffix, before, keys, order, group = _sorted(rows)
     edge = (group == 0) | (group == group[-1])
     inner = np.flatnonzero(~edge)
     far_l, far_r = _reach(suffix[inner], before[inner], group[inner])
     hit = far_l >= 0
-    none = pa.nulls(int(hit.sum()), pa.int64())
-    yield pa.RecordBatch.from_arrays([*(pa.array(k[inner][hit]) for k in keys), pa.array(far_l[hit]), pa.array(far_r[hit]), none], names=[*KEY, "left", "right", "window"])
-    outer = np.flatnonzero(edge)
-    for offset, at, h in _window_hashes(np.concatenate([before[outer], suffix[outer]], axis=1)):
-        if len(at):
-            o = np.full(len(at), offset)
-            yield pa.RecordBatch.from_arrays([*(pa.array(k[outer[at]]) for k in keys), pa.array(o), pa.array(SIDE - o), pa.array(_signed(h))], names=[*KEY, "left", "right", "window"])
+    none = pa.nulls(int(hit.sum()), pa.binary())
+    yield pa.RecordBatch.from_arrays([*(pa.array(k[inner][hit]) for k in keys), pa.array(far_l[hit]), pa.array(far_r[hit]), none, none], names=[*KEY, "left", "right", "suffix", "before"])
+    outer = rows.take(pa.array(order[edge]))
+    none = pa.nulls(outer.num_rows, pa.int64())
+    cols = [outer[k].combine_chunks() for k in KEY] + [none, none] + [outer[k].combine_chunks() for k in ("suffix", "before")]
+    yield pa.RecordBatch.from_arrays(cols, names=[*KEY, "left", "right", "suffix", "before"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares all suffixes of each gram; rows of a gram are together."""
+    for b in whole_groups(batches):
+        suffix, before, keys, _, group = _sorted(b)
+        far_l, far_r = _reach(suffix, before, group)
+        hit = far_l >= 0
+        yield pa.RecordBatch.from_arrays([*(pa.array(k[hit]) for k in keys), pa.array(far_l[hit]), pa.array(far_r[hit])], names=[*KEY, "left", "right"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All windows through each gram, as hashes."""
+    for b in batches:
+        if b.num_rows:
+            suffix, before = _padded(b["suffix"].to_pylist(), LENGTH, False), _padded(b["before"].to_pylist(), SIDE, True)
+            for o, at, h in _window_hashes(np.concatenate([before, suffix], axis=1)):
+                left = np.full(len(at), o)
+                yield pa.RecordBatch.from_arrays([*(pa.array(b[k].to_numpy()[at]) for k in KEY), pa.array(left), pa.array(SIDE - left), pa.array(_signed(h))], names=[*KEY, "left", "right", "window"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,11 +317,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     suffixes = texts.join(wanted, ["_d", "_t"]).select("data", "wanted").mapInArrow(_contexts, "suffix binary, before binary, g long, l long, r long")
     suffixes = materialise(suffixes, "suffixes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = materialise(suffixes.repartitionByRange(parts, "suffix", "l", "r").mapInArrow(_bucket, "g long, l long, r long, left long, right long, window long"), "buckets")
-    across = buckets.where("window IS NOT NULL")
-    shared = across.groupBy("window", "left").count().where("count > 1").select("window", "left")
-    across = across.join(shared, ["window", "left"]).select(*KEY, "left", "right")
-    reach = buckets.where("window IS NULL").select(*KEY, "left", "right").unionByName(across).groupBy(*KEY).agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    buckets = materialise(suffixes.repartitionByRange(parts, "suffix", "l", "r").mapInArrow(_bucket, f"{REACH}, suffix binary, before binary"), "buckets")
+    edges = buckets.where("suffix IS NOT NULL").select(*KEY, "suffix", "before")
+    sizes = edges.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
+    small = edges.join(sizes.where(F.col("n") <= TOGETHER).select("g"), "g").repartition("g").sortWithinPartitions("g").mapInArrow(_across, REACH)
+    large = edges.join(sizes.where(F.col("n") > TOGETHER).select("g"), "g").mapInArrow(_windows, f"{REACH}, window long")
+    shared = large.groupBy("window", "left").count().where("count > 1").select("window", "left")
+    large = large.join(shared, ["window", "left"]).select(*KEY, "left", "right")
+    reach = buckets.where("suffix IS NULL").select(*KEY, "left", "right").unionByName(small).unionByName(large).groupBy(*KEY).agg(F.max("left").alias("left"), F.max("right").alias("right"))
     single = contexts.where("n = 1").join(reach, KEY).select("first._d", "first._t", (F.col("first.pos") - F.col("left")).alias("start"), (F.col("first.pos") + GRAM + F.col("right")).alias("end"))
     return materialise(spans.unionByName(single).groupBy("_d", "_t").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
 
@@ -305,9 +337,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     once can't be in a repeated window and goes first. Suffixes whose context on both sides occurs again are settled by
     that. The others go, with one of each context of their gram, to buckets between sampled splitters of their leading
     bytes; a bucket is sorted by multikey quicksort, and neighbours of one gram are compared in both directions. Splitters can
-    fall inside a gram's suffixes, even equal ones; those of a bucket's first and last gram are compared across boundaries, window by window.
+    fall inside a gram's suffixes, even equal ones; those of a bucket's first and last gram are compared across boundaries,
+    up to TOGETHER of a gram in one task, more of them by counting their windows.
 
-    Hot passages are counted before any join, and no task gathers a gram: it is split between buckets like others.
+    Hot passages are counted before any join, and no task gathers more than TOGETHER suffixes of a gram.
     Null texts are empty. Rows equal in id and text are separate documents, so each repeats the other. An empty table gives no rows. Columns of docs with the names of results are replaced.
     """
     own = [c for c in docs.columns if c not in RESULTS]

@@ -43,8 +43,9 @@ def corpus(rng):
     return texts
 
 
-@pytest.mark.parametrize("parts", [4, 60])
-def test_matches_brute_force(spark, parts):
+@pytest.mark.parametrize(("parts", "together"), [(4, 20_000), (60, 20_000), (60, 5)])
+def test_matches_brute_force(spark, monkeypatch, parts, together):
+    monkeypatch.setattr(sd, "TOGETHER", together)
     texts = corpus(random.Random(8))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
