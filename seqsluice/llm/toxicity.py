@@ -140,11 +140,11 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([y] * len(words), pa.int64())], names=["word", "toxic"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, most_terms: int = 512, evidence: float = 25.0, share: float = 0.03, k: int = 25) -> Index:
+def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, most_terms: int = 512, evidence: float = 25.0, share: float = 0.03, least: int = 6, k: int = 25) -> Index:
     """The index of a bounded sample: the `examples` labelled documents of the learning fold that come first by md5(doc_id).
 
     Terms are the words and beginnings whose presence goes with the label: chi-square of at least `evidence`, the most_terms highest, and
-    in at least `share` of the toxic or of the other documents, so that the words of one group of copies don't count as signs. Equal texts of the sample count once.
+    in at least `share` of the toxic or of the other documents (and in `least` documents), so that the words of one group of copies don't count as signs. Equal texts of the sample count once.
     The ids of the sample are broadcast to find its texts; only the vectors over those terms reach the driver."""
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     chosen = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p")).orderBy("p", "toxic").limit(examples).drop("p").dropDuplicates(["doc_id"])
@@ -154,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, most_terms:
     a, c = F.col("a"), F.col("c")
     seen = sample.select("text", "toxic").mapInArrow(_distinct_words, "word binary, toxic long").groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("c"))
     chi = n * F.pow(a * (n - pos) - (c - a) * pos, 2) / (F.lit(float(max(pos, 1))) * max(n - pos, 1) * c * F.greatest(F.lit(1), n - c))
-    common = (a >= share * pos) | (c - a >= share * (n - pos))
+    common = ((a >= share * pos) | (c - a >= share * (n - pos))) & (c >= least)
     picked = seen.withColumn("chi", chi).where(common & (F.col("chi") >= evidence)).orderBy(F.desc("chi"), "word").limit(most_terms).select("word", "c").collect()
     picked = sorted((bytes(r.word), r.c) for r in picked)
     index = Index({w: i for i, (w, _) in enumerate(picked)}, np.array([math.log(1 + n / c) for _, c in picked]), np.empty(0, np.int64), np.empty(0), k)
