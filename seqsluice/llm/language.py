@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, in_learning_fold
+from .common import batch, in_learning_fold, keyed
 
 OUT = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
 #: All ASCII bytes but letters are blanks.
@@ -98,15 +98,16 @@ def learn(docs: DataFrame, each: int = 300, dims: int = 4096, most_langs: int =
     """Fitted on at most `each` documents of each language, the first by md5(doc_id), of the learning fold; at most most_langs languages, the most frequent.
 
     That sample is the only part of the data that reaches the driver, as rows of `dims` counts. None without any labelled row."""
-    known = docs.where(in_learning_fold() & F.col("lang").isNotNull())
+    known = keyed(docs).where(in_learning_fold() & F.col("lang").isNotNull()).select("_d", "_t", "lang", "text", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("p"))
     langs = sorted(r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect())
     if not langs:
         return None
-    place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sample = None
+    chosen = None
     for k, lang in enumerate(langs):
-        part = known.where(F.col("lang") == lang).select(F.lit(k).alias("y"), "text", place.alias("p")).orderBy("p", "text").limit(each)
-        sample = part if sample is None else sample.unionByName(part)
+        part = known.where(F.col("lang") == lang).select(F.lit(k).alias("y"), "_d", "_t", "p").orderBy("p", "_t").limit(each)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # The ids chosen are at most each * most_langs; their texts are fetched where they lie.
+    sample = known.select("_d", "_t", "text").join(F.broadcast(chosen.select("y", "_d", "_t").distinct()), ["_d", "_t"]).groupBy("y", "_d", "_t").agg(F.any_value("text").alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
