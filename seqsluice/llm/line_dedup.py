@@ -9,7 +9,7 @@ from .common import keyed, materialise
 
 FIRST = ("_d", "_t", "i")
 #: Letters whose counts tell lines apart before their texts are compared.
-LETTERS = "etaoinsrhldcumgb"
+LETTERS = "etaoinsr"
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
@@ -19,16 +19,19 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     return own.withColumns({"h": F.xxhash64("line"), "g": F.hash("line")})
 
 
-def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start and length of the i-th of `parts` segments of a line of n characters; the last ones are the longer."""
-    short = F.floor(n / parts)
-    rest = n - short * parts
-    longer_before = F.greatest(F.lit(0), F.lit(i - 1 - parts) + rest)
-    return (1 + (i - 1) * short + longer_before).cast("int"), (short + F.when(F.lit(parts - i) < rest, 1).otherwise(0)).cast("int")
+def _keys(lines: DataFrame, places: list[tuple[int, int, int]], most: int) -> DataFrame:
+    """(h, letters, key) of substrings of each line. A place (shorter, i, shift) is where the i-th of most + 1 segments of a line that is so many characters shorter would be, shifted; the last segments are the longer.
 
-
-def _key(length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), F.substring("line", start, size))
+    The places are a small table that each line is exploded by, so the plan's code stays short whatever their number."""
+    parts = most + 1
+    table = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("shorter", "i", "shift"))]) for p in places])
+    rows = lines.select("h", "letters", "n_chars", "line", F.explode(table).alias("p")).select("h", "letters", "n_chars", "line", "p.i", "p.shift", (F.col("n_chars") - F.col("p.shorter")).alias("length"))
+    short = F.floor(F.col("length") / parts).cast("int")
+    rest = F.pmod("length", F.lit(parts))
+    start = 1 + (F.col("i") - 1) * short + F.greatest(F.lit(0), F.col("i") - 1 - parts + rest) + F.col("shift")
+    size = short + F.when(parts - F.col("i") < rest, 1).otherwise(0)
+    rows = rows.where((start >= 1) & (start + size <= F.col("n_chars") + 1))
+    return rows.select("h", "letters", F.xxhash64("length", "i", F.substring("line", start, size)).alias("key"))
 
 
 def _letters() -> Column:
@@ -52,22 +55,17 @@ def _may_match(a: Column, b: Column, most: int) -> Column:
 
 
 def _index(lines: DataFrame, most: int) -> DataFrame:
-    keys = [_key(F.col("n_chars"), i, *_segment(F.col("n_chars"), i, most + 1)) for i in range(1, most + 2)]
-    return lines.select(F.col("h").alias("b"), F.col("letters").alias("letters_b"), F.explode(F.array(*keys)).alias("key"))
+    return _keys(lines, [(0, i, 0) for i in range(1, most + 2)], most).withColumnsRenamed({"h": "b", "letters": "letters_b"})
 
 
 def _probes(lines: DataFrame, most: int) -> DataFrame:
     """For each length up to `most` shorter than the line, the substrings that a segment of such a line can meet within `most` edits (multi-match-aware windows)."""
-    n = F.col("n_chars")
-    keys = []
+    places = []
     for shorter in range(most + 1):
         for i in range(1, most + 2):
-            length = n - shorter
-            start, size = _segment(length, i, most + 1)
-            for shift in range(max(1 - i, shorter - (most + 1 - i)), min(i - 1, shorter + most + 1 - i) + 1):
-                at = start + shift
-                keys.append(F.when((at >= 1) & (at + size <= n + 1), _key(length, i, at, size)))
-    return lines.select(F.col("h").alias("a"), F.col("letters").alias("letters_a"), F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
+            low, high = max(1 - i, shorter - (most + 1 - i)), min(i - 1, shorter + most + 1 - i)
+            places += [(shorter, i, shift) for shift in range(low, high + 1)]
+    return _keys(lines, places, most).withColumnsRenamed({"h": "a", "letters": "letters_a"})
 
 
 def removals(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
