@@ -131,8 +131,10 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
     A run picks one sampled token for all sets and puts sets that share its value into a bucket; a pair of similarity s
     shares it with probability s, so log(1 - recall) / log(1 - threshold) runs reach the recall. Buckets of up to BUCKET
     sets are compared outright by all their sampled tokens; pairs that agree in a share of threshold - spare are linked. In
-    a larger bucket all sets are compared with one pivot. Those that are linked with it need no link with each other, and
-    by the triangle inequality most of them can't be alike to a set that isn't: those leave. What stays is split by some
+    a larger bucket all sets are compared with one pivot. Those alike to it are linked with it and need no link with each
+    other. If they outnumber those up to twice as far, these are linked with the pivot too: by the triangle inequality, no
+    set beyond can then be alike to the pivot's own, so those leave the bucket, and the component that is verified is at most
+    twice as large. Otherwise only those leave that can't be alike to a set that isn't linked. What stays is split by some
     more tokens that the path picks (the larger the bucket, the more tokens, and the more children), and so on until no bucket is large. All sets that share the buckets of another run in
     the same company are compared once."""
     alike = math.ceil((threshold - spare) * TOKENS)
@@ -154,10 +156,13 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
             pivots = large.groupBy("path").agg(F.min("node").alias("pivot")).join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("other")), "pivot")
             beside = large.join(pivots, "path").select("path", "node", "tokens", "pivot", "other", "n")
             beside = materialise(beside.mapInArrow(_agree, "path long, node long, tokens binary, pivot long, n long, same int"), f"pivots-{level}")
-            found = found.unionByName(beside.where((F.col("same") >= alike) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
             apart = TOKENS - F.col("same")
-            nearest = beside.where(apart > far).groupBy("path").agg(F.min(apart).alias("nearest"))
-            stay = beside.join(nearest, "path").where((apart > far) | (apart >= F.col("nearest") - far))
+            near, middle = apart <= far, (apart > far) & (apart <= 2 * far)
+            around = beside.groupBy("path").agg(F.count_if(near).alias("n1"), F.count_if(middle).alias("n2"), F.min(F.when(~near, apart)).alias("d1"), F.min(F.when(apart > 2 * far, apart)).alias("d2"))
+            beside = beside.join(around, "path").withColumn("dense", F.col("n2") <= F.col("n1"))
+            found = found.unionByName(beside.where((near | (F.col("dense") & middle)) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+            open_dense = (apart > 2 * far) | (middle & (apart >= F.col("d2") - far))
+            stay = beside.where(F.coalesce(F.when(F.col("dense"), open_dense).otherwise(~near | (apart >= F.col("d1") - far)), F.lit(False)))
             level += 1
             rows = stay.select("path", "node", "tokens", "n").mapInArrow(_split, "path long, node long, tokens binary")
         found = materialise(found, "links")
