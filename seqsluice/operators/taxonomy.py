@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RANKS
+from ..session import settled
 
 
 def merged_nodes(nodes: DataFrame, merged: DataFrame) -> DataFrame:
@@ -15,7 +16,7 @@ def merged_nodes(nodes: DataFrame, merged: DataFrame) -> DataFrame:
         step = chain.select(F.col("taxid").alias("target"), F.col("target").alias("next"))
         if chain.join(step, "target", "left_semi").isEmpty():
             break
-        chain = chain.join(step, "target", "left").select("taxid", F.coalesce("next", "target").alias("target")).where("taxid <> target")
+        chain = settled(chain.join(step, "target", "left").select("taxid", F.coalesce("next", "target").alias("target")).where("taxid <> target"))
     to = chain.join(nodes.select(F.col("taxid").alias("target"), F.col("parent").alias("p"), F.col("rank").alias("r")), "target").select("taxid", "p", "r")
     rows = nodes.join(to, "taxid", "left")
     return rows.select("taxid", F.coalesce("p", "parent").alias("parent"), F.coalesce("r", "rank").alias("rank"))
@@ -25,12 +26,14 @@ def lineages(nodes: DataFrame, rounds: int = 7) -> DataFrame:
     """(taxid, species, genus, family) of every node: of each rank the topmost node on the way to the root, itself included; -1 without one.
 
     Pointer doubling: after k rounds a node knows 2^k steps of its way, so seven rounds reach a depth of 128, and a cycle
-    just ends there. Each round is one join of the table with itself."""
+    just ends there. Each round is one join of the table with itself; the first without a node on its way is the last."""
     rank = {r: F.when(F.col("rank") == r, F.col("taxid")) for r in RANKS}
     table = nodes.select("taxid", F.col("parent").alias("up"), *[rank[r].alias(r) for r in RANKS])
     for _ in range(rounds):
         above = table.select(F.col("taxid").alias("up"), F.col("up").alias("up2"), *[F.col(r).alias(f"up_{r}") for r in RANKS])
-        table = table.join(above, "up", "left").select("taxid", F.col("up2").alias("up"), *[F.coalesce(f"up_{r}", r).alias(r) for r in RANKS])
+        table = settled(table.join(above, "up", "left").select("taxid", F.col("up2").alias("up"), *[F.coalesce(f"up_{r}", r).alias(r) for r in RANKS]))
+        if table.where("up IS NOT NULL").isEmpty():
+            break
     return table.select("taxid", *[F.coalesce(r, F.lit(-1)).cast("int").alias(r) for r in RANKS])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Duplicate tag keys keep the last value; adaptive execution splits hot keys and picks joins by measured sizes.
 CONFS = {
@@ -25,3 +25,9 @@ def session(name: str = "seqsluice", **confs: str) -> SparkSession:
     for key, value in (CONFS | confs).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once, for loops whose plan else doubles each round: a checkpoint in the shared folder if the session names one, else a cache."""
+    sc = df.sparkSession.sparkContext
+    return df.checkpoint() if sc.getCheckpointDir() else df.persist()

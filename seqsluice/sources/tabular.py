@@ -18,35 +18,36 @@ def trimmed(text: DataFrame) -> DataFrame:
 
 
 def _fields(text: DataFrame, by: str = "\t") -> DataFrame:
-    return text.withColumn("f", F.split("value", by))
+    """text with its fields as an array f. It passes a generator so that filters on fields stay above the split, which else is done for each of them."""
+    return text.withColumn("f", F.explode(F.array(F.split("value", by))))
 
 
 def _at(i: int) -> Column:
     return F.get("f", F.lit(i))
 
 
-def _whole(i: int, kind: str) -> Column:
-    """A field as a number; null unless all of it is one. Lengths and counts have no sign."""
-    if kind == "long":
-        return F.when(F.rlike(_at(i), F.lit(r"^[0-9]+$")), _at(i).try_cast("long"))
-    return F.when(F.rlike(_at(i), F.lit(r"^\S+$")), _at(i).try_cast("double"))
+#: What a field of each type looks like; the last is a strand.
+FIELD = {"string": r"[^\t]*", "long": r"[0-9]{1,18}", "double": r"[^\t\s]+", "strand": "[+-]"}
+
+
+def _row_pattern(kinds: list[str]) -> str:
+    """A line whose first fields are of these types; lengths and counts have no sign, and nothing is trimmed inside."""
+    return "^" + r"\t".join(FIELD[k] for k in kinds) + r"(?:\t|$)"
 
 
 def parse_m8(text: DataFrame, wide: bool = True, strict: bool = False) -> DataFrame:
     """Rows of tabular alignments (14 columns, or 12 with lengths of 0). A row with a missing or malformed number is left out, or an error if strict; further columns are ignored; the accession loses its version."""
-    out = {}
-    for i, (name, kind) in enumerate(columns(M8)[:14 if wide else 12]):
-        out[name] = _at(i) if kind == "string" else _whole(i, kind)
+    fields = columns(M8)[: 14 if wide else 12]
+    pattern = _row_pattern([k for _, k in fields])
+    kept_lines = trimmed(text)
+    if strict:
+        kept_lines = kept_lines.select(F.when(F.rlike("value", F.lit(pattern)), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("malformed row: "), "value"))).alias("value"))
+    rows = _fields(kept_lines.where(F.rlike("value", F.lit(pattern))))
+    out = {n: _at(i) if k == "string" else _at(i).try_cast(k) for i, (n, k) in enumerate(fields)}
     out["tname"] = F.substring_index(out["tname"], ".", 1)
     if not wide:
         out |= {"qlen": F.lit(0).cast("long"), "slen": F.lit(0).cast("long")}
-    rows = _fields(trimmed(text)).select("value", *[c.alias(n) for n, c in out.items()])
-    whole = F.lit(True)
-    for n in out:
-        whole &= F.col(n).isNotNull()
-    if strict:
-        return rows.select(*[F.when(whole, F.col(n)).otherwise(F.raise_error(F.concat(F.lit("malformed row: "), "value"))).alias(n) for n in out])
-    return rows.where(whole).drop("value")
+    return rows.select(*[c.alias(n) for n, c in out.items()]).where("pident IS NOT NULL AND evalue IS NOT NULL AND bitscore IS NOT NULL")
 
 
 def hit_lines(text: DataFrame) -> DataFrame:
@@ -69,14 +70,11 @@ def tag_map(parts: Column) -> Column:
 
 def parse_paf(text: DataFrame) -> DataFrame:
     """PAF rows: 12 columns and tags. Rows that are short, have a bad number or a strand but + or - are left out, as are blank and # lines."""
-    names = columns(PAF)[:12]
-    cols = [(_at(i) if kind == "string" else _whole(i, kind)).alias(n) for i, (n, kind) in enumerate(names)]
-    rows = _fields(hit_lines(text)).where(F.size("f") >= 12)
-    rows = rows.select(*cols, tag_map(F.slice("f", 13, F.greatest(F.size("f") - 12, F.lit(0)))).alias("tags"))
-    ok = F.col("strand").isin("+", "-")
-    for n, _ in names:
-        ok &= F.col(n).isNotNull()
-    return rows.where(ok)
+    fields = columns(PAF)[:12]
+    pattern = _row_pattern(["strand" if n == "strand" else k for n, k in fields])
+    rows = _fields(hit_lines(text).where(F.rlike("value", F.lit(pattern))))
+    cols = [(_at(i) if k == "string" else _at(i).cast(k)).alias(n) for i, (n, k) in enumerate(fields)]
+    return rows.select(*cols, tag_map(F.slice("f", 13, F.greatest(F.size("f") - 12, F.lit(0)))).alias("tags"))
 
 
 def parse_sam(text: DataFrame) -> DataFrame:
