@@ -116,7 +116,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, width: int = 16, quer
     those stay whose score so far plus the product of the remaining norms (Cauchy-Schwarz) reaches the k-th best score yet.
 
     Only vectors of one length are compared. vec_id is a row's identity: rows that share an id are no candidates of each
-    other, and answer as one query. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
+    other, and answer as one query. Scores beyond 64 bits wrap around. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     space = quantised(vectors, scale)
