@@ -108,10 +108,11 @@ def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
     own = [c for c in docs.columns if c not in RESULTS]
     found = materialise(removals(docs, most, least), "line-removals")
     out = keyed(docs.select(*own)).join(found, ["_d", "_t"], "left")
-    lines = F.split("text", "\n")
-    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n"))
-    return out.select(*own, kept.alias("kept"), F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    # A generator holds the lines, else the lambda below would split the text for each of them.
+    out = out.withColumn("_lines", F.explode(F.array(F.split(F.coalesce("text", F.lit("")), "\n"))))
+    rest = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(rest, lambda i: F.get("_lines", i)), "\n"))
+    return out.select(*own, kept.alias("kept"), F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def report(docs: DataFrame) -> DataFrame:
