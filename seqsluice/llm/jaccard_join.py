@@ -18,7 +18,7 @@ from .shingles import minima, shingle_sets
 #: Sampled tokens of a set: its least members under so many hash functions.
 TOKENS = 64
 #: A bucket of more sets is split further.
-BUCKET = 200
+BUCKET = 1000
 #: Sets of a block of a large candidate component.
 BLOCK = 256
 

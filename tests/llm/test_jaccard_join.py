@@ -48,7 +48,7 @@ def corpus(rng, groups):
     return rows
 
 
-@pytest.mark.parametrize(("bucket", "block"), [(200, 256), (12, 16)])
+@pytest.mark.parametrize(("bucket", "block"), [(1000, 256), (12, 16)])
 def test_classes_and_links_match_brute_force(spark, monkeypatch, bucket, block):
     monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
