@@ -9,7 +9,7 @@ from .common import keyed, materialise
 
 FIRST = ("_d", "_t", "i")
 #: Letters whose counts tell lines apart before their texts are compared.
-LETTERS = "etaoinsr"
+LETTERS = "etaoinsrhldc"
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
