@@ -46,6 +46,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small(df: DataFrame, most: int = 16 << 20) -> DataFrame:
+    """What materialise() wrote, marked for a broadcast if its files are `most` bytes at most; beyond that it joins by a shuffle."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._work_path)
+    store = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    return F.broadcast(df) if store.getContentSummary(path).getLength() <= most else df
+
+
 def discard(df: DataFrame) -> None:
     """Deletes what materialise() wrote; df must not be read any more."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialise
+from .common import keyed, materialise, small
 
 FIRST = ("_d", "_t", "i")
 #: Letters whose counts tell lines apart before their texts are compared.
@@ -101,13 +101,13 @@ def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
 
     Distinct lines are split into most + 1 segments, of which an edit join's match must hold one unchanged; segments are
     indexed by length, number and content, and probed by each line's substrings at the places that can match. Lines that
-    meet are a pair only if their counts of letters allow so few edits, and pairs are verified with the banded edit distance. Equal lines are one before the join, so neither a hot line nor a group of copies multiplies.
+    meet are a pair only if their counts of letters allow so few edits, and pairs are verified with the banded edit distance. Equal lines are one before the join, so neither a hot line nor a group of copies multiplies. The list of removals is broadcast to the documents if its files are small, and joined by a shuffle otherwise.
 
     A null text has no line and stays null; an empty one has one empty line. A null doc_id sorts first. Rows equal in id and text are one document here: their lines don't count as repeats of each other. Columns of docs with the names of results are replaced.
     """
     own = [c for c in docs.columns if c not in RESULTS]
     found = materialise(removals(docs, most, least), "line-removals")
-    out = keyed(docs.select(*own)).join(found, ["_d", "_t"], "left")
+    out = keyed(docs.select(*own)).join(small(found), ["_d", "_t"], "left")
     # A generator holds the lines, else the lambda below would split the text for each of them.
     out = out.withColumn("_lines", F.explode(F.array(F.split(F.coalesce("text", F.lit("")), "\n"))))
     rest = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
