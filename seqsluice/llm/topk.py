@@ -89,20 +89,22 @@ class Searcher:
         self.best[i] = score[order], ids[order]
 
 
-def _local_best(queries: list[tuple[int, list[int]]], k: int, width: int):
+def _local_best(queries: list[tuple[int, list[int], int]], k: int, width: int):
+    """The best k pairs of a task for each query, which is (id, vector, number of equal rows); each of its rows makes a pair with a candidate."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[int, list] = {}
-        for i, v in queries:
-            groups.setdefault(len(v), []).append((i, v))
-        found = {d: Searcher(np.array([i for i, _ in g], np.int64), np.array([v for _, v in g], np.int64).reshape(len(g), d), k, width) for d, g in groups.items()}
+        for i, v, n in queries:
+            groups.setdefault(len(v), []).append((i, v, n))
+        found = {d: Searcher(np.array([i for i, _, _ in g], np.int64), np.array([v for _, v, _ in g], np.int64).reshape(len(g), d), k, width) for d, g in groups.items()}
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for d, (rows, x) in _matrix(b.column(1)).items():
                 if d in found:
                     found[d].add(ids[rows], x)
-        for s in found.values():
+        for d, s in found.items():
             for at in range(0, len(s.ids), 1000):
-                best = s.best[at : at + 1000]
+                best = [(np.repeat(x, min(n, k))[:k], np.repeat(i, min(n, k))[:k]) for (x, i), (_, _, n) in zip(s.best[at : at + 1000], groups[d][at : at + 1000])]
                 yield batch({"query_id": np.repeat(s.ids[at : at + 1000], [len(x) for x, _ in best]), "vec_id": np.concatenate([i for _, i in best]), "score": np.concatenate([x for x, _ in best])}, OUT)
 
     return run
@@ -115,22 +117,24 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, width: int = 16, quer
     broadcast doesn't grow with the data. A task lays its candidates out by blocks of `width` dimensions; after each block,
     those stay whose score so far plus the product of the remaining norms (Cauchy-Schwarz) reaches the k-th best score yet.
 
-    Only vectors of one length are compared. vec_id is a row's identity: rows that share an id are no candidates of each
-    other, and answer as one query. Scores beyond 64 bits wrap around. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
+    Only vectors of one length are compared. Rows that share an id are no candidates of each other. As candidates each of them
+    counts; as queries their pairs with all candidates are ranked together. Scores beyond 64 bits wrap around. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     space = quantised(vectors, scale)
-    asked = space.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]) if every > 1 else space.dropDuplicates(["vec_id"])
+    asked = (space.where(F.col("vec_id") % every == 0) if every > 1 else space).groupBy("vec_id", "v").agg(F.count("*").alias("n"))
     parts, block = [], []
 
-    def send() -> None:
-        local = space.mapInArrow(_local_best(list(block), k, width), "query_id long, vec_id long, score long")
+    def ranked(pairs: DataFrame) -> DataFrame:
         by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        parts.append(local.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+        return pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def send() -> None:
+        parts.append(ranked(space.mapInArrow(_local_best(list(block), k, width), "query_id long, vec_id long, score long")))
         block.clear()
 
     for row in asked.toLocalIterator():
-        block.append((row.vec_id, row.v))
+        block.append((row.vec_id, row.v, row.n))
         if len(block) == query_block:
             send()
             parts[-1] = materialise(parts[-1], "topk")
@@ -139,4 +143,4 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, width: int = 16, quer
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return ranked(out.drop("rank")) if len(parts) > 1 else out  # vectors of one id may lie in two blocks
