@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over all terms of the examples."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ def tokens(data: bytes) -> list[bytes]:
 
 @dataclass
 class Index:
-    """Examples in blocks of like ones; for each term the blocks that hold it, with its largest weight there and its postings."""
+    """Examples by row, with the postings of every term; the terms of many examples also lie in a matrix."""
 
     terms: dict[bytes, int]
     idf: np.ndarray
@@ -38,153 +38,185 @@ class Index:
     slope: float = 1.0
     offset: float = 0.0
     none: float = 0.0
-    tops: list = field(default_factory=list)
-    postings: dict = field(default_factory=dict)
-    memo: dict = field(default_factory=dict)
+    #: Rows and weights of the postings, term by term, and where each term's begin.
+    rows: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    weights: np.ndarray = field(default_factory=lambda: np.empty(0))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    matrix: tuple | None = None
 
-    def vector(self, words: list[bytes]) -> tuple[tuple[int, ...], np.ndarray]:
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"matrix": None}
+
+    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Terms in order, and weights of norm 1: (1 + ln tf) idf."""
-        get = self.terms.get
-        found = Counter([t for t in map(get, words) if t is not None])
-        if not found:
-            return (), np.empty(0)
-        terms = tuple(sorted(found))
-        w = np.array([(1 + math.log(found[t])) * self.idf[t] for t in terms])
-        return terms, w / np.linalg.norm(w)
-
-    def build(self, vectors: list[tuple[tuple[int, ...], np.ndarray]]) -> None:
-        """vectors in the order of ids. Blocks follow the heaviest terms, so that their bounds are tight."""
-        key = [(-1, ()) if not t else (t[int(w.argmax())], t) for t, w in vectors]
-        order = sorted(range(len(vectors)), key=lambda i: (key[i], self.ids[i]))
-        self.ids, self.labels = self.ids[order], self.labels[order]
-        self.blocks = -(-len(order) // self.size)
-        rows: dict[int, dict[int, list]] = {}
-        for row, i in enumerate(order):
-            for t, w in zip(*vectors[i]):
-                rows.setdefault(t, {}).setdefault(row // self.size, []).append((row % self.size, w))
-        self.tops = [(np.array(sorted(rows.get(t, ())), np.int64), np.array([max(w for _, w in rows[t][b]) for b in sorted(rows.get(t, ()))])) for t in range(len(self.idf))]
-        self.postings = {(t, b): (np.array([r for r, _ in p]), np.array([w for _, w in p])) for t, own in rows.items() for b, p in own.items()}
-
-    def nearest(self, terms: tuple[int, ...], q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines and rows of the k nearest examples of positive cosine, ties to the smaller row; blocks are read by falling bound until none can add."""
-        bound = np.zeros(self.blocks)
-        for t, w in zip(terms, q):
-            blocks, top = self.tops[t]
-            bound[blocks] += w * top
-        best_s, best_r = np.empty(0), np.empty(0, np.int64)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best_s) == self.k and bound[b] < best_s[-1] - 1e-12:
-                break
-            score = np.zeros(self.size)
-            for t, w in zip(terms, q):
-                if (p := self.postings.get((t, int(b)))) is not None:
-                    score[p[0]] += w * p[1]
-            at = np.flatnonzero(score > 0)
-            rows = at + int(b) * self.size
-            score, rows = score[at][rows != skip], rows[rows != skip]
-            best_s, best_r = np.concatenate([best_s, score]), np.concatenate([best_r, rows])
-            order = np.lexsort((best_r, -np.round(best_s, 9)))[: self.k]
-            best_s, best_r = best_s[order], best_r[order]
-        return best_s, best_r
+        found = Counter(map(self.terms.get, words))
+        found.pop(None, None)
+        return self.weighted(np.fromiter(found.keys(), np.int32, len(found)), np.fromiter(found.values(), np.int32, len(found)))
+
+    def weighted(self, terms: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(terms)
+        w = (1 + np.log(tf[order])) * self.idf[terms[order]]
+        return terms[order], w / np.linalg.norm(w) if len(w) else w
+
+    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """vectors in the order of ids."""
+        terms = np.concatenate([t for t, _ in vectors] or [np.empty(0, np.int32)])
+        order = np.argsort(terms, kind="stable")
+        self.rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])[order]
+        self.weights = np.concatenate([w for _, w in vectors] or [np.empty(0)])[order]
+        self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
+        self.matrix = None
+
+    def _common(self, least: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each term in the matrix, or -1; and the matrix of the terms that `least` of the examples hold."""
+        if self.matrix is None:
+            many = np.flatnonzero(np.diff(self.starts) >= max(1, least * len(self.ids)))
+            at, dense = np.full(len(self.idf), -1), np.zeros((len(many), len(self.ids)))
+            at[many] = np.arange(len(many))
+            for i, t in enumerate(many):
+                own = slice(self.starts[t], self.starts[t + 1])
+                dense[i, self.rows[own]] = self.weights[own]
+            self.matrix = at, dense
+        return self.matrix
+
+    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """All of them, to nine places: common terms by a product of matrices, the others by their postings."""
+        at, dense = self._common()
+        q, rest = np.zeros((len(vectors), len(dense))), np.zeros((len(vectors), len(self.ids)))
+        for i, (terms, w) in enumerate(vectors):
+            place = at[terms]
+            q[i, place[place >= 0]] = w[place >= 0]
+            terms, w = terms[place < 0], w[place < 0]
+            n = self.starts[terms + 1] - self.starts[terms]
+            own = np.repeat(self.starts[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            rest[i] = np.bincount(self.rows[own], self.weights[own] * np.repeat(w, n), minlength=len(self.ids))
+        return np.round(q @ dense + rest, 9)
+
+    def neighbours(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each vector cosines and rows of the k nearest examples of positive cosine, ties to the smaller row."""
+        for b in range(0, len(vectors), self.size):
+            score = self.cosines(vectors[b : b + self.size])
+            if skip is not None:
+                score[np.arange(len(score)), skip[b : b + self.size]] = 0
+            n = min(self.k, score.shape[1])
+            least = np.partition(score, -n, 1)[:, -n] if n else np.zeros(len(score))
+            for own, low in zip(score, least):
+                rows = np.flatnonzero((own >= low) & (own > 0))
+                rows = rows[np.lexsort((rows, -own[rows]))[: self.k]]
+                yield own[rows], rows
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return next(self.neighbours([(terms, q)]))
 
     def vote(self, cosines: np.ndarray, rows: np.ndarray) -> float:
         """Share of toxic among the neighbours, weighted by 1 / (0.05 + distance)."""
         w = 1 / (1.05 - cosines)
         return float((w * self.labels[rows]).sum() / w.sum())
 
-    def calibrate(self, vectors: list, rows_of: list[int]) -> None:
-        """Platt's curve over the examples' votes, each left out of its own; examples without a term give the score of such texts."""
-        v, y, empty = [], [], [1.0, 2.0]
-        for (terms, q), row in zip(vectors, rows_of):
-            if not terms:
-                empty[0] += self.labels[row]
-                empty[1] += 1
-                continue
-            s, r = self.nearest(terms, q, skip=row)
-            if len(r):
-                v.append(self.vote(s, r))
-                y.append(self.labels[row])
-        self.none = empty[0] / empty[1] if empty[1] > 2 else (float(self.labels.mean()) if len(self.labels) else 0.0)
-        self.slope, self.offset = platt(np.array(v), np.array(y, float)) if len(set(y)) > 1 else (0.0, 6.0 if y and y[0] else -6.0)
-
-    def score(self, words: list[bytes]) -> tuple[float, list[int]]:
-        terms, q = self.vector(words)
-        if not terms:
-            return self.none, []
-        key = terms, q.round(6).tobytes()
-        if key not in self.memo:
-            if len(self.memo) > 20_000:
-                self.memo.clear()
-            s, r = self.nearest(terms, q)
-            self.memo[key] = (1 / (1 + math.exp(-(self.slope * self.vote(s, r) + self.offset))), self.ids[r[:3]].tolist()) if len(r) else (self.none, [])
-        return self.memo[key]
-
-
-def platt(v: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic curve with smoothed targets, by damped Newton steps."""
-    t = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    def votes(self, rows: np.ndarray) -> list[float | None]:
+        """The vote on each of these examples, left out of its own; None where it has no neighbour."""
+        by = np.argsort(self.rows, kind="stable")
+        ends = np.searchsorted(self.rows[by], np.arange(len(self.ids) + 1))
+        terms = np.repeat(np.arange(len(self.idf)), np.diff(self.starts))[by]
+        own = [slice(ends[r], ends[r + 1]) for r in rows]
+        return [self.vote(s, r) if len(r) else None for s, r in self.neighbours([(terms[o], self.weights[by[o]]) for o in own], rows)]
+
+    def calibrate(self, votes: list[float | None], weight: tuple[float, float] = (1.0, 1.0)) -> None:
+        """Platt's curve over the examples' votes; examples without a term give the score of such texts. weight: how many labelled documents an example of each label stands for."""
+        held = np.array(weight)[self.labels]
+        empty = np.bincount(self.rows, minlength=len(self.ids)) == 0
+        if empty.any():
+            self.none = float((1 + held[empty] @ self.labels[empty]) / (2 + held[empty].sum()))
+        else:
+            self.none = float(held @ self.labels / held.sum()) if len(held) else 0.0
+        ok = np.array([v is not None for v in votes], bool)
+        v, y = np.array([v for v in votes if v is not None]), self.labels[ok]
+        self.slope, self.offset = platt(v, y.astype(float), held[ok]) if len(set(y)) > 1 else (0.0, 6.0 if len(y) and y[0] else -6.0)
+
+    def score(self, texts: list[list[bytes]]) -> list[tuple[float, list[int]]]:
+        found = self.neighbours([self.vector(words) for words in texts])
+        return [(1 / (1 + math.exp(-(self.slope * self.vote(s, r) + self.offset))), self.ids[r[:3]].tolist()) if len(r) else (self.none, []) for s, r in found]
+
+
+def platt(v: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset of a logistic curve with smoothed targets, by damped Newton steps; w are weights."""
+    t = np.where(y > 0, ((w * y).sum() + 1) / ((w * y).sum() + 2), 1 / ((w * (1 - y)).sum() + 2))
     x = np.column_stack([v, np.ones(len(v))])
     b = np.array([1.0, -0.5])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        g, h = x.T @ (p - t) + 1e-3 * b, (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        g, h = x.T @ (w * (p - t)) + 1e-3 * b, (x * (w * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         step = np.linalg.solve(h, g)
         b -= step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
     return float(b[0]), float(b[1])
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for data, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = sorted(set(tokens(data)))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([y] * len(words), pa.int64())], names=["word", "toxic"])
+        held = [Counter(tokens(t)) for t in b.column(1).to_pylist()]
+        words, tf = [b" ".join(h) for h in held], [np.fromiter(h.values(), np.int32, len(h)).tobytes() for h in held]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(words, pa.binary()), pa.array(tf, pa.binary())], names=["doc_id", "toxic", "h", "words", "tf"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, most_terms: int = 512, evidence: float = 25.0, share: float = 0.03, least: int = 6, k: int = 25) -> Index:
-    """The index of a bounded sample: the `examples` labelled documents of the learning fold that come first by md5(doc_id).
+def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float = 0.1, k: int = 25) -> Index:
+    """The index of a bounded sample: of the labelled documents of the learning fold `examples` at most, half of them toxic if there
+    are so many (else all toxic ones, and more of the others), in each label those that come first by md5(doc_id).
 
-    Terms are the words and beginnings whose presence goes with the label: chi-square of at least `evidence`, the most_terms highest, and
-    in at least `share` of the toxic or of the other documents (and in `least` documents), so that the words of one group of copies don't count as signs. Equal texts of the sample count once.
-    The ids of the sample are broadcast to find its texts; only the vectors over those terms reach the driver."""
+    Every word and beginning of these texts is a term. Its weight is the idf times least + phi, the correlation of its presence with the
+    label, so that signs lead and no term is without weight. Equal texts of the sample count once. An example stands for as many
+    labelled documents of its label as were drawn from, so that calibration is by the true shares.
+    The ids of the sample are broadcast to find its texts; only their counts of terms reach the driver."""
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    chosen = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p")).orderBy("p", "toxic").limit(examples).drop("p").dropDuplicates(["doc_id"])
+    known = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p"))
+    there = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    most = max(examples // 2, examples - there.get(0, 0))
+    drawn = {1: min(there.get(1, 0), most)}
+    drawn[0] = min(there.get(0, 0), examples - drawn[1])
+    each = [known.where(F.col("toxic") == y).orderBy("p").limit(n) for y, n in drawn.items()]
+    chosen = each[0].unionByName(each[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic")
-    n, pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    a, c = F.col("a"), F.col("c")
-    seen = sample.select("text", "toxic").mapInArrow(_distinct_words, "word binary, toxic long").groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("c"))
-    chi = n * F.pow(a * (n - pos) - (c - a) * pos, 2) / (F.lit(float(max(pos, 1))) * max(n - pos, 1) * c * F.greatest(F.lit(1), n - c))
-    common = ((a >= share * pos) | (c - a >= share * (n - pos))) & (c >= least)
-    picked = seen.withColumn("chi", chi).where(common & (F.col("chi") >= evidence)).orderBy(F.desc("chi"), "word").limit(most_terms).select("word", "c").collect()
-    picked = sorted((bytes(r.word), r.c) for r in picked)
-    index = Index({w: i for i, (w, _) in enumerate(picked)}, np.array([math.log(1 + n / c) for _, c in picked]), np.empty(0, np.int64), np.empty(0), k)
-    terms = index.terms
-
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic", F.md5("text").alias("h"))
+    terms: dict[bytes, int] = {}
+    rows = []
+    for r in sample.mapInArrow(_counts, "doc_id long, toxic long, h string, words binary, tf binary").toLocalIterator():
+        own = np.fromiter((terms.setdefault(w, len(terms)) for w in bytes(r.words).split()), np.int32)
+        rows.append((r.doc_id, r.toxic, r.h, own, np.frombuffer(bytes(r.tf), np.int32)))
+    rows.sort(key=lambda r: r[:3])
+    place = np.empty(len(terms), np.int32)  # terms by the order of their bytes, whatever task came first
+    place[[terms[w] for w in sorted(terms)]] = np.arange(len(terms))
+    terms = {w: int(place[t]) for w, t in terms.items()}
+    n, y = len(rows), np.array([r[1] for r in rows], np.int64)
+    pos = int(y.sum())
+    c, a = np.zeros(len(terms)), np.zeros(len(terms))
+    for r in rows:
+        c[place[r[3]]] += 1
+        a[place[r[3]]] += r[1]
+    phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
+    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), np.array([r[0] for r in rows], np.int64), y, k)
+    index.build([index.weighted(place[r[3]], r[4]) for r in rows])
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(index)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held = [[w for w in tokens(t) if w in terms] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(h) for h in held], pa.list_(pa.binary())), b.column(2)], names=["doc_id", "words", "toxic"])
-
-    rows = sorted(((r.doc_id, r.toxic, [bytes(w) for w in r.words]) for r in sample.mapInArrow(counts, "doc_id long, words array<binary>, toxic long").collect()))
-    index.ids, index.labels = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
-    vectors = [index.vector(r[2]) for r in rows]
-    first = {}
-    plain = index.ids
-    index.build(vectors)
-    for row, i in enumerate(index.ids):
-        first.setdefault(int(i), []).append(row)
-    index.calibrate(vectors, [first[int(i)].pop(0) for i in plain])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.votes(b.column(0).to_numpy()), pa.float64())], names=["row", "vote"])
+
+    got = dict(tuple(r) for r in spark.range(0, n, 1, 12).withColumnRenamed("id", "row").mapInArrow(votes, "row long, vote double").collect()) if n else {}
+    index.calibrate([got[i] for i in range(n)], tuple(there.get(v, 0) / max(1, drawn[v]) for v in (0, 1)))
+    shared.unpersist()
     return index
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """docs with score (0 to 1) and evidence (ids of up to three nearest examples). A text without any term of the index, or null, has the score of such examples and no evidence. Columns of docs with these names are replaced."""
     own = [c for c in docs.columns if c not in OUT.names]
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        index = shared.value
+        for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             col = b.column(b.schema.get_field_index("text"))
-            got = [index.score(tokens(t)) if t else (index.none, []) for t in col.cast(pa.binary()).to_pylist()]
+            got = index.score([tokens(t or b"") for t in col.cast(pa.binary()).to_pylist()])
             new = batch({"score": [s for s, _ in got], "evidence": [e for _, e in got]}, OUT)
             yield pa.RecordBatch.from_arrays([*b.columns, *new.columns], names=[*b.schema.names, *OUT.names])
 

@@ -238,6 +238,29 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert toxicity.rate(no_docs, lab).count() == 0 and toxicity.rate(odd_docs, lab.limit(0)).count() == odd_docs.count()
 
 
+def test_rare_toxic_wording(spark):
+    """A family of toxic wording in five examples, of 1 % of them; and toxic examples beyond the first by hash."""
+    rng = random.Random(11)
+    plain, rare = [f"w{i}" for i in range(400)], [f"r{i}" for i in range(12)]
+    bad = ["nasty", "vileness", "rotten"]
+    docs, labels, family = [], [], []
+    for i in range(1500):
+        own = rng.choices(plain, k=30) + (rng.choices(bad, k=4) if i % 3 == 0 else [])
+        docs.append((i, " ".join(own)))
+        labels.append((i, int(i % 3 == 0)))
+    learning = {r.id for r in spark.range(1500, 1600).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0).collect()}
+    for i in sorted(learning)[:5] + sorted(set(range(1500, 1600)) - learning)[:5]:
+        family.append(i)
+        docs.append((i, " ".join(rng.sample(rare, k=9))))
+        labels.append((i, 1))
+    df, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.rate(df, lab).collect()}
+    assert all(got[i].predicted == 1 and set(got[i].evidence) <= set(family) for i in family)
+    few = lab.where((F.col("doc_id") % 60 == 0) | (F.col("toxic") == 0))
+    known = few.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    assert toxicity.learn(df, few, examples=100).labels.sum() == known.where("toxic = 1").count()
+
+
 # --- 8 ----
 
 
