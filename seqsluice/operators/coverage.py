@@ -137,17 +137,21 @@ def accession_stats(hits: DataFrame, lengths: DataFrame) -> DataFrame:
     return out.select("accession", "max_aligned_length", (F.col("bases") / F.col("length")).alias("coverage_depth"), (F.col("covered") / F.col("length")).alias("coverage_breadth"), F.coalesce("avg_prop_mismatch", F.lit(0.0)).alias("avg_prop_mismatch"))
 
 
-def coverage_bins(depths: DataFrame, n: int) -> DataFrame:
-    """(bin, mean_depth, breadth) of n positions in at most 500 bins, which may share a position at their ends: positions floor(i * size) to ceil((i + 1) * size). depths: (pos from 0, depth); a position without a row has depth 0."""
+def coverage_bins(depths: DataFrame, n: int, by: list[str] = ()) -> DataFrame:
+    """(by, bin, mean_depth, breadth) of n positions in at most 500 bins, which may share a position at their ends: positions floor(i * size) to ceil((i + 1) * size). depths: (by, pos from 0, depth); a position without a row has depth 0, and every value of by has all bins."""
     bins = min(n, MAX_BINS)
     size = n / bins if bins else 1.0
     rows = depths.where(F.col("pos").between(0, n - 1))
     home = F.floor((F.col("pos") + 0.5) / size)
     near = F.filter(F.sequence(home - 1, home + 1), lambda i: (i >= 0) & (i < bins) & (F.floor(i * size) <= F.col("pos")) & (F.ceil((i + 1) * size) > F.col("pos")))
-    sums = rows.select(F.explode(near).alias("bin"), "depth").groupBy("bin").agg(F.sum("depth").alias("s"), F.count_if(F.col("depth") > 0).alias("c"))
-    every = depths.sparkSession.range(bins).withColumnRenamed("id", "bin").join(sums, "bin", "left")
+    sums = rows.select(F.explode(near).alias("bin"), "depth", *by).groupBy(*by, "bin").agg(F.sum("depth").alias("s"), F.count_if(F.col("depth") > 0).alias("c"))
+    every = depths.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    if by:
+        numbers = F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")) if bins else F.array().cast("array<bigint>")
+        every = depths.select(*by).distinct().select(*by, F.explode(numbers).alias("bin"))
+    every = every.join(sums, [*by, "bin"], "left")
     width = F.ceil((F.col("bin") + 1) * size) - F.floor(F.col("bin") * size)
-    return every.select("bin", (F.coalesce("s", F.lit(0)) / width).alias("mean_depth"), (F.coalesce("c", F.lit(0)) / width).alias("breadth"))
+    return every.select(*by, "bin", (F.coalesce("s", F.lit(0)) / width).alias("mean_depth"), (F.coalesce("c", F.lit(0)) / width).alias("breadth"))
 
 
 def nx_lx(lengths: DataFrame, share: float, order: list[Column]) -> DataFrame:

@@ -652,6 +652,14 @@ def coverage_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.coverage_bins(depths, 1050).select("bin", F.round("mean_depth", 6).alias("mean_depth"), F.round("breadth", 6).alias("breadth"))
 
 
+@query(_with(INTERVALS) + """, c AS (SELECT ref, pos, count(*) AS depth FROM (SELECT ref, unnest(range(s, e)) AS pos FROM iv) GROUP BY 1, 2), b AS (SELECT ref, unnest(range(500)) AS bin FROM (SELECT DISTINCT ref FROM iv)),
+p AS (SELECT ref, bin, unnest(range(CAST(floor(bin * 2.1) AS BIGINT), CAST(ceil((bin + 1) * 2.1) AS BIGINT))) AS pos FROM b)
+SELECT ref, bin, round(avg(coalesce(depth, 0)), 6) AS mean_depth, round(avg(CASE WHEN depth > 0 THEN 1 ELSE 0 END), 6) AS breadth FROM p LEFT JOIN c USING (ref, pos) GROUP BY ref, bin""")
+def coverage_bins_all_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    depths = coverage.depth_per_position(st.intervals(spark, sf_dir))
+    return coverage.coverage_bins(depths, 1050, ["ref"]).select("ref", "bin", F.round("mean_depth", 6).alias("mean_depth"), F.round("breadth", 6).alias("breadth"))
+
+
 @query(_with(INTERVALS) + "SELECT ref, count(DISTINCT pos) AS covered FROM (SELECT ref, unnest(range(s, e)) AS pos FROM iv) GROUP BY ref")
 def interval_union_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.union_length(st.intervals(spark, sf_dir), ["ref"])

@@ -28,6 +28,15 @@ def test_query_and_sql_agree(spark, duck, name):
     assert sorted(plain(map(tuple, got.select(*cols).collect())), key=key) == sorted(plain(want), key=key)
 
 
+def test_coverage_bins_of_all_refs(spark, duck):
+    test_query_and_sql_agree(spark, duck, "coverage_bins_all_refs")
+    rows = catalog.queries()["coverage_bins_all_refs"](spark, SMALL)
+    refs = duck.execute("SELECT count(DISTINCT l_suppkey) FROM lineitem").fetchone()[0]
+    assert refs > 1 and rows.select("ref").distinct().count() == refs and rows.count() == 500 * refs
+    one = catalog.queries()["coverage_bins"](spark, SMALL)
+    assert sorted(map(tuple, rows.where("ref = 1").drop("ref").collect())) == sorted(map(tuple, one.collect()))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
