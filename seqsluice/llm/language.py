@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch, in_learning_fold, keyed
@@ -77,14 +78,23 @@ class Model:
 
 
 def fit(x: np.ndarray, y: np.ndarray, langs: list[str], bits: int = 31, ridge: float = 0.3, margin: float = 0.2) -> Model:
-    """One least-squares classifier a bit, classes weighted alike; a bit is trusted by its weighted training margin."""
-    code = codewords(len(langs), bits)
+    """One least-squares classifier a bit, classes weighted alike; a bit is trusted by its weighted training margin. Beyond 128 languages words have more bits."""
+    code = codewords(len(langs), max(bits, 4 * (len(langs) - 1).bit_length()))
     w = (len(y) / np.bincount(y, minlength=len(langs)).clip(1) / len(langs))[y].astype(np.float64)
     t = code[y].astype(np.float64)
     bias = (w[:, None] * t).sum(0) / w.sum()
-    xs = x.astype(np.float64) * np.sqrt(w)[:, None]
-    alpha = np.linalg.solve(xs @ xs.T + ridge * np.eye(len(xs)), np.sqrt(w)[:, None] * (t - bias))
-    weights = xs.T @ alpha
+    if len(x) <= x.shape[1]:
+        xs = x.astype(np.float64) * np.sqrt(w)[:, None]
+        alpha = np.linalg.solve(xs @ xs.T + ridge * np.eye(len(xs)), np.sqrt(w)[:, None] * (t - bias))
+        weights = xs.T @ alpha
+    else:  # the same by the smaller matrix
+        gram, right = ridge * np.eye(x.shape[1]), np.zeros((x.shape[1], t.shape[1]))
+        for at in range(0, len(x), 1000):
+            own = slice(at, at + 1000)
+            xs = x[own].astype(np.float64) * w[own, None]
+            gram += xs.T @ x[own]
+            right += xs.T @ (t[own] - bias)
+        weights = np.linalg.solve(gram, right)
     hit = (w[:, None] * ((x @ weights + bias) * t > 0)).sum(0) / w.sum()
     trust = np.clip(2 * hit - 1, 0.05, 1)
     return Model(langs, code, weights.astype(np.float32), bias.astype(np.float32), (trust / trust.sum()).astype(np.float32), margin)
@@ -94,19 +104,34 @@ def _lower(col: pa.Array) -> list[bytes]:
     return [t.lower().encode() if t else b"" for t in col.to_pylist()]
 
 
-def learn(docs: DataFrame, each: int = 300, dims: int = 4096, most_langs: int = 100) -> Model | None:
-    """Fitted on at most `each` documents of each language, the first by md5(doc_id), of the learning fold; at most most_langs languages, the most frequent.
+def learn(docs: DataFrame, each: int = 300, dims: int = 4096, most: int = 30_000) -> Model | None:
+    """Fitted on documents of every language of the learning fold: at most `each` of a language, the first by md5(doc_id), and fewer of each where languages are so many that the sample would exceed `most`; one at least.
 
     That sample is the only part of the data that reaches the driver, as rows of `dims` counts. None without any labelled row."""
     known = keyed(docs).where(in_learning_fold() & F.col("lang").isNotNull()).select("_d", "_t", "lang", "text", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("p"))
-    langs = sorted(r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect())
+    there = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    langs = sorted(there)
     if not langs:
         return None
-    chosen = None
-    for k, lang in enumerate(langs):
-        part = known.where(F.col("lang") == lang).select(F.lit(k).alias("y"), "_d", "_t", "p").orderBy("p", "_t").limit(each)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    # The ids chosen are at most each * most_langs; their texts are fetched where they lie.
+    each = max(1, min(each, most // len(langs)))
+    spark = docs.sparkSession
+    by = Window.partitionBy("y").orderBy("p", "_t")
+
+    def first(cuts: list[tuple[str, int, float]]) -> list:
+        """The first of each language among the ids whose hash is below its cut."""
+        place = F.conv(F.substring("p", 1, 8), 16, 10).cast("double") / 2.0**32
+        near = known.select("lang", "_d", "_t", "p").join(F.broadcast(spark.createDataFrame(cuts, "lang string, y int, cut double")), "lang").where(place < F.col("cut"))
+        return near.withColumn("n", F.row_number().over(by)).where(F.col("n") <= each).select("y", "_d", "_t").collect()
+
+    # A cut twice as wide as needed and more leaves few rows to rank; where ids repeat so that it was too narrow, all rows are ranked.
+    cuts = [(lang, k, min(1.0, (2 * each + 200) / there[lang])) for k, lang in enumerate(langs)]
+    found = first(cuts)
+    got = Counter(r.y for r in found)
+    if short := [(lang, k, 1.0) for lang, k, cut in cuts if cut < 1 and got[k] < min(each, there[lang])]:
+        again = {k for _, k, _ in short}
+        found = [r for r in found if r.y not in again] + first(short)
+    chosen = spark.createDataFrame(found, "y int, _d long, _t long")
+    # The ids chosen are at most each times the languages; their texts are fetched where they lie.
     sample = known.select("_d", "_t", "text").join(F.broadcast(chosen.select("y", "_d", "_t").distinct()), ["_d", "_t"]).groupBy("y", "_d", "_t").agg(F.any_value("text").alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -297,6 +297,21 @@ def test_language(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in language.identify(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_all_languages(spark):
+    """More than 100 languages, of which the last 20 are rarer; fitted by either matrix alike."""
+    rng = random.Random(12)
+    words = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(4)] for k in range(120)}
+    names = [n for k, n in enumerate(words) for _ in range(9 if k < 100 else 5)]
+    docs = [(i, " ".join(rng.choices(words[n], k=25)), n) for i, n in enumerate(names)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    assert language.learn(df).langs == sorted(words)
+    got = {r.doc_id: r.lang_pred for r in language.identify(df).collect()}
+    rare = [(got[i], n) for i, n in enumerate(names) if n >= "l100"]
+    assert sum(a == b for a, b in rare) >= 0.9 * len(rare)
+    x, y = language.features([t.encode() for _, t, _ in docs[:300]], 256), np.array([int(n[1:]) for n in names[:300]])
+    assert np.allclose(language.fit(x, y, list(words)[:34]).weights, language.fit(np.pad(x, ((0, 0), (0, 256))), y, list(words)[:34]).weights[:256], atol=1e-4)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 9, 40])
 def test_codewords_differ(n):
     code = language.codewords(n, 31)
