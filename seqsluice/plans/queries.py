@@ -241,7 +241,16 @@ def samtools_stats_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT concat('gene_', p_partkey) AS gene, round(p_retailprice, 2) AS est_counts FROM part WHERE p_size > 10""")
 def gene_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = table(spark, sf_dir, "part").where("p_size > 10").select(_joined("p_partkey", "p_size", "p_size", F.format_string("%.2f", "p_retailprice"), F.lit("0.1")).alias("value"))
+    return _abundance(spark, table(spark, sf_dir, "part").where("p_size > 10"))
+
+
+@query("""SELECT concat('gene_', p_partkey) AS gene, round(p_retailprice, 2) AS est_counts FROM part""")
+def gene_abundance_all_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _abundance(spark, table(spark, sf_dir, "part"))
+
+
+def _abundance(spark: SparkSession, parts: DataFrame) -> DataFrame:
+    text = parts.select(_joined("p_partkey", "p_size", "p_size", F.format_string("%.2f", "p_retailprice"), F.lit("0.1")).alias("value"))
     text = text.unionByName(spark.createDataFrame([("target_id\tlength\teff_length\test_counts\ttpm",)], "value string"))
     return tabular.parse_abundance(text).select(hd.gene_id(F.col("target_id")).alias("gene"), "est_counts")
 
@@ -355,6 +364,13 @@ def parse_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", hd.header_id(head, ">").alias("id"), hd.header_desc(head).alias("desc"))
 
 
+@query(r"""SELECT doc_id, regexp_extract(t, '^>*([^ \t]*)', 1) AS id, nullif(regexp_extract(t, '(?s)^[^ \t]*[ \t](.*)$', 1), '') AS "desc"
+FROM (SELECT doc_id, concat('>', replace(text, chr(10), ' ')) AS t FROM documents WHERE text IS NOT NULL) UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE text IS NULL""")
+def parse_header_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.concat(F.lit(">"), F.translate("text", "\n", " "))
+    return table(spark, sf_dir, "documents").select("doc_id", hd.header_id(head, ">").alias("id"), hd.header_desc(head).alias("desc"))
+
+
 @query(_with(READS) + "SELECT id FROM reads WHERE ordinal IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 3)")
 def semi_join_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "lineitem").where("l_linenumber = 3").select(F.concat(F.lit("read"), "l_orderkey").alias("id"))

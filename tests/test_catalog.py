@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from seqsluice import catalog
@@ -37,6 +38,17 @@ def test_coverage_bins_of_all_refs(spark, duck):
     assert sorted(map(tuple, rows.where("ref = 1").drop("ref").collect())) == sorted(map(tuple, one.collect()))
 
 
+@pytest.mark.parametrize("name", ["parse_header_whole_text", "gene_abundance_all_parts"])
+def test_whole_tables(spark, duck, name):
+    test_query_and_sql_agree(spark, duck, name)
+    rows = catalog.queries()[name](spark, SMALL)
+    source = "documents" if "desc" in rows.columns else "part"
+    assert rows.count() == duck.execute(f"SELECT count(*) FROM {source}").fetchone()[0]
+    if source == "documents":
+        size = F.coalesce(F.length("id"), F.lit(0)) + F.coalesce(F.length("desc"), F.lit(0))
+        assert rows.agg(F.max(size)).first()[0] > 40
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
