@@ -24,7 +24,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, which all executors share. Where that is unset (as in tests) the session gets a folder of its own."""
+    """A fresh folder below spark.checkpoint.dir, which all executors share. Where that is unset, a session on this machine alone (as in tests) gets a folder of its own; on a cluster that is an error."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -70,9 +72,21 @@ def words_of(data: bytes) -> list[bytes]:
     return data.translate(WORD_BYTES).split()
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """docs with _d and _t, by which results are joined back to rows: the id (null as the least long) and a hash of the text. Rows that share both are alike in every decision."""
-    return docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")), "_t": F.xxhash64("text")})
+def key() -> tuple[Column, Column]:
+    """_d and _t, by which results are joined back to rows: the id as a long (null as the least one) and a hash of the text. Rows that share both are alike in every decision."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")).alias("_d"), F.xxhash64("text").alias("_t")
+
+
+def packed(docs: DataFrame, results: tuple[str, ...] = ()) -> DataFrame:
+    """(row, _d, _t, text): each row of docs in one struct, but for columns with the names of results, so that no name of docs meets one of an operator's own."""
+    taken = {r.lower() for r in results}
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
+    return docs.select(row.alias("row"), *key(), "text")
+
+
+def keyed(docs: DataFrame, *cols: str) -> DataFrame:
+    """_d, _t and the named columns of docs."""
+    return docs.select(*key(), *cols)
 
 
 def in_learning_fold(doc_id: str = "doc_id") -> Column:

@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         least = e.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         up = least.select(F.col("a").alias("b"), F.col("m").alias("up"))
-        open_ = e.join(up, "b").limit(1).count() or least.where("n > 1").limit(1).count()
+        open_ = not e.join(up, "b").isEmpty() or not least.where("n > 1").isEmpty()
         if not open_:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         raised = e.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b")).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialise, text_bytes, whole_groups
+from .common import discard, materialise, packed, text_bytes, whole_groups
 from .components import components
 from .shingles import minima, shingle_sets
 
@@ -19,8 +20,10 @@ from .shingles import minima, shingle_sets
 TOKENS = 64
 #: A bucket of more sets is split further.
 BUCKET = 1000
-#: Sets of a block of a large candidate component.
-BLOCK = 256
+#: Children of a root bucket that is split; below, a bucket has one and with this chance a second, 1 / threshold in all.
+FIRST_CHILDREN, SECOND_CHILD = 4, 0.25
+#: Sets and shingles of a block of a large candidate component.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 
 
 def _nodes(k: int):
@@ -100,7 +103,7 @@ def _brute(alike: int):
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         same = (_matrix(b.column(2)) == _matrix(b.column(4))).sum(1) if b.num_rows else []
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], b.column(5), pa.array(same, pa.int32())], names=["path", "node", "tokens", "pivot", "n", "same"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(same, pa.int32())], names=["path", "node", "tokens", "pivot", "same"])
 
 
 def _token(place: Column) -> Column:
@@ -108,57 +111,55 @@ def _token(place: Column) -> Column:
     return F.substring("tokens", place * 4 + 1, F.lit(4))
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Child buckets of large ones: 2^w children for a bucket of over 2^(w-1) BUCKET sets, each by w sampled tokens that the path picks."""
-    for b in batches:
-        path, node, size = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-        x = _matrix(b.column(2)).astype(np.uint64) if b.num_rows else None
-        for p in np.unique(path):
-            rows = np.flatnonzero(path == p)
-            w = min(6, max(1, math.ceil(math.log2(size[rows[0]] / BUCKET))))
-            pick = np.random.default_rng(int(p) & ((1 << 63) - 1))
-            for j in range(1 << w):
-                h = np.full(len(rows), (int(p) + j * 0x9E3779B97F4A7C15) & ((1 << 64) - 1), np.uint64)
-                for place in pick.choice(TOKENS, w, replace=False):
-                    h = (h ^ x[rows, place]) * np.uint64(0xD6E8FEB86659FD93)
-                    h ^= h >> np.uint64(32)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(node[rows]), b.column(2).take(pa.array(rows))], names=["path", "node", "tokens"])
-
-
-def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: float = 0.2) -> DataFrame:
-    """(a, b): links that connect all pairs of (node, tokens) which are as alike as `threshold`, but for a share of 1 - recall that share no run's token and those below, and few others.
+def _children(level: int) -> Column:
+    """Paths of the child buckets that a set of a large bucket goes to, by the tokens at places which the path picks. Their number doesn't depend on the bucket's size."""
+    start, stride = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(TOKENS)), 2 * F.pmod(F.xxhash64("path", F.lit(2)), F.lit(TOKENS // 2)) + 1
+    child = lambda j: F.xxhash64("path", F.lit(j), _token(F.pmod(start + j * stride, F.lit(TOKENS)).cast("int")))
+    if not level:
+        return F.array(*map(child, range(FIRST_CHILDREN)))
+    second = F.pmod(F.xxhash64("path", F.lit(3)), F.lit(1000)) < 1000 * SECOND_CHILD
+    return F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))
+
+
+def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: float = 0.2) -> list[DataFrame]:
+    """(a, b), a table for each level: links that connect all pairs of (node, tokens) which are as alike as `threshold`, but for a share of 1 - recall that share no run's token and those below, and few others.
 
     A run picks one sampled token for all sets and puts sets that share its value into a bucket; a pair of similarity s
-    shares it with probability s, so log(1 - recall) / log(1 - threshold) runs reach the recall for this step alone. Two more
-    losses come on top, for 64 tokens at similarity 0.8: pairs that agree in under 39 of them (1.3e-4), and pairs that a split
-    of a large bucket parts (where each of six runs has one split by one token in two children, 0.232^6 = 1.6e-4 instead of
-    0.2^6 = 6.4e-5 without; further splits lose more). Buckets of up to BUCKET
-    sets are compared outright by all their sampled tokens; pairs that agree in a share of threshold - spare are linked. In
-    a larger bucket all sets are compared with one pivot. Those alike to it are linked with it and need no link with each
-    other. If they outnumber those up to twice as far, these are linked with the pivot too: by the triangle inequality, no
+    shares it with probability s, so log(1 - recall) / log(1 - threshold) runs reach the recall for this step alone. Buckets of
+    up to BUCKET sets are compared outright by all their sampled tokens; pairs that agree in a share of threshold - spare are
+    linked. In a larger bucket all sets are compared with one pivot. Those alike to it are linked with it and need no link with
+    each other. If they outnumber those up to twice as far, these are linked with the pivot too: by the triangle inequality, no
     set beyond can then be alike to the pivot's own, so those leave the bucket, and the component that is verified is at most
-    twice as large. Otherwise only those leave that can't be alike to a set that isn't linked. What stays is split by some
-    more tokens that the path picks (the larger the bucket, the more tokens, and the more children), and so on until no bucket is large. All sets that share the buckets of another run in
-    the same company are compared once."""
+    twice as large. Otherwise only those leave that can't be alike to a set that isn't linked. What stays is split by sampled
+    tokens that the path picks: into FIRST_CHILDREN children at the root, one token each, and into 1 / 0.8 on average at each
+    level below, the branching of a chosen path. A level thus has a constant number of rows for each set that stays, whatever its
+    bucket's size. All sets that share the buckets of another run in the same company are compared once.
+
+    Losses at similarity 0.8 with 64 tokens and six runs: pairs that agree in under 39 tokens (1.3e-4 by the binomial); pairs
+    that share no run's token (0.2^6 = 6.4e-5). Where each run splits the pair's bucket, it loses a share of the pairs that
+    it had together: 0.2^4 with one level, 1.2e-2 with two, 3.1e-2 with three, 5.6e-2 with four, so that six runs miss 6.6e-5,
+    8.9e-5, 1.3e-4 and 2.2e-4. All fall quickly above the threshold."""
     alike = math.ceil((threshold - spare) * TOKENS)
     far = TOKENS - alike
     runs = math.ceil(math.log(1 - recall) / math.log(1 - threshold) - 1e-9)
     roots = [F.struct(F.xxhash64(F.lit(r), _token(F.lit(r))).alias("path")) for r in range(runs)]
     rows = sets.select("node", F.explode(F.array(*roots)).alias("p")).select("p.path", "node")
-    links = None
-    level = 0
+    links, level, above = [], 0, None
     while True:
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")).where("n > 1")
         once = sizes.where(F.col("n") <= BUCKET).groupBy("n", "who").agg(F.min("path").alias("path")).select("path", "n").unionByName(sizes.where(F.col("n") > BUCKET).select("path", "n"))
         kept = rows.join(once, "path")
         kept = materialise((kept if level else kept.join(sets, "node")).select("path", "node", "tokens", "n"), f"buckets-{level}")
+        if above is not None:
+            discard(above)
         small = kept.where(F.col("n") <= BUCKET).select("path", "node", "tokens").repartition("path").sortWithinPartitions("path")
         found = small.mapInArrow(_brute(alike), "a long, b long")
-        large = kept.where(F.col("n") > BUCKET).select("path", "node", "tokens", "n")
-        if large.limit(1).count():
+        large = kept.where(F.col("n") > BUCKET).select("path", "node", "tokens")
+        more = not large.isEmpty()
+        if more:
             pivots = large.groupBy("path").agg(F.min("node").alias("pivot")).join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("other")), "pivot")
-            beside = large.join(pivots, "path").select("path", "node", "tokens", "pivot", "other", "n")
-            beside = materialise(beside.mapInArrow(_agree, "path long, node long, tokens binary, pivot long, n long, same int"), f"pivots-{level}")
+            beside = large.join(pivots, "path").select("path", "node", "tokens", "pivot", "other")
+            beside = above = materialise(beside.mapInArrow(_agree, "path long, node long, tokens binary, pivot long, same int"), f"pivots-{level}")
             apart = TOKENS - F.col("same")
             near, middle = apart <= far, (apart > far) & (apart <= 2 * far)
             around = beside.groupBy("path").agg(F.count_if(near).alias("n1"), F.count_if(middle).alias("n2"), F.min(F.when(~near, apart)).alias("d1"), F.min(F.when(apart > 2 * far, apart)).alias("d2"))
@@ -166,12 +167,12 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
             found = found.unionByName(beside.where((near | (F.col("dense") & middle)) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
             open_dense = (apart > 2 * far) | (middle & (apart >= F.col("d2") - far))
             stay = beside.where(F.coalesce(F.when(F.col("dense"), open_dense).otherwise(~near | (apart >= F.col("d1") - far)), F.lit(False)))
+            rows = stay.select("node", "tokens", F.explode(_children(level)).alias("path"))
             level += 1
-            rows = stay.select("path", "node", "tokens", "n").mapInArrow(_split, "path long, node long, tokens binary")
-        found = materialise(found, "links")
-        links = found if links is None else links.unionByName(found)
-        if not large.limit(1).count():
-            return links.distinct()
+        links.append(materialise(found, "links"))
+        discard(kept)
+        if not more:
+            return links
 
 
 def _exact(threshold: float):
@@ -222,52 +223,59 @@ def _shared(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out
 
 
+RESULTS = ("class_id", "n_links", "class_key", "is_first")
+
+
 def join(docs: DataFrame, threshold: float = 0.8, k: int = 5, recall: float = 0.9999) -> DataFrame:
-    """docs with class_id and n_links: the documents whose sets of k-word shingles have a Jaccard similarity of at least `threshold`.
+    """docs with class_id, n_links, class_key and is_first: the documents whose sets of k-word shingles have a Jaccard similarity of at least `threshold`.
 
     n_links counts the other documents alike to this one, copies included. class_id is the least doc_id of those it is linked
-    with over any number of links, its own where there are none.
+    with over any number of links, its own where there are none. Where ids repeat, two classes can have one class_id;
+    class_key tells them apart (null without words), and is_first marks the class's least document by id and hash of its
+    text (rows equal in both are all marked).
 
     Documents of one shingle set are one node from the start (a 64-bit hash of the set), so copies never meet. Chosen paths
-    over sampled tokens connect candidates (candidate_links); inside each candidate component all pairs are verified on
-    the whole sets, a large component in pairs of blocks of BLOCK sets, each a task of its own. Counts are exact for the
-    pairs that the paths connected: of pairs at a threshold of 0.8 with 64 sampled tokens they miss about 1.9e-4 in
-    buckets of up to BUCKET sets and about 2.8e-4 where each run splits its bucket once by one token (not 1 - recall, which is the share
-    lost by the runs' tokens alone); the share falls quickly above it. Links of such pairs are missing from n_links.
+    over sampled tokens connect candidates (candidate_links has their recall); inside each candidate component all pairs are
+    verified on the whole sets, a large component in pairs of blocks, each a task of its own. A block has about BLOCK sets and
+    BLOCK_SHINGLES shingles. Counts are exact for the pairs inside a component.
     The verification is quadratic in the distinct sets of one component, which counting their links can't avoid; no pair is a row.
 
     Words are runs of digits, a-z after lower-casing A-Z, and non-ASCII characters; fewer than k are one shingle. A text without words, or null,
     has no links, and its own id as class. A null doc_id sorts before others. Rows equal in id and text count as copies of each other. Columns of docs with the names of results are replaced.
     """
-    own = [c for c in docs.columns if c not in ("class_id", "n_links")]
-    whole = keyed(docs.select(*own))
+    whole = packed(docs, RESULTS)
     nodes = whole.select("_d", "_t", text_bytes().alias("data")).mapInArrow(_nodes(k), "_d long, _t long, node long, size long, tokens binary")
     nodes = materialise(nodes, "nodes")
     place = F.struct("_d", "_t")
-    sets = materialise(nodes.where("size > 0").groupBy("node").agg(F.any_value("tokens").alias("tokens"), F.min(place).alias("first"), F.count("*").alias("copies")), "sets")
-    candidates = components(candidate_links(sets.select("node", "tokens"), threshold, recall))
-    found = candidates.join(sets.select("node", "first", "copies"), "node").select("node", "root", "copies", "first._d", "first._t")
+    sets = materialise(nodes.where("size > 0").groupBy("node").agg(F.any_value("tokens").alias("tokens"), F.min(place).alias("first"), F.count("*").alias("copies"), F.max("size").alias("size")), "sets")
+    links = candidate_links(sets.select("node", "tokens"), threshold, recall)
+    candidates = components(reduce(DataFrame.unionByName, links))
+    found = candidates.join(sets.select("node", "first", "copies", "size"), "node").select("node", "root", "copies", "size", "first._d", "first._t")
     found = materialise(found, "candidates")
+    for made in links:
+        discard(made)
     texts = whole.select("_d", "_t", text_bytes().alias("data")).join(found.select("_d", "_t", "node"), ["_d", "_t"])
-    members = materialise(texts.select("node", "data").mapInArrow(_sets(k), "node long, members binary"), "members")
-    members = members.groupBy("node").agg(F.any_value("members").alias("members"))
-    blocks = F.ceil(F.col("n") / BLOCK)
-    placed = found.join(found.groupBy("root").agg(F.count("*").alias("n")), "root").withColumn("nb", blocks).withColumn("part", F.pmod(F.xxhash64("node"), F.col("nb")))
-    placed = placed.join(members, "node")
+    sizes = found.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("nb"))
+    placed = found.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("nb")))
+    members = materialise(texts.select("node", "data").mapInArrow(_sets(k), "node long, members binary").groupBy("node").agg(F.any_value("members").alias("members")), "members")
     pairs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))
-    tasks = placed.select("root", "node", "part", "copies", "members", "nb", pairs.alias("with"))
+    tasks = placed.join(members, "node").select("root", "node", "part", "copies", "members", pairs.alias("with"))
     tasks = tasks.select(F.xxhash64("root", F.least("part", "with"), F.greatest("part", "with")).alias("task"), "node", "part", "copies", "members", (F.col("part") != F.col("with")).alias("paired"))
     verified = materialise(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_exact(threshold), "node long, links long, a long, b long"), "verified")
+    discard(members)
     linked = verified.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(verified.where("a IS NOT NULL").select("a", "b"))
-    ids = sets.select("node", "first._d", "copies").join(roots, "node", "left").join(linked, "node", "left")
-    ids = materialise(ids.select("node", F.coalesce("root", "node").alias("root"), "_d", "copies", F.coalesce("links", F.lit(0)).alias("links")), "classes")
-    best = ids.groupBy("root").agg(F.min("_d").alias("class_id"))
-    ids = ids.join(best, "root").select("node", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    per_row = nodes.where("size > 0").select("_d", "_t", "node").distinct().join(ids, "node").select("_d", "_t", "class_id", "n_links")
+    ids = sets.select("node", "first", "copies").join(roots, "node", "left").join(linked, "node", "left")
+    ids = materialise(ids.select("node", F.coalesce("root", "node").alias("root"), "first", "copies", F.coalesce("links", F.lit(0)).alias("links")), "classes")
+    for made in (found, verified, sets):
+        discard(made)
+    best = ids.groupBy("root").agg(F.min("first").alias("best"))
+    ids = ids.join(best, "root").select("node", "root", "best", (F.col("links") + F.col("copies") - 1).alias("links"))
+    per_row = nodes.where("size > 0").select("_d", "_t", "node").distinct().join(ids, "node").select("_d", "_t", "best", "root", "links")
     out = whole.join(per_row, ["_d", "_t"], "left")
-    label = F.coalesce("class_id", "_d")
-    return out.select(*own, F.when(label != -(2**63), label).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    label = F.coalesce("best._d", "_d")
+    first = F.coalesce((F.col("_d") == F.col("best._d")) & (F.col("_t") == F.col("best._t")), F.lit(True))
+    return out.select("row.*", F.when(label != -(2**63), label).alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), F.col("root").alias("class_key"), first.alias("is_first"))
 
 
 def oracle(threshold: float = 0.8, k: int = 5) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialise, small
+from .common import keyed, materialise, packed, small
 
 FIRST = ("_d", "_t", "i")
 #: Letters whose counts tell lines apart before their texts are compared.
@@ -14,7 +14,7 @@ LETTERS = "etaoinsrhldc"
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
     """(_d, _t, i, line, h, g) of each line of at least `least` characters, blanks at its ends aside; h and g identify it."""
-    own = keyed(docs).where(F.col("text").isNotNull()).select("_d", "_t", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    own = keyed(docs, "text").where(F.col("text").isNotNull()).select("_d", "_t", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     own = own.withColumn("line", F.trim("line")).where(F.char_length("line") >= least)
     return own.withColumns({"h": F.xxhash64("line"), "g": F.hash("line")})
 
@@ -105,14 +105,13 @@ def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
 
     A null text has no line and stays null; an empty one has one empty line. A null doc_id sorts first. Rows equal in id and text are one document here: their lines don't count as repeats of each other. Columns of docs with the names of results are replaced.
     """
-    own = [c for c in docs.columns if c not in RESULTS]
     found = materialise(removals(docs, most, least), "line-removals")
-    out = keyed(docs.select(*own)).join(small(found), ["_d", "_t"], "left")
+    out = packed(docs, RESULTS).join(small(found), ["_d", "_t"], "left")
     # A generator holds the lines, else the lambda below would split the text for each of them.
     out = out.withColumn("_lines", F.explode(F.array(F.split(F.coalesce("text", F.lit("")), "\n"))))
     rest = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
     kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(rest, lambda i: F.get("_lines", i)), "\n"))
-    return out.select(*own, kept.alias("kept"), F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    return out.select("row.*", kept.alias("kept"), F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), F.coalesce("near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, keyed, materialise, text_bytes, whole_groups
+from .common import discard, keyed, materialise, packed, text_bytes, whole_groups
 
 #: Bytes of a repeated string, of the grams that anchor the suffixes, and of the context beside a gram that a string through it can reach.
 LENGTH, GRAM = 200, 64
@@ -301,7 +301,7 @@ RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(_d, _t, spans): for each document with a repeated string, the runs of bytes (start, end) that repeated strings cover; runs may overlap."""
-    found = materialise(keyed(docs).select("_d", "_t", text_bytes().alias("data")).mapInArrow(_anchors, ANCHOR), "anchors")
+    found = materialise(keyed(docs, text_bytes().alias("data")).mapInArrow(_anchors, ANCHOR), "anchors")
     again = materialise(found.groupBy("g").count().where("count > 1").select("g"), "repeated-grams")
     kept = materialise(found.join(again, "g"), "repeated-anchors")
     discard(found)
@@ -313,7 +313,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     open_grams = contexts.where("n = 1").select("g").distinct()
     wanted = contexts.join(open_grams, "g", "left_semi").select("first._d", "first._t", F.struct("first.pos", *KEY).alias("w"))
     wanted = materialise(wanted.groupBy("_d", "_t").agg(F.collect_list("w").alias("wanted")), "wanted")
-    texts = keyed(docs).select("_d", "_t", text_bytes().alias("data"))
+    texts = keyed(docs, text_bytes().alias("data"))
     suffixes = texts.join(wanted, ["_d", "_t"]).select("data", "wanted").mapInArrow(_contexts, "suffix binary, before binary, g long, l long, r long")
     suffixes = materialise(suffixes, "suffixes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -343,15 +343,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     Hot passages are counted before any join, and no task gathers more than TOGETHER suffixes of a gram.
     Null texts are empty. Rows equal in id and text are separate documents, so each repeats the other. An empty table gives no rows. Columns of docs with the names of results are replaced.
     """
-    own = [c for c in docs.columns if c not in RESULTS]
     found = repeats(docs)
-    joined = keyed(docs.select(*own)).withColumn("_data", text_bytes()).join(found, ["_d", "_t"], "left").select("_data", "spans", *own)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*own).schema)
-    return joined.mapInArrow(_cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    joined = packed(docs, RESULTS).join(found, ["_d", "_t"], "left").select(text_bytes().alias("data"), "spans", "row")
+    row = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(_cut, f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").select("row.*", *RESULTS)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256); the text goes in once, as bytes."""
     found = repeats(docs)
-    joined = keyed(docs).select("_d", "_t", text_bytes().alias("_data"), "doc_id").join(found, ["_d", "_t"], "left").select("_data", "spans", "doc_id")
+    joined = keyed(docs, text_bytes().alias("data"), "doc_id").join(found, ["_d", "_t"], "left").select("data", "spans", "doc_id")
     return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").drop("kept")

@@ -54,6 +54,19 @@ def test_stages_and_run(spark, tmp_path):
     assert {r.doc_id for r in rows} == set(kept["decontamination"]) and all(r.taken == r.copies * r["size"] for r in rows)
 
 
+def test_one_of_every_class_stays(spark):
+    """Classes whose least ids are equal, null ids, rows equal in id and text, extra columns with an operator's names."""
+    rng = random.Random(2)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(4))
+    rows = [(7, a), (8, a), (7, b), (9, b), (None, c), (None, c), (None, d), (3, d), (7, None), (7, None), (5, "alone")]
+    docs = spark.createDataFrame([(i, t, k, "x", "y") for k, (i, t) in enumerate(rows)], "doc_id long, text string, n_chars long, root string, best string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(t for t in (r.text for r in got.collect()) if t) == sorted([a, b, c, d, "alone"])
+    assert got.where("text IS NULL").count() == 2
+    assert {(r.doc_id, r.text) for r in got.collect()} >= {(7, a), (7, b), (None, c), (None, d)}
+
+
 def test_catalog():
     assert len([q for q in catalog.queries() if q.startswith("op")]) == 10 and "pipeline" in catalog.queries()
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
