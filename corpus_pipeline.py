@@ -35,13 +35,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of the least id stays."""
+    """Of each class of near copies one document stays, the least by id and text; of rows equal in both, the least by a hash of the whole row."""
     found = jaccard_join.join(docs)
-    first = found.where((F.col("n_links") > 0) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        first = first.dropDuplicates(["class_id"])
-        return found.where("n_links = 0").select(*docs.columns).unionByName(first.select(*docs.columns))
-    return found.where((F.col("n_links") == 0) | F.col("doc_id").eqNullSafe(F.col("class_id"))).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    first = found.where("n_links > 0 AND is_first").groupBy("class_key").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+    return found.where("n_links = 0").select(*docs.columns).unionByName(first.select("row.*"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
