@@ -48,11 +48,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def small(df: DataFrame, most: int = 16 << 20) -> DataFrame:
-    """What materialise() wrote, marked for a broadcast if its files are `most` bytes at most; beyond that it joins by a shuffle."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._work_path)
+def small(df: DataFrame, made: DataFrame | None = None, most: int = 4 << 20, rows: int = 200_000) -> DataFrame:
+    """df, which comes by rows from what materialise() wrote (`made`, or itself), marked for a broadcast if that has `most` bytes of files and `rows` rows at most; beyond that it joins by a shuffle."""
+    made = df if made is None else made
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(made._work_path)
     store = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    return F.broadcast(df) if store.getContentSummary(path).getLength() <= most else df
+    return F.broadcast(df) if store.getContentSummary(path).getLength() <= most and made.count() <= rows else df
 
 
 def discard(df: DataFrame) -> None:
