@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,79 +13,121 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, materialise, text_bytes, words_of
+from .common import WORD_BYTES, key, materialise, packed, small, text_bytes, words_of
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-STATE = ("_spans", "_items")
 
 
-class Automaton:
-    """All substrings of some items' word sequences; a state is a set of substrings with the same ends."""
+class Builder:
+    """All substrings of some items' word sequences; a state is a set of substrings with the same ends. States and edges are numbers in arrays."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], n: int):
+    def __init__(self, n: int):
+        self.n = n
         self.vocab: dict[bytes, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.len = [-1], [0]
-        #: State and length of each window, to the items that have it.
-        self.windows: dict[tuple[int, int], set[str]] = {}
-        coded = [(item, [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]) for item, words in items if words]
-        for _, seq in coded:
-            last = 0
-            for w in seq:
-                last = self._extend(last, w)
-        for item, seq in coded:
-            m = min(n, len(seq))
-            at, length = 0, 0
-            for w in seq:
-                at, length = self.step(at, length, w)
-                if length >= m:
-                    self.windows.setdefault((self.of_length(at, m), m), set()).add(item)
-        self.lengths = sorted({m for _, m in self.windows})
-        pairs = {a * (len(self.vocab) + 1) + b for _, s in coded for a, b in zip(s, s[1:])}
-        self.pairs = np.array(sorted(pairs), np.int64)
-
-    def _new(self, length: int, link: int, nxt: dict[int, int]) -> int:
-        self.next.append(nxt)
+        self.link, self.len = array("i", [-1]), array("i", [0])
+        #: Each state's last edge, and of each edge the one before and its word; by state and word, where an edge leads.
+        self.last, self.before, self.word = array("i", [-1]), array("i"), array("i")
+        self.to: dict[int, int] = {}
+        self.items: list[tuple[str, array]] = []
+        self.words = 0
+
+    def add(self, item: str, words: list[bytes]) -> None:
+        if not words:
+            return
+        seq = array("i", [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words])
+        self.items.append((item, seq))
+        self.words += len(seq)
+        at = 0
+        for w in seq:
+            at = self._extend(at, w)
+
+    def held(self) -> int:
+        """Bytes in use: hash tables as Python measures them, two numbers or a word of about 60 bytes for each entry, and arrays."""
+        return sys.getsizeof(self.to) + 64 * len(self.to) + sys.getsizeof(self.vocab) + 90 * len(self.vocab) + 12 * len(self.len) + 8 * len(self.word) + 4 * self.words
+
+    def _state(self, length: int, link: int) -> int:
         self.len.append(length)
         self.link.append(link)
+        self.last.append(-1)
         return len(self.len) - 1
 
-    def _split(self, p: int, q: int, w: int) -> int:
+    def _edge(self, p: int, w: int, q: int) -> None:
+        self.to[p << 32 | w] = q
+        self.before.append(self.last[p])
+        self.word.append(w)
+        self.last[p] = len(self.word) - 1
+
+    def _cloned(self, p: int, q: int, w: int) -> int:
         """A state for the substrings of q no longer than those that p's give."""
         if self.len[p] + 1 == self.len[q]:
             return q
-        clone = self._new(self.len[p] + 1, self.link[q], dict(self.next[q]))
-        self.link[q] = clone
-        while p >= 0 and self.next[p].get(w) == q:
-            self.next[p][w] = clone
+        new = self._state(self.len[p] + 1, self.link[q])
+        e = self.last[q]
+        while e >= 0:
+            self._edge(new, self.word[e], self.to[q << 32 | self.word[e]])
+            e = self.before[e]
+        self.link[q] = new
+        while p >= 0 and self.to.get(p << 32 | w) == q:
+            self.to[p << 32 | w] = new
             p = self.link[p]
-        return clone
-
-    def _extend(self, last: int, w: int) -> int:
-        if w in self.next[last]:  # another item has been here
-            return self._split(last, self.next[last][w], w)
-        cur, p = self._new(self.len[last] + 1, 0, {}), last
-        while p >= 0 and w not in self.next[p]:
-            self.next[p][w] = cur
+        return new
+
+    def _extend(self, at: int, w: int) -> int:
+        if (q := self.to.get(at << 32 | w)) is not None:  # another item has been here
+            return self._cloned(at, q, w)
+        new, p = self._state(self.len[at] + 1, 0), at
+        while p >= 0 and p << 32 | w not in self.to:
+            self._edge(p, w, new)
             p = self.link[p]
-        self.link[cur] = self._split(p, self.next[p][w], w) if p >= 0 else 0
-        return cur
-
-    def step(self, at: int, length: int, w: int) -> tuple[int, int]:
-        """The state of the longest substring of the items that ends with w, and its length."""
-        while at and w not in self.next[at]:
-            at = self.link[at]
-            length = self.len[at]
-        at = self.next[at].get(w, -1)
-        return (0, 0) if at < 0 else (at, length + 1)
-
-    def of_length(self, at: int, m: int) -> int:
-        """The state that has the last m words of a match in state at."""
-        while self.len[self.link[at]] >= m:
-            at = self.link[at]
-        return at
-
-    def stretches(self, ids: np.ndarray) -> list[tuple[int, int]]:
+        if p >= 0:
+            self.link[new] = self._cloned(p, self.to[p << 32 | w], w)
+        return new
+
+
+class Automaton:
+    """A builder's states as flat arrays that many matches walk at once."""
+
+    def __init__(self, built: Builder):
+        self.vocab = built.vocab
+        self.link, self.len = np.array(built.link, np.int32), np.array(built.len, np.int32)
+        self.link[0] = 0
+        edges = np.fromiter(built.to.keys(), np.int64, len(built.to))
+        order = np.argsort(edges)
+        self.edges, self.to = edges[order], np.fromiter(built.to.values(), np.int32, len(built.to))[order]
+        self.names = [item for item, _ in built.items]
+        lengths = [min(built.n, len(s)) for _, s in built.items]
+        self.lengths = sorted(set(lengths))
+        #: Of each window length: the states of windows, and of each the items that have it, as numbers in names.
+        self.windows: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
+        found: dict[int, dict[int, set[int]]] = {m: {} for m in self.lengths}
+        for k, ((_, seq), m) in enumerate(zip(built.items, lengths)):
+            at = np.zeros(1, np.int64)
+            states = np.empty(len(seq), np.int64)
+            for i, w in enumerate(seq):  # an item is a path from the start
+                at = built.to[int(at) << 32 | w] if i else built.to[w]
+                states[i] = at
+            for s in np.unique(self.of_length(states[m - 1 :], m)).tolist():
+                found[m].setdefault(s, set()).add(k)
+        for m, by in found.items():
+            states = np.array(sorted(by), np.int64)
+            self.windows[m] = states, [sorted(by[s]) for s in states.tolist()]
+        pairs = [np.array(s[:-1], np.int64) << 32 | np.array(s[1:], np.int64) for _, s in built.items]
+        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+
+    def of_length(self, states: np.ndarray, m: int) -> np.ndarray:
+        """The states that have the last m words of matches in these states."""
+        while True:
+            up = self.link[states]
+            climb = (self.len[up] >= m) & (states > 0)
+            if not climb.any():
+                return states
+            states = np.where(climb, up, states)
+
+    def _place(self, where: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(where, what), max(len(where) - 1, 0))
+        return at, where[at] == what if len(where) else np.zeros(len(what), bool)
+
+    def stretches(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows can be: runs of words, each pair of which some item has. ids: 0 for a word that no item has."""
         least = self.lengths[0]
         if least == 1:
@@ -91,25 +135,39 @@ class Automaton:
         else:
             ok = (ids[:-1] > 0) & (ids[1:] > 0)
             at = np.flatnonzero(ok)
-            code = ids[at].astype(np.int64) * (len(self.vocab) + 1) + ids[at + 1]
-            place = np.searchsorted(self.pairs, code)
-            ok[at] = self.pairs[np.minimum(place, len(self.pairs) - 1)] == code if len(self.pairs) else False
+            ok[at] = self._place(self.pairs, ids[at] << 32 | ids[at + 1])[1]
         edge = np.flatnonzero(np.diff(np.concatenate([[0], ok.view(np.int8), [0]])))
         a, b = edge[::2], edge[1::2]
         stay = b - a >= max(1, least - 1)
-        return list(zip(a[stay].tolist(), (b[stay] + (least > 1)).tolist()))
-
-    def match(self, ids: np.ndarray, bounds: list[tuple[int, int]]) -> Iterator[tuple[int, int, set[str]]]:
-        """(first word, end, items) of each window found."""
-        for a, b in bounds:
-            at = length = 0
-            for i, w in enumerate(ids[a:b].tolist(), a):
-                at, length = self.step(at, length, w)
-                for m in self.lengths:
-                    if m > length:
-                        break
-                    if found := self.windows.get((self.of_length(at, m), m)):
-                        yield i + 1 - m, i + 1, found
+        return a[stay], b[stay] + (least > 1)
+
+    def match(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
+        """(first word, end, items) of each window found: all stretches take a word at a time, the longest match that ends there is the state and its length."""
+        a, b = self.stretches(ids) if len(ids) and self.names else (np.empty(0, np.int64),) * 2
+        order = np.argsort(a - b, kind="stable")
+        a, size = a[order], (b - a)[order]
+        state, length = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+        for j in range(int(size[0]) if len(size) else 0):
+            live = int(np.searchsorted(-size, -j))
+            s, n, w = state[:live], length[:live], ids[a[:live] + j]
+            todo = np.arange(live)
+            while len(todo):
+                at, found = self._place(self.edges, s[todo] << 32 | w[todo])
+                s[todo[found]] = self.to[at[found]]
+                n[todo[found]] += 1
+                todo = todo[~found]
+                n[todo[s[todo] == 0]] = 0
+                todo = todo[s[todo] > 0]
+                s[todo] = self.link[s[todo]]
+                n[todo] = self.len[s[todo]]
+            for m in self.lengths:
+                rows = np.flatnonzero(n >= m)
+                if not len(rows):
+                    break
+                at, found = self._place(self.windows[m][0], self.of_length(s[rows], m))
+                for r, k in zip(rows[found].tolist(), at[found].tolist()):
+                    end = int(a[r]) + j + 1
+                    yield end - m, end, self.windows[m][1][k]
 
 
 def merged(spans: list[list[int]]) -> list[list[int]]:
@@ -122,51 +180,59 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scan(auto: Automaton):
-    """Adds to _spans (word ranges as a flat list) and _items what one block of the items gives."""
+def _found(auto: Automaton, texts: list[bytes]) -> tuple[list[int], dict[int, list]]:
+    """Words of each text, and by text its hits (first word, end, items)."""
+    get = auto.vocab.get
+    ids, ends, counts = [], [], []
+    for data in texts:
+        own = [get(w, 0) for w in words_of(data)]
+        counts.append(len(own))
+        ids += own
+        ids.append(0)
+        ends.append(len(ids))
+    hits: dict[int, list] = {}
+    for lo, hi, found in auto.match(np.array(ids, np.int64)):
+        doc = int(np.searchsorted(ends, lo, side="right"))
+        first = ends[doc - 1] if doc else 0
+        hits.setdefault(doc, []).append((lo - first, hi - first, found))
+    return counts, hits
+
+
+def _together(auto: Automaton, got: list) -> tuple[list[int], list[str]]:
+    """Hits as runs of words in a flat list, and the items."""
+    return [x for s in merged([[a, z] for a, z, _ in got]) for x in s], sorted({auto.names[k] for _, _, f in got for k in f})
+
+
+def _hits(shared):
+    """(_d, _t, spans, items) of the texts with hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = auto.vocab.get
-        for big in batches:
-            for start in range(0, big.num_rows, 256):
-                b = big.slice(start, 256)
-                spans, items = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-                ids, ends, counts = [], [], []
-                for data in b.column(0).to_pylist():
-                    own = [get(w, 0) for w in words_of(data)]
-                    counts.append(len(own))
-                    ids += own
-                    ids.append(0)
-                    ends.append(len(ids))
-                flat = np.array(ids, np.int32)
-                hits: dict[int, list] = {}
-                for lo, hi, found in auto.match(flat, auto.stretches(flat)) if auto.windows else ():
-                    doc = int(np.searchsorted(ends, lo, side="right"))
-                    first = ends[doc - 1] if doc else 0
-                    hits.setdefault(doc, []).append((lo - first, hi - first, found))
-                for doc, got in hits.items():
-                    old = spans[doc]
-                    spans[doc] = [x for s in merged([*map(list, zip(old[::2], old[1::2])), *([a, z] for a, z, _ in got)]) for x in s]
-                    items[doc] = sorted({*items[doc], *(i for _, _, f in got for i in f)})
-                new = [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-3], *new], names=b.schema.names)
+        for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            _, hits = _found(shared.value, b.column(2).to_pylist())
+            rows = pa.array(list(hits), pa.int64())
+            both = [_together(shared.value, got) for got in hits.values()]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array([s for s, _ in both], pa.list_(pa.int32())), pa.array([i for _, i in both], pa.list_(pa.string()))], names=["_d", "_t", "spans", "items"])
 
     return run
 
 
-def _report(limit: float):
+def _report(shared, limit: float):
+    """Hits of the last block and of those before it, and what follows from them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            *own, words, spans, items = b.columns
-            n, text = words.to_pylist(), []
-            hit = [sum(s[1::2]) - sum(s[::2]) for s in spans.to_pylist()]
-            for data, s in zip(own[0].to_pylist(), spans.to_pylist()):
-                text.append(cut(data, s))
-            found = items.to_pylist()
-            sha = [hashlib.sha256(",".join(f).encode()).hexdigest() for f in found]
-            drop = [k > 0 and k >= limit * w for k, w in zip(hit, n)]
-            new = [pa.array(text, pa.binary()), words, pa.array(hit, pa.int64()), pa.array(map(len, found), pa.int64()), pa.array(sha), pa.array([h > 0 for h in hit]), pa.array(drop)]
-            yield pa.RecordBatch.from_arrays([*own[1:], *new], names=[*b.schema.names[1:-3], *REPORT])
+        for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            texts = b.column(0).to_pylist()
+            counts, hits = _found(shared.value, texts)
+            out = []
+            for k, (data, n, old, had) in enumerate(zip(texts, counts, b.column(1).to_pylist(), b.column(2).to_pylist())):
+                spans, items = _together(shared.value, hits.get(k, []))
+                if old:
+                    spans = [x for s in merged([*map(list, zip(old[::2], old[1::2])), *map(list, zip(spans[::2], spans[1::2]))]) for x in s]
+                    items = sorted({*items, *had})
+                hit = sum(spans[1::2]) - sum(spans[::2])
+                out.append((cut(data, spans), n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0, hit > 0 and hit >= limit * n))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(3), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))], names=["row", *REPORT])
 
     return run
 
@@ -186,40 +252,39 @@ def cut(data: bytes, spans: list[int]) -> bytes:
     return b"".join([*out, data[done:]])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, limit: float = 0.5, block_words: int = 2_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, limit: float = 0.5, block_bytes: int = 128 << 20) -> DataFrame:
     """docs with cleaned (the text without the hit spans), n_words, n_hit, n_items, items_sha256, contaminated, and over_limit (at least `limit` of the words are hit).
 
-    The items go in blocks of at most block_words words (one item at least), so the automaton that is broadcast has a
-    bound whatever the benchmark's size; each block meets all documents in a narrow pass. A document's words stream
-    through the automaton, which holds the longest match that ends at each word; where that is long enough, the window
-    is looked up. Only stretches in which each pair of neighbours occurs in an item are streamed: elsewhere a match can't reach two words.
+    The items go in blocks: a block ends with the item that brings the automaton in the driver to block_bytes, so that neither
+    the driver nor what is broadcast (flat arrays, smaller) grows with the benchmark. Each block but the last is a pass over the texts that
+    writes the hits alone; the last one joins them and reports. A document's words stream through the automaton, which
+    holds the longest match that ends at each word; where that is long enough, the window is looked up. Only stretches in which each
+    pair of neighbours occurs in an item are streamed: elsewhere a match can't reach two words. Stretches of many documents go a word at a time together, by array operations.
 
     Null texts and items have no words; a null item_id counts as the empty text, and rows of one item_id are one item in
     the counts. An empty benchmark hits nothing. cleaned is null only where the text is. Columns of docs with the names of results are replaced.
     """
-    own = [c for c in docs.columns if c not in REPORT]
-    state = docs.select(text_bytes().alias("_data"), *own, F.lit(0).cast("long").alias("_n"), F.array().cast("array<int>").alias(STATE[0]), F.array().cast("array<string>").alias(STATE[1]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema)
-    block, words, scanned = [], 0, 0
-
-    def scan() -> None:
-        nonlocal state, words, scanned
-        state = state.mapInArrow(_scan(Automaton(block, n)), schema)
-        scanned += 1
-        block.clear()
-        words = 0
-
+    sc = docs.sparkSession.sparkContext
+    texts = docs.select(*key(), text_bytes().alias("data"))
+    earlier: DataFrame | None = None
+    block = Builder(n)
     for row in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_bytes().alias("data")).toLocalIterator():
-        seq = words_of(bytes(row.data))
-        if block and words + len(seq) > block_words:
-            scan()
-            state = materialise(state, "decontaminate")
-        block.append((row.item, seq))
-        words += len(seq)
-    scan()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*own).schema)
-    out = state.mapInArrow(_report(limit), f"{fields}, cleaned binary, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, over_limit boolean")
-    return out.withColumn("cleaned", F.when(F.col("text").isNotNull(), F.col("cleaned").cast("string")))
+        if block.held() >= block_bytes:
+            hits = texts.mapInArrow(_hits(sc.broadcast(Automaton(block))), "_d long, _t long, spans array<int>, items array<string>")
+            hits = materialise(hits, "decontaminate-hits")
+            earlier = hits if earlier is None else earlier.unionByName(hits)
+            block = Builder(n)
+        block.add(row.item, words_of(bytes(row.data)))
+    state = packed(docs, REPORT)
+    if earlier is None:
+        state = state.withColumns({"spans": F.lit(None).cast("array<int>"), "items": F.lit(None).cast("array<string>")})
+    else:
+        hits = materialise(earlier.groupBy("_d", "_t").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), "decontaminate-hits")
+        state = state.join(small(hits), ["_d", "_t"], "left")
+    state = state.select(text_bytes().alias("data"), "spans", "items", "row")
+    out = state.mapInArrow(_report(sc.broadcast(Automaton(block)), limit), f"row {state.schema['row'].dataType.simpleString()}, cleaned binary, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, over_limit boolean")
+    cleaned = F.when(F.col("row.text").isNotNull(), F.col("cleaned").cast("string"))
+    return out.select("row.*", cleaned.alias("cleaned"), *REPORT[1:])
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
