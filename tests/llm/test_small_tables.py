@@ -4,11 +4,12 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqsluice.llm import decontaminate, language, line_dedup, mixing, token_counts, topk, toxicity, url_filter
+from seqsluice.llm import decontaminate, jaccard_join, language, line_dedup, mixing, substring_dedup, token_counts, topk, toxicity, url_filter
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = str.maketrans(url_filter.UPPER, url_filter.LOWER)
@@ -79,7 +80,7 @@ def brute(text, table):
     return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("block", [2_000_000, 30])
+@pytest.mark.parametrize("block", [128 << 20, 6000])
 @pytest.mark.parametrize("short", [False, True])
 def test_decontaminate(spark, block, short):
     rng = random.Random(5)
@@ -94,7 +95,7 @@ def test_decontaminate(spark, block, short):
     table = windows(items)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.decontaminate(df, bench, block_words=block).collect()
+    got = decontaminate.decontaminate(df, bench, block_bytes=block).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == {i: brute(t, table) for i, t in docs}
     for r in got:
         assert len(words(r.cleaned)) == r.n_words - r.n_hit and (r.text is None) == (r.cleaned is None)
@@ -182,10 +183,47 @@ def test_targets_and_taken(spark):
         assert abs(r.target - target[r.source]) < 1e-4 and r.source_size == sizes[r.source] and r.taken <= 2 * r["size"]
         taken[r.source] += r.taken
     assert all(abs(taken[s] - target[s]) <= 200 for s in order)
+    rates = {s: {r["size"]: r.rate for r in got if r.source == s} for s in order}
+    for s in order:
+        own = np.array([len(t.split()) for _, t, x in docs if x == s])
+        if target[s] >= 2 * sizes[s] - 1e-9:
+            assert set(rates[s].values()) == {2.0}
+            continue
+        # the dual's root by halving, and the rates that it gives
+        mean, low, high = own[own > 0].mean(), -50.0, 50.0
+        for _ in range(200):
+            x = (low + high) / 2
+            gradient = (own * np.minimum(2, np.exp(np.minimum(x * own / mean, 5)))).sum() - target[s]
+            low, high = (x, high) if gradient < 0 else (low, x)
+        assert abs(gradient) < 1e-6 * target[s]
+        assert all(abs(rate - min(2, np.exp(x * n / mean))) < 1e-5 for n, rate in rates[s].items())
     again = mixing.mix(spark.createDataFrame(docs[::-1], "doc_id long, text string, source string"))
     assert sorted((r.doc_id, r.taken) for r in again.collect()) == sorted((r.doc_id, r.taken) for r in got)
 
 
+def test_slices_of_a_hot_size(spark, monkeypatch):
+    """A third of all rows have one source and size: slices of the hash settle which are taken, the least first, as the SQL does."""
+    monkeypatch.setattr(mixing, "TOGETHER", 16)
+    rng = random.Random(9)
+    docs = [(i, "w " * (7 if i % 3 else rng.randrange(1, 90)), "b" if i % 3 else rng.choice("abc")) for i in range(1500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    got = {r.doc_id: (r["size"], r.source_size, r.target, r.taken) for r in mixing.mix(df).collect()}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert got == {r[0]: r[1:] for r in con.sql(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.oracle()})").fetchall()}
+
+
+def test_names_of_an_operators_own(spark):
+    """Extra columns may have any name that an operator uses inside."""
+    names = ["_d", "_t", "row", "data", "spans", "near", "removed", "slice_size", "_hash", "_slice", "o", "s", "z", "base", "line", "_n", "_data", "_spans", "_items", "root", "best", "n"]
+    rows = [(i, "one two three four five six seven eight nine ten eleven " * 3 + "\nline %d" % (i % 3), "a", "b", *range(len(names))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    bench = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    for out in (substring_dedup.dedup(docs), decontaminate.decontaminate(docs, bench), jaccard_join.join(docs), line_dedup.dedup_lines(docs), mixing.mix(docs)):
+        got = out.collect()
+        assert len(got) == 4 and all(r[n] == k for r in got for k, n in enumerate(names) if n not in ("removed",))
+
+
 def test_mix_odd(spark, odd_docs, no_docs):
     got = mixing.mix(odd_docs)
     assert got.count() == odd_docs.count() and mixing.mix(no_docs).count() == 0
