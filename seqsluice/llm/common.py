@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,11 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path that Spark has written, and the path in it."""
+    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:/", "file:///") if uri.startswith("file:/") else f"file://{uri}")
+
+
 def text_bytes(col: str = "text") -> Column:
     """The text as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))

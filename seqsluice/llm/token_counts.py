@@ -8,11 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, work_dir
+from .common import materialise, store_of, work_dir
 
 #: A shard that the encoder writes ends at the first document past so many bytes.
 SHARD_BYTES = 64 << 20
@@ -22,10 +21,6 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:/", "file:///") if uri.startswith("file:/") else f"file://{uri}")
-
-
 def encoder(vocabulary: str):
     """A function from texts to lists of identifiers. The driver reads the file; what is sent to the tasks is that one public vocabulary."""
     from public_tokenizers import PATTERN
@@ -61,7 +56,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY
                             if out is not None:
                                 out.close()
                             name, n, size = f"{folder}/{uuid.uuid4().hex}.u16", 0, 0
-                            store, path = _open(name)
+                            store, path = store_of(name)
                             store.create_dir(path.rpartition("/")[0], recursive=True)
                             out = store.open_output_stream(path)
                         data = np.array([*(encode(text) if text else ()), eod], "<u2").tobytes()
@@ -84,7 +79,7 @@ def _ends(eod: int, width: str):
         size = np.dtype(width).itemsize
         for b in batches:
             for shard, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                store, path = _open(shard)
+                store, path = store_of(shard)
                 with store.open_input_file(path) as f:
                     f.seek(block * BLOCK_TOKENS * size)
                     data = f.read(BLOCK_TOKENS * size)
@@ -130,5 +125,5 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sizes = [store.get_file_info(path).size for store, path in map(_open, b.column(0).to_pylist())]
+        sizes = [store.get_file_info(path).size for store, path in map(store_of, b.column(0).to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], names=["shard", "bytes"])

@@ -6,12 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch, materialise
+from .common import batch, materialise, store_of
 
-OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+OUT = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("n", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+PAIRS = "q long, query_id long, n long, vec_id long, score long"
+#: Components of the candidates that a task lays out at once.
+CHUNK = 1 << 22
 #: Below this, sums of products of integers are exact in a double.
 EXACT = 2**53
 
@@ -54,22 +58,21 @@ class Searcher:
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
         if x.shape[1] * float(max(1, self.top)) * float(max(1, np.abs(x).max(initial=0))) >= EXACT:
             for i in range(len(self.ids)):
-                self._keep(i, ids, x @ self.q_int[i])
+                self._keep(i, ids, x, x @ self.q_int[i])
             return
         blocks = [np.ascontiguousarray(x[:, a:b], np.float64) for a, b in zip(self.cuts, self.cuts[1:])]
         rest = self._rest(x.astype(np.float64))
-        seed = slice(0, 4 * self.k)
+        first = min(4 * self.k, len(ids))
         for t in range(0, len(self.ids), self.tile):
             part = blocks[0] @ self.q[t : t + self.tile, : self.cuts[1]].T
             for j in range(part.shape[1]):
-                i = t + j
+                i, lo = t + j, 0
                 if len(self.best[i][0]) < self.k:  # a first bound
-                    self._keep(i, ids[seed], x[seed] @ self.q_int[i])
-                    self._scan(i, ids[4 * self.k :], part[4 * self.k :, j], [b[4 * self.k :] for b in blocks], [r[4 * self.k :] for r in rest])
-                else:
-                    self._scan(i, ids, part[:, j], blocks, rest)
+                    self._keep(i, ids[:first], x[:first], x[:first] @ self.q_int[i])
+                    lo = first
+                self._scan(i, ids[lo:], x[lo:], part[lo:, j], [b[lo:] for b in blocks], [r[lo:] for r in rest])
 
-    def _scan(self, i: int, ids: np.ndarray, score: np.ndarray, blocks: list, rest: list) -> None:
+    def _scan(self, i: int, ids: np.ndarray, x: np.ndarray, score: np.ndarray, blocks: list, rest: list) -> None:
         least = self.best[i][0][-1] if len(self.best[i][0]) >= self.k else -np.inf
         alive = None
         for b in range(len(blocks)):
@@ -80,32 +83,62 @@ class Searcher:
             alive, score = stay if alive is None else alive[stay], score[stay]
             if not len(alive):
                 return
-        self._keep(i, ids[alive], np.rint(score).astype(np.int64))
+        self._keep(i, ids[alive], x[alive], np.rint(score).astype(np.int64))
 
-    def _keep(self, i: int, ids: np.ndarray, score: np.ndarray) -> None:
+    def _keep(self, i: int, ids: np.ndarray, x: np.ndarray, score: np.ndarray) -> None:
         other = ids != self.ids[i]
+        other[~other] = (x[~other] != self.q_int[i]).any(1)
         score, ids = np.concatenate([self.best[i][0], score[other]]), np.concatenate([self.best[i][1], ids[other]])
         order = np.lexsort((ids, -score))[: self.k]
         self.best[i] = score[order], ids[order]
 
 
-def _local_best(queries: list[tuple[int, list[int], int]], k: int, width: int):
-    """The best k pairs of a task for each query, which is (id, vector, number of equal rows); each of its rows makes a pair with a candidate."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Ids and vectors by their length, about CHUNK components at a time."""
+    held: dict[int, list] = {}
+    size = 0
+    for b in batches:
+        ids = b.column(0).to_numpy(zero_copy_only=False)
+        for d, (rows, x) in _matrix(b.column(1)).items():
+            held.setdefault(d, []).append((ids[rows], x))
+            size += x.size + len(rows)
+        if size >= CHUNK:
+            yield {d: (np.concatenate([i for i, _ in parts]), np.concatenate([x for _, x in parts])) for d, parts in held.items()}
+            held, size = {}, 0
+    if held:
+        yield {d: (np.concatenate([i for i, _ in parts]), np.concatenate([x for _, x in parts])) for d, parts in held.items()}
+
+
+def _best(files: list[str], k: int, width: int, block: int):
+    """The best k of a chunk of candidates for each query. Queries are read from their files a block at a time, so a task holds one block and one chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            for file in files:
+                store, path = store_of(file)
+                with store.open_input_file(path) as f:
+                    for b in pq.ParquetFile(f).iter_batches(block, columns=["vec_id", "v", "n", "q"]):
+                        ids, n, q = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+                        for d, (rows, v) in _matrix(b.column(1)).items():
+                            if d not in chunk:
+                                continue
+                            found = Searcher(ids[rows], v, k, width)
+                            found.add(*chunk[d])
+                            at = np.repeat(rows, [len(s) for s, _ in found.best])
+                            yield batch({"q": q[at], "query_id": ids[at], "n": n[at], "vec_id": np.concatenate([i for _, i in found.best]), "score": np.concatenate([s for s, _ in found.best])}, OUT)
+
+    return run
+
+
+def _twins(k: int):
+    """Of n equal query rows, each has the n - 1 others as candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[int, list] = {}
-        for i, v, n in queries:
-            groups.setdefault(len(v), []).append((i, v, n))
-        found = {d: Searcher(np.array([i for i, _, _ in g], np.int64), np.array([v for _, v, _ in g], np.int64).reshape(len(g), d), k, width) for d, g in groups.items()}
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for d, (rows, x) in _matrix(b.column(1)).items():
-                if d in found:
-                    found[d].add(ids[rows], x)
-        for d, s in found.items():
-            for at in range(0, len(s.ids), 1000):
-                best = [(np.repeat(x, min(n, k))[:k], np.repeat(i, min(n, k))[:k]) for (x, i), (_, _, n) in zip(s.best[at : at + 1000], groups[d][at : at + 1000])]
-                yield batch({"query_id": np.repeat(s.ids[at : at + 1000], [len(x) for x, _ in best]), "vec_id": np.concatenate([i for _, i in best]), "score": np.concatenate([x for x, _ in best])}, OUT)
+            ids, n, q = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            for rows, v in _matrix(b.column(1)).values():
+                at = np.repeat(np.arange(len(rows)), np.minimum(n[rows] - 1, k))
+                yield batch({"q": q[rows[at]], "query_id": ids[rows[at]], "n": n[rows[at]], "vec_id": ids[rows[at]], "score": (v * v).sum(1)[at]}, OUT)
 
     return run
 
@@ -113,34 +146,21 @@ def _local_best(queries: list[tuple[int, list[int], int]], k: int, width: int):
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, width: int = 16, query_block: int = 4096, scale: int = 256) -> DataFrame:
     """The k highest inner products of each row whose vec_id is divisible by `every`, against all other rows: (query_id, rank, vec_id, score), ties to the smaller id.
 
-    Queries go to the driver in blocks of at most query_block vectors, and each block meets all candidates, so what is
-    broadcast doesn't grow with the data. A task lays its candidates out by blocks of `width` dimensions; after each block,
-    those stay whose score so far plus the product of the remaining norms (Cauchy-Schwarz) reaches the k-th best score yet.
+    Queries are written to the shared folder once and never reach the driver. A task lays a chunk of candidates out by blocks of
+    `width` dimensions and reads the queries a block of query_block at a time, so its memory has a bound whatever
+    the number of either; after each block of dimensions, those candidates stay whose score so far plus the product of the remaining norms
+    (Cauchy-Schwarz) reaches the k-th best score yet. The best of all chunks meet by query.
 
-    Only vectors of one length are compared. Rows that share an id are no candidates of each other. As candidates each of them
-    counts; as queries their pairs with all candidates are ranked together. Scores beyond 64 bits wrap around. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
+    Rows are told apart as rows: of those that share an id, each is a query and the others are its candidates, equal vectors or not.
+    Equal query rows are searched for once and each returned. Only vectors of one length are compared. Scores beyond 64 bits wrap
+    around. Null ids and vectors, and null or non-finite components: the row takes no part. An empty table gives no rows.
     """
-    spark = vectors.sparkSession
     space = quantised(vectors, scale)
     asked = (space.where(F.col("vec_id") % every == 0) if every > 1 else space).groupBy("vec_id", "v").agg(F.count("*").alias("n"))
-    parts, block = [], []
-
-    def ranked(pairs: DataFrame) -> DataFrame:
-        by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-    def send() -> None:
-        parts.append(ranked(space.mapInArrow(_local_best(list(block), k, width), "query_id long, vec_id long, score long")))
-        block.clear()
-
-    for row in asked.toLocalIterator():
-        block.append((row.vec_id, row.v, row.n))
-        if len(block) == query_block:
-            send()
-            parts[-1] = materialise(parts[-1], "topk")
-    if block or not parts:
-        send()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return ranked(out.drop("rank")) if len(parts) > 1 else out  # vectors of one id may lie in two blocks
+    asked = materialise(asked.withColumn("q", F.monotonically_increasing_id()), "topk-queries")
+    pairs = space.mapInArrow(_best(sorted(asked.inputFiles()), k, width, query_block), PAIRS)
+    pairs = pairs.unionByName(asked.where("n > 1").mapInArrow(_twins(k), PAIRS))
+    by = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    best = pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
+    return best.select("query_id", "rank", "vec_id", "score", again.alias("copy")).drop("copy")
