@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, packed, text_bytes, whole_groups
+from .common import discard, materialise, packed, small, text_bytes, whole_groups
 from .components import components
 from .shingles import minima, shingle_sets
 
@@ -152,8 +152,8 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, spare: flo
         kept = materialise((kept if level else kept.join(sets, "node")).select("path", "node", "tokens", "n"), f"buckets-{level}")
         if above is not None:
             discard(above)
-        small = kept.where(F.col("n") <= BUCKET).select("path", "node", "tokens").repartition("path").sortWithinPartitions("path")
-        found = small.mapInArrow(_brute(alike), "a long, b long")
+        few = kept.where(F.col("n") <= BUCKET).select("path", "node", "tokens").repartition("path").sortWithinPartitions("path")
+        found = few.mapInArrow(_brute(alike), "a long, b long")
         large = kept.where(F.col("n") > BUCKET).select("path", "node", "tokens")
         more = not large.isEmpty()
         if more:
@@ -254,7 +254,7 @@ def join(docs: DataFrame, threshold: float = 0.8, k: int = 5, recall: float = 0.
     found = materialise(found, "candidates")
     for made in links:
         discard(made)
-    texts = whole.select("_d", "_t", text_bytes().alias("data")).join(found.select("_d", "_t", "node"), ["_d", "_t"])
+    texts = whole.select("_d", "_t", text_bytes().alias("data")).join(small(found.select("_d", "_t", "node"), found), ["_d", "_t"])
     sizes = found.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("nb"))
     placed = found.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("nb")))
     members = materialise(texts.select("node", "data").mapInArrow(_sets(k), "node long, members binary").groupBy("node").agg(F.any_value("members").alias("members")), "members")
