@@ -31,7 +31,8 @@ def m8_of_paf(genome_size: float = DB_SIZE) -> dict[str, Column]:
     nm = tag_int(c("tags"), "NM")
     score = (c("alen") - 2 * nm).cast("double")
     forward = c("strand") == "+"
-    name = F.regexp_extract(F.regexp_replace("tname", "^>", ""), r"^([^ \t]*)", 1)
+    bare = F.when(F.startswith("tname", F.lit(">")), F.substring("tname", 2, 1 << 30)).otherwise(F.col("tname"))
+    name = F.substring_index(F.substring_index(bare, " ", 1), "\t", 1)
     return {
         "qname": c("qname"),
         "tname": F.substring_index(name, ".", 1),

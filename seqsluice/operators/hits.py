@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lineage as lin
@@ -22,8 +22,13 @@ def resolved(hits: DataFrame, acc2taxid: DataFrame, lineages: DataFrame, least:
 
 def best_hits(hits: DataFrame, order: list[Column]) -> DataFrame:
     """A read's hit of the highest bitscore; ties go to the first in `order`, which must be total."""
-    by = Window.partitionBy("qname").orderBy(F.desc("bitscore"), *order)
-    return hits.withColumn("_rn", F.row_number().over(by)).where("_rn = 1").drop("_rn")
+    return _first(hits, [-F.col("bitscore"), *order])
+
+
+def _first(hits: DataFrame, order: list[Column]) -> DataFrame:
+    """A query's first row in an order, as an aggregate: partial firsts meet, rows are never sorted."""
+    best = F.min_by(F.struct(*hits.columns), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
+    return hits.groupBy("qname").agg(best.alias("best")).select("best.*")
 
 
 def _agreed(mode: str) -> tuple[Column, Column]:
@@ -68,8 +73,7 @@ def summarize(hits: DataFrame, acc2taxid: DataFrame, lineages: DataFrame, order:
 
 def top_nt(hits: DataFrame, order: list[Column]) -> DataFrame:
     """A query's top nucleotide hit: longest, then fewest mismatches and gaps, least evalue, highest bitscore, first in `order`."""
-    by = Window.partitionBy("qname").orderBy(F.desc("alen"), "mismatch", "gapopen", "evalue", F.desc("bitscore"), *order)
-    return hits.withColumn("_rn", F.row_number().over(by)).where("_rn = 1").drop("_rn")
+    return _first(hits, [-F.col("alen"), F.col("mismatch"), F.col("gapopen"), F.col("evalue"), -F.col("bitscore"), *order])
 
 
 def merge_hsps(hits: DataFrame, order: list[str]) -> DataFrame:
@@ -81,8 +85,7 @@ def merge_hsps(hits: DataFrame, order: list[str]) -> DataFrame:
 
 def top_nr(hits: DataFrame, order: list[str]) -> DataFrame:
     """A query's top protein subject after merge_hsps: highest bitscore, least evalue, first name."""
-    by = Window.partitionBy("qname").orderBy(F.desc("bitscore"), "evalue", "tname")
-    return merge_hsps(hits, order).withColumn("_rn", F.row_number().over(by)).where("_rn = 1").drop("_rn")
+    return _first(merge_hsps(hits, order), [-F.col("bitscore"), F.col("evalue"), F.col("tname")])
 
 
 def merge_rows(hits: DataFrame, key: list[str]) -> DataFrame:
@@ -123,6 +126,14 @@ def reference_sequences(sequences: DataFrame, accessions: DataFrame, longest: in
     return rows.where(F.char_length("seq") <= longest).orderBy("accession")
 
 
+def fetch_counts(sequences: DataFrame, accessions: DataFrame, longest: int = 100_000) -> DataFrame:
+    """(wanted, fetched, missing, too_long), one row: what reference_sequences finds of the accessions. With nothing fetched its FASTA is an empty file, which later steps take as the mark of none."""
+    own = sequences.groupBy("accession").agg(F.min(F.char_length("seq")).alias("n"))
+    rows = accessions.select("accession").distinct().join(own, "accession", "left")
+    n = F.col("n")
+    return rows.agg(F.count("*").alias("wanted"), F.count_if(n <= longest).alias("fetched"), F.count_if(n.isNull()).alias("missing"), F.count_if(n > longest).alias("too_long"))
+
+
 def known_accessions(dictionary: DataFrame, *present: DataFrame) -> DataFrame:
     """The dictionary's rows for accessions that some of the tables have."""
     names = present[0].select("accession")

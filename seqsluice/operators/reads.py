@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import same_template
+from ..session import numbered
 
 
 def length_class(length: Column, least: int | None, most: int | None) -> Column:
@@ -66,12 +67,16 @@ def interleave(pairs: DataFrame) -> DataFrame:
     return pairs.select("ordinal", F.posexplode(both).alias("mate", "r")).select((F.col("ordinal") * 2 + F.col("mate")).alias("ordinal"), "r.*")
 
 
-def deinterleave(records: DataFrame) -> DataFrame:
-    """Pairs of an interleaved stream of records numbered from 0."""
+def deinterleave(records: DataFrame, strict: bool = True) -> DataFrame:
+    """Pairs of an interleaved stream of records numbered from 0. A record without its mate is an error, or a pair with a null if not strict."""
     fields = [F.col(c) for c in records.columns if c != "ordinal"]
     one = records.withColumn("r", F.struct(*fields)).withColumn("pair", F.floor(F.col("ordinal") / 2))
     mate = lambda k: F.max_by("r", F.when(F.col("ordinal") % 2 == k, F.lit(1)))
-    return one.groupBy("pair").agg(mate(0).alias("r1"), mate(1).alias("r2")).withColumnRenamed("pair", "ordinal")
+    pairs = one.groupBy("pair").agg(mate(0).alias("r1"), mate(1).alias("r2")).withColumnRenamed("pair", "ordinal")
+    if not strict:
+        return pairs
+    lone = F.raise_error(F.lit("an odd number of records")).cast(pairs.schema["r2"].dataType)
+    return pairs.withColumn("r2", F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.col("r2")).otherwise(lone))
 
 
 def dedup_clusters(reads: DataFrame, length: int = 70) -> DataFrame:
@@ -97,9 +102,12 @@ def unique_reads(reads: DataFrame, length: int = 70) -> DataFrame:
     return reads.join(sizes, "id", "left_semi")
 
 
-def cluster_members(clusters: DataFrame) -> DataFrame:
-    """(representative read id, read id), a row a read, representatives included."""
-    return clusters.select(F.col("representative").alias("representative read id"), F.explode("members").alias("read id"))
+def cluster_members(reads: DataFrame, length: int = 70) -> DataFrame:
+    """(representative read id, read id), a row a read, representatives included. A join by prefix, so a cluster may have any number of reads; adaptive execution splits a hot one."""
+    rows = _prefixed(reads, length)
+    first = rows.groupBy("p1", "p2").agg(F.min_by("id", "ordinal").alias("representative")).select(F.col("p1").alias("q1"), F.col("p2").alias("q2"), "representative")
+    both = rows.join(first, F.col("p1").eqNullSafe(F.col("q1")) & F.col("p2").eqNullSafe(F.col("q2")))
+    return both.select(F.col("representative").alias("representative read id"), F.col("id").alias("read id"))
 
 
 def with_cluster_size(rows: DataFrame, sizes: DataFrame, key: str = "read_id") -> DataFrame:
@@ -114,8 +122,17 @@ def _draw(key: Column, seed: int) -> Column:
 
 
 def subsample(units: DataFrame, n: int, seed: int = 42, key: str = "id") -> DataFrame:
-    """min(n, all) units (reads or pairs), each set of them as likely; a top-n by hash keeps n rows a task, not a sorted table."""
-    return units.withColumn("_draw", _draw(F.col(key), seed)).orderBy("_draw", key).limit(n).drop("_draw")
+    """min(n, all) units (reads or pairs), each set of them as likely: those of the least hashes.
+
+    Counts of 65,536 stretches of the hash tell in which of them the line falls; units before it are taken as they come, and only those of that stretch are put in order."""
+    drawn = units.withColumn("_draw", _draw(F.col(key), seed)).withColumn("_cell", F.substring("_draw", 1, 4))
+    cells = drawn.groupBy("_cell").count()
+    upto = F.sum("count").over(Window.orderBy("_cell"))
+    line = cells.withColumn("upto", upto).where(F.col("upto") >= n).agg(F.min(F.struct("_cell", (F.lit(n) - F.col("upto") + F.col("count")).alias("rest"))).alias("m")).first().m
+    if line is None:
+        return drawn.drop("_draw", "_cell")
+    edge = drawn.where(F.col("_cell") == line["_cell"]).orderBy("_draw", key).limit(line["rest"])
+    return drawn.where(F.col("_cell") < line["_cell"]).unionByName(edge).drop("_draw", "_cell")
 
 
 def subsample_weighted(units: DataFrame, n: int, weight: str, seed: int = 42, key: str = "id") -> DataFrame:
@@ -183,4 +200,30 @@ def alignment_score(a: str, b: str, match: int = 2, mismatch: int = -2, open_gap
 
 def row_numbers(records: DataFrame, order: list[str]) -> DataFrame:
     """records numbered from 0 in an order, for sources without numbers of their own."""
-    return records.withColumn("ordinal", F.row_number().over(Window.orderBy(*order)).cast("long") - 1)
+    return numbered(records, order)
+
+
+def in_order(*streams: DataFrame) -> DataFrame:
+    """The records of several streams one stream after the other: numbered by stream and by their ordinal in it."""
+    out = streams[0].withColumn("stream", F.lit(0))
+    for k, s in enumerate(streams[1:], 1):
+        out = out.unionByName(s.withColumn("stream", F.lit(k)))
+    return out.orderBy("stream", "ordinal")
+
+
+def merged_fairly(*streams: DataFrame) -> DataFrame:
+    """The records of several streams by turns: the first of each, the second of each, and so on; streams that have ended are passed over."""
+    return in_order(*streams).orderBy("ordinal", "stream")
+
+
+def shard_of(name: Column, shards: int) -> Column:
+    """Which of so many shards a read id belongs to, mates with it."""
+    return F.pmod(F.xxhash64(F.substring_index(name, " ", 1)), F.lit(shards))
+
+
+def sorted_alignments(rows: DataFrame, references: DataFrame | None = None) -> DataFrame:
+    """SAM rows by coordinate, the references (name, n) in the order n of the header and unmapped rows last; by read name without references."""
+    if references is None:
+        return rows.orderBy("qname", "flag")
+    order = references.select(F.col("name").alias("rname"), F.col("n").alias("_n"))
+    return rows.join(order, "rname", "left").orderBy(F.col("_n").asc_nulls_last(), "pos", "qname", "flag").drop("_n")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import headers, lineage as lin
 from ..schemas import RANKS
+from ..session import running
 
 
 def contig_calls(read2contig: DataFrame, contig_top: DataFrame, accessions: DataFrame) -> DataFrame:
@@ -84,28 +85,35 @@ def with_taxid_headers(rows: DataFrame, nt: DataFrame, nr: DataFrame, lineages:
 def located(records: DataFrame, size: Column) -> DataFrame:
     """Records of a taxid as they lie in a file sorted by (taxid, ordinal): first_byte and last_byte of each. records: taxid, ordinal.
 
-    Sums by taxid give where each taxid starts; only a taxid's own records are in one order, so a window has no more than those."""
+    Sums by taxid give where each taxid starts, sums by stretches of ordinals where each stretch of a taxid does; no task sorts a whole taxid."""
     sized = records.where("taxid <> -1").withColumn("_n", size.cast("long"))
-    starts = sized.groupBy("taxid").agg(F.sum("_n").alias("_bytes"))
-    before = Window.orderBy("taxid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.withColumn("_start", F.coalesce(F.sum("_bytes").over(before), F.lit(0)))
-    inside = Window.partitionBy("taxid").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    rows = sized.join(starts.select("taxid", "_start"), "taxid")
-    first = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    return rows.withColumn("first_byte", first).withColumn("last_byte", first + F.col("_n") - 1).drop("_n", "_start")
+    starts = running(sized.groupBy("taxid").agg(F.sum("_n").alias("_bytes")), [], "taxid", "_bytes", "_start").select("taxid", "_start")
+    rows = running(sized, ["taxid"], "ordinal", "_n", "_inside_taxid").join(starts, "taxid")
+    first = F.col("_start") + F.col("_inside_taxid")
+    return rows.withColumn("first_byte", first).withColumn("last_byte", first + F.col("_n") - 1).drop("_n", "_start", "_inside_taxid")
 
 
 def locator(records: DataFrame, size: Column, hit_type: str) -> DataFrame:
     """(taxid, first_byte, last_byte, hit_type): the stretch of each taxid in the file sorted by taxid. Needs sums by taxid alone."""
     sums = records.where("taxid <> -1").groupBy("taxid").agg(F.sum(size.cast("long")).alias("n"))
-    before = Window.orderBy("taxid").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum("n").over(before), F.lit(0))
-    return sums.select("taxid", first.alias("first_byte"), (first + F.col("n") - 1).alias("last_byte"), F.lit(hit_type).alias("hit_type"))
+    first = F.col("first")
+    return running(sums, [], "taxid", "n", "first").select("taxid", first.alias("first_byte"), (first + F.col("n") - 1).alias("last_byte"), F.lit(hit_type).alias("hit_type"))
+
+
+def record_bytes() -> Column:
+    """Bytes of a record (id, seq) as FASTA text of two lines."""
+    return F.octet_length("id") + F.octet_length("seq") + 3
+
+
+def sorted_fasta(records: DataFrame, field: str) -> DataFrame:
+    """(value, taxid, ordinal): the FASTA text of records (id, seq, ordinal) that have a taxid in a header field, in the order of the locator's file (taxid, then ordinal), dealt by ranges."""
+    rows = records.withColumn("taxid", headers.header_taxid(F.col("id"), field)).where("taxid <> -1")
+    return rows.repartitionByRange("taxid", "ordinal").sortWithinPartitions("taxid", "ordinal").select(F.concat(F.lit(">"), "id", F.lit("\n"), "seq").alias("value"), "taxid", "ordinal")
 
 
 def locators(records: DataFrame) -> DataFrame:
     """The locators of all six header fields, of records (id, seq) as FASTA text."""
-    size = F.octet_length("id") + F.octet_length("seq") + 3
+    size = record_bytes()
     out = None
     for field in headers.FIELDS:
         own = locator(records.withColumn("taxid", headers.header_taxid(F.col("id"), field)), size, field)

@@ -9,11 +9,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_desc, header_id
 from ..schemas import SAM, SEQUENCE
+from ..session import running
 
 ROWS = 10_000
 #: Fixed value: what is outside the alphabet of proteins.
@@ -173,8 +174,8 @@ def clean_proteins(records: DataFrame) -> DataFrame:
 
 def accession_offsets(records: DataFrame, size: Column) -> DataFrame:
     """(accession, offset) of the first record of each accession: where it would start in a file of records in order of `ordinal`, within each source."""
-    order = Window.partitionBy("source").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    at = records.select(F.substring_index("id", ".", 1).alias("accession"), F.coalesce(F.sum(size).over(order), F.lit(0)).alias("offset"), "source", "ordinal")
+    at = records.select(F.substring_index("id", ".", 1).alias("accession"), size.cast("long").alias("n"), "source", "ordinal")
+    at = running(at, ["source"], "ordinal", "n", "offset")
     return at.groupBy("accession").agg(F.min_by("offset", F.struct("source", "ordinal")).alias("offset"))
 
 

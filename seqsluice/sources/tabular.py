@@ -13,8 +13,12 @@ def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return trimmed(spark.read.text(paths).select("value"))
 
 
+#: What counts as blank at a line's end.
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def trimmed(text: DataFrame) -> DataFrame:
-    return text.select(F.rtrim(F.regexp_replace("value", r"\s+$", "")).alias("value")).where("value <> ''")
+    return text.select(F.rtrim("value", F.lit(BLANKS)).alias("value")).where("value <> ''")
 
 
 def _fields(text: DataFrame, by: str = "\t") -> DataFrame:
@@ -26,28 +30,36 @@ def _at(i: int) -> Column:
     return F.get("f", F.lit(i))
 
 
-#: What a field of each type looks like; the last is a strand.
-FIELD = {"string": r"[^\t]*", "long": r"[0-9]{1,18}", "double": r"[^\t\s]+", "strand": "[+-]"}
+DIGITS = "0123456789"
 
 
-def _row_pattern(kinds: list[str]) -> str:
-    """A line whose first fields are of these types; lengths and counts have no sign, and nothing is trimmed inside."""
-    return "^" + r"\t".join(FIELD[k] for k in kinds) + r"(?:\t|$)"
+def _typed(kinds: list[str], strand: int | None = None) -> Column:
+    """Whether a row's first fields are of these types: lengths and counts have no sign and up to 18 digits, nothing is trimmed inside, a strand is + or -. Digits are told from others over all fields at once."""
+    longs = [_at(i) for i, k in enumerate(kinds) if k == "long"]
+    ok = (F.size("f") >= len(kinds)) & (F.translate(F.concat(*longs), DIGITS, "") == "")
+    for c in longs:
+        ok &= F.char_length(c).between(1, 18)
+    for i, k in enumerate(kinds):
+        if k == "double":
+            ok &= _at(i).try_cast("double").isNotNull() & (F.trim(_at(i), F.lit(BLANKS)) == _at(i))
+    if strand is not None:
+        ok &= _at(strand).isin("+", "-")
+    return F.coalesce(ok, F.lit(False))
 
 
 def parse_m8(text: DataFrame, wide: bool = True, strict: bool = False) -> DataFrame:
-    """Rows of tabular alignments (14 columns, or 12 with lengths of 0). A row with a missing or malformed number is left out, or an error if strict; further columns are ignored; the accession loses its version."""
+    """Rows of tabular alignments (14 columns, or 12 with lengths of 0). A row with a missing or malformed number is left out, or an error if strict; further columns are ignored; the accession loses its version. Lines are split once."""
     fields = columns(M8)[: 14 if wide else 12]
-    pattern = _row_pattern([k for _, k in fields])
-    kept_lines = trimmed(text)
+    rows = _fields(trimmed(text))
+    ok = _typed([k for _, k in fields])
     if strict:
-        kept_lines = kept_lines.select(F.when(F.rlike("value", F.lit(pattern)), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("malformed row: "), "value"))).alias("value"))
-    rows = _fields(kept_lines.where(F.rlike("value", F.lit(pattern))))
-    out = {n: _at(i) if k == "string" else _at(i).try_cast(k) for i, (n, k) in enumerate(fields)}
+        rows = rows.withColumn("f", F.when(ok, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("malformed row: "), "value")).cast("array<string>")))
+    rows = rows.where(ok)
+    out = {n: _at(i) if k == "string" else _at(i).cast(k) for i, (n, k) in enumerate(fields)}
     out["tname"] = F.substring_index(out["tname"], ".", 1)
     if not wide:
         out |= {"qlen": F.lit(0).cast("long"), "slen": F.lit(0).cast("long")}
-    return rows.select(*[c.alias(n) for n, c in out.items()]).where("pident IS NOT NULL AND evalue IS NOT NULL AND bitscore IS NOT NULL")
+    return rows.select(*[c.alias(n) for n, c in out.items()])
 
 
 def hit_lines(text: DataFrame) -> DataFrame:
@@ -61,20 +73,23 @@ def read_accession(text: DataFrame) -> DataFrame:
     return rows.select(_at(0).alias("read_id"), _at(1).alias("accession")).where("read_id <> '' AND accession <> ''")
 
 
-def tag_map(parts: Column) -> Column:
-    """key -> value of parts like K:T:V; others are ignored, the last of a key wins."""
-    three = F.filter(F.transform(parts, lambda x: F.split(F.rtrim(x), ":", 3)), lambda x: F.size(x) == 3)
+def tag_map(three: Column) -> Column:
+    """key -> value of an array of arrays [key, type, value]; the last of a key wins. Only rows that repeat a key pay for looking for it."""
+    entries = lambda x: F.map_from_entries(F.transform(x, lambda t: F.struct(t[0].alias("key"), t[2].alias("value"))))
     last = F.filter(three, lambda x, i: ~F.exists(F.slice(three, i + 2, F.size(three)), lambda y: y[0] == x[0]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x[0].alias("key"), x[2].alias("value"))))
+    distinct = F.size(F.array_distinct(F.transform(three, lambda t: t[0]))) == F.size(three)
+    return F.when(distinct, entries(three)).otherwise(entries(last))
 
 
 def parse_paf(text: DataFrame) -> DataFrame:
-    """PAF rows: 12 columns and tags. Rows that are short, have a bad number or a strand but + or - are left out, as are blank and # lines."""
+    """PAF rows: 12 columns and tags, parts like K:T:V. Rows that are short, have a bad number or a strand but + or - are left out, as are blank and # lines. Lines are split once, tags too."""
     fields = columns(PAF)[:12]
-    pattern = _row_pattern(["strand" if n == "strand" else k for n, k in fields])
-    rows = _fields(hit_lines(text).where(F.rlike("value", F.lit(pattern))))
+    strand = [n for n, _ in fields].index("strand")
+    rows = _fields(hit_lines(text)).where(_typed([k for _, k in fields], strand))
     cols = [(_at(i) if k == "string" else _at(i).cast(k)).alias(n) for i, (n, k) in enumerate(fields)]
-    return rows.select(*cols, tag_map(F.slice("f", 13, F.greatest(F.size("f") - 12, F.lit(0)))).alias("tags"))
+    three = F.filter(F.transform(F.slice("f", 13, F.greatest(F.size("f") - 12, F.lit(0))), lambda x: F.split(F.rtrim(x), ":", 3)), lambda x: F.size(x) == 3)
+    rows = rows.select(*cols, F.explode(F.array(three)).alias("t"))
+    return rows.select(*[n for n, _ in fields], tag_map(F.col("t")).alias("tags"))
 
 
 def parse_sam(text: DataFrame) -> DataFrame:
@@ -108,10 +123,15 @@ def parse_merged(text: DataFrame) -> DataFrame:
     return rows.where("old IS NOT NULL AND new IS NOT NULL")
 
 
-def parse_acc2taxid(text: DataFrame) -> DataFrame:
-    """(accession, taxid) of two or more columns: the taxid is the second of two, else the third; header rows have none and are left out."""
-    taxid = F.when(F.size("f") == 2, _at(1)).otherwise(_at(2)).try_cast("int")
-    return _fields(trimmed(text)).select(F.substring_index(_at(0), ".", 1).alias("accession"), taxid.alias("taxid")).where("taxid IS NOT NULL")
+def parse_acc2taxid(text: DataFrame, strict: bool = True) -> DataFrame:
+    """(accession, taxid) and the other columns of text (such as file and ordinal) of two or more fields: the taxid is the second of two, else the third. Header rows, whose first field begins with accession, are left out; any other bad taxid is an error, or left out if not strict."""
+    others = [c for c in text.columns if c != "value"]
+    field = F.when(F.size("f") == 2, _at(1)).otherwise(_at(2))
+    taxid = field.try_cast("int")
+    if strict:
+        taxid = F.coalesce(taxid, F.raise_error(F.concat(F.lit("bad taxid: "), F.coalesce(field, F.lit("none")))).cast("int"))
+    rows = _fields(text.withColumn("value", F.rtrim(F.regexp_replace("value", r"\s+$", ""))).where("value <> ''")).where(~F.startswith(_at(0), F.lit("accession")) & (F.size("f") >= 2))
+    return rows.select(F.substring_index(_at(0), ".", 1).alias("accession"), taxid.alias("taxid"), *others).where("taxid IS NOT NULL")
 
 
 def parse_taxids(text: DataFrame) -> DataFrame:
@@ -124,6 +144,11 @@ def parse_accession_info(text: DataFrame) -> DataFrame:
     return _fields(trimmed(text)).where(F.size("f") >= 3).select(_at(0).alias("accession"), _at(1).alias("name"), _at(2).cast("long").alias("length"))
 
 
+def read_bytes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, content) of whole files, one a row; a file over Spark's 2 GB of a row needs lines() instead."""
+    return spark.read.format("binaryFile").load(paths).select("path", "length", "content")
+
+
 def parse_json_map(text: DataFrame, kind: str = "long") -> DataFrame:
     """(key, value) of JSON objects, one a row."""
     return text.select(F.explode(F.from_json("value", f"map<string,{kind}>")).alias("key", "value"))
@@ -153,10 +178,17 @@ def parse_insert_sizes(text: DataFrame) -> DataFrame:
     return rows.select(_at(1).try_cast("long").alias("size"), count.alias("count")).where("count > 0")
 
 
-def parse_depth(text: DataFrame) -> DataFrame:
-    """(chrom, pos, depth) of three columns; of a position's rows the last counts, by `ordinal` if the lines have one."""
+def parse_depth(text: DataFrame, strict: bool = True) -> DataFrame:
+    """(chrom, pos, depth) of three columns; of a position's rows the last counts, by `ordinal` if the lines have one. A line of other columns or with a bad number, and a text without lines, is an error, or left out if not strict."""
     order = F.col("ordinal") if "ordinal" in text.columns else F.monotonically_increasing_id()
-    rows = text.withColumn("o", order).withColumn("f", F.split("value", "\t")).where(F.size("f") == 3)
+    if strict and text.isEmpty():
+        raise ValueError("no depth lines")
+    rows = text.withColumn("o", order).withColumn("f", F.split("value", "\t"))
+    ok = (F.size("f") == 3) & _at(1).try_cast("long").isNotNull() & _at(2).try_cast("int").isNotNull()
+    if strict:
+        rows = rows.withColumn("f", F.when(ok, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("bad depth line: "), "value")).cast("array<string>")))
+    else:
+        rows = rows.where(ok)
     rows = rows.select("o", _at(0).alias("chrom"), _at(1).cast("long").alias("pos"), _at(2).cast("int").alias("depth"))
     return rows.groupBy("chrom", "pos").agg(F.max_by("depth", "o").alias("depth"))
 

@@ -155,7 +155,10 @@ def test_taxonomy(spark):
     nodes = spark.createDataFrame([(9, 1, "family"), (8, 9, "genus"), (7, 8, "species"), (6, 7, "strain"), (5, 4, "genus"), (4, 5, "species"), (3, 9, "species")], "taxid int, parent int, rank string")
     want = {9: (-1, -1, 9), 8: (-1, 8, 9), 7: (7, 8, 9), 6: (7, 8, 9), 3: (3, -1, 9)}
     got = {r.taxid: tuple(r)[1:] for r in taxonomy.lineages(nodes).collect()}
-    assert {k: got[k] for k in want} == want and got[4][0] == 4
+    assert {k: got[k] for k in want} == want and got[4] == (4, 5, -1) and got[5] == (4, 5, -1)
+    chain = [(k, k - 1, "family" if k == 2 else "genus" if k == 3 else "species" if k == 400 else "no rank") for k in range(2, 401)]
+    deep = {r.taxid: tuple(r)[1:] for r in taxonomy.lineages(spark.createDataFrame(chain, "taxid int, parent int, rank string")).collect()}
+    assert deep[400] == (400, 3, 2) and deep[200] == (-1, 3, 2) and deep[2] == (-1, -1, 2)
     assert {r.taxid: tuple(r)[1:] for r in taxonomy.lineages_recursive(nodes.where("taxid NOT IN (4, 5)")).collect()} == want
     merged = taxonomy.merged_nodes(nodes, spark.createDataFrame([(3, 2), (2, 7), (77, 9)], "old int, new int"))
     assert {r.taxid: (r.parent, r["rank"]) for r in merged.collect()}[3] == (8, "species") and merged.count() == nodes.count()
