@@ -25,16 +25,20 @@ def tokens(data: bytes) -> list[bytes]:
     return words + [w[:STEM] + b"*" for w in words if len(w) > STEM]
 
 
+#: Examples of a block of the index, and blocks that a query looks into before bounds decide.
+BLOCK, FIRST = 64, 6
+
+
 @dataclass
 class Index:
-    """Examples by row, with the postings of every term; the terms of many examples also lie in a matrix."""
+    """Examples by row, with the postings of every term. Rows lie in blocks; of the terms of many examples the weights lie in a matrix, with the largest of each block beside it."""
 
     terms: dict[bytes, int]
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     k: int
-    size: int = 64
+    size: int = 256
     slope: float = 1.0
     offset: float = 0.0
     none: float = 0.0
@@ -43,6 +47,9 @@ class Index:
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     matrix: tuple | None = None
+    #: Pairs of a query and a block so far, and those of them whose cosines were computed.
+    met: int = 0
+    opened: int = 0
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"matrix": None}
@@ -67,43 +74,69 @@ class Index:
         self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
         self.matrix = None
 
-    def _common(self, least: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-        """The place of each term in the matrix, or -1; and the matrix of the terms that `least` of the examples hold."""
+    def _common(self, least: float = 0.05) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each term in the matrix, or -1; the matrix of the terms that `least` of the examples hold, a block of rows after the other; and the largest weight of each term and block."""
         if self.matrix is None:
             many = np.flatnonzero(np.diff(self.starts) >= max(1, least * len(self.ids)))
-            at, dense = np.full(len(self.idf), -1), np.zeros((len(many), len(self.ids)))
+            blocks = -(-len(self.ids) // BLOCK)
+            at, dense = np.full(len(self.idf), -1), np.zeros((len(many), blocks * BLOCK))
             at[many] = np.arange(len(many))
             for i, t in enumerate(many):
                 own = slice(self.starts[t], self.starts[t + 1])
                 dense[i, self.rows[own]] = self.weights[own]
-            self.matrix = at, dense
+            dense = dense.reshape(len(many), blocks, BLOCK)
+            self.matrix = at, np.ascontiguousarray(dense.transpose(1, 0, 2)), dense.max(2)
         return self.matrix
 
-    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """All of them, to nine places: common terms by a product of matrices, the others by their postings."""
-        at, dense = self._common()
-        q, rest = np.zeros((len(vectors), len(dense))), np.zeros((len(vectors), len(self.ids)))
+    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> np.ndarray:
+        """Cosines to nine places, -1 where a bound shows that a row is none of the k nearest.
+
+        Terms of few examples give their part outright, by their postings. A block's best row can't exceed its best such part
+        plus the block maxima of the other terms. A query looks into the FIRST blocks of the highest bounds; what the k-th
+        best cosine there leaves possible is computed too."""
+        at, dense, peak = self._common()
+        blocks = len(dense)
+        q, rest = np.zeros((len(vectors), dense.shape[1])), np.zeros((len(vectors), blocks * BLOCK))
         for i, (terms, w) in enumerate(vectors):
             place = at[terms]
             q[i, place[place >= 0]] = w[place >= 0]
             terms, w = terms[place < 0], w[place < 0]
             n = self.starts[terms + 1] - self.starts[terms]
             own = np.repeat(self.starts[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            rest[i] = np.bincount(self.rows[own], self.weights[own] * np.repeat(w, n), minlength=len(self.ids))
-        return np.round(q @ dense + rest, 9)
+            rest[i] = np.bincount(self.rows[own], self.weights[own] * np.repeat(w, n), minlength=blocks * BLOCK)
+        rest = rest.reshape(len(vectors), blocks, BLOCK)
+        bound = rest.max(2) + q @ peak
+        out = np.full(rest.shape, -1.0)
+
+        def look(pairs: np.ndarray) -> None:
+            for b in np.flatnonzero(pairs.any(0)):
+                own = np.flatnonzero(pairs[:, b])
+                out[own, b] = np.round(q[own] @ dense[b] + rest[own, b], 9)
+            if skip is not None:
+                out[np.arange(len(out)), skip // BLOCK, skip % BLOCK] = 0
+            self.opened += int(pairs.sum())
+
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argsort(-bound, 1)[:, :FIRST], True, 1)
+        look(first)
+        flat = out.reshape(len(vectors), -1)
+        least = np.partition(flat, -self.k, 1)[:, -self.k] if flat.shape[1] > self.k else np.full(len(flat), -1.0)
+        look(~first & (bound >= least[:, None] - 2e-9))
+        self.met += bound.size
+        return flat[:, : len(self.ids)]
 
     def neighbours(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each vector cosines and rows of the k nearest examples of positive cosine, ties to the smaller row."""
-        for b in range(0, len(vectors), self.size):
-            score = self.cosines(vectors[b : b + self.size])
-            if skip is not None:
-                score[np.arange(len(score)), skip[b : b + self.size]] = 0
+        for b in range(0, len(vectors) if len(self.ids) else 0, self.size):
+            score = self.cosines(vectors[b : b + self.size], None if skip is None else skip[b : b + self.size])
             n = min(self.k, score.shape[1])
-            least = np.partition(score, -n, 1)[:, -n] if n else np.zeros(len(score))
+            least = np.partition(score, -n, 1)[:, -n]
             for own, low in zip(score, least):
                 rows = np.flatnonzero((own >= low) & (own > 0))
                 rows = rows[np.lexsort((rows, -own[rows]))[: self.k]]
                 yield own[rows], rows
+        if not len(self.ids):
+            yield from ((np.empty(0), np.empty(0, np.int64)) for _ in vectors)
 
     def nearest(self, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return next(self.neighbours([(terms, q)]))
@@ -162,9 +195,12 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     """The index of a bounded sample: of the labelled documents of the learning fold `examples` at most, half of them toxic if there
     are so many (else all toxic ones, and more of the others), in each label those that come first by md5(doc_id).
 
-    Every word and beginning of these texts is a term. Its weight is the idf times least + phi, the correlation of its presence with the
-    label, so that signs lead and no term is without weight. Equal texts of the sample count once. An example stands for as many
-    labelled documents of its label as were drawn from, so that calibration is by the true shares.
+    Every word and beginning of these texts is a term, chosen without the label. Its weight is the idf times least + phi, the
+    correlation of its presence with the label: by idf alone the noise of rare words outweighs the signs, and neighbours tell
+    little. Equal texts of the sample with one label are one example; with both labels, an example of each. An id with
+    both labels is toxic. An example stands for as many labelled documents of its label as were drawn from, so that
+    calibration is by the true shares. Rows are in order of their strongest term, then of the text's hash, so that block
+    maxima differ and ties go by content; ids are evidence only.
     The ids of the sample are broadcast to find its texts; only their counts of terms reach the driver."""
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     known = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p"))
@@ -180,8 +216,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     rows = []
     for r in sample.mapInArrow(_counts, "doc_id long, toxic long, h string, words binary, tf binary").toLocalIterator():
         own = np.fromiter((terms.setdefault(w, len(terms)) for w in bytes(r.words).split()), np.int32)
-        rows.append((r.doc_id, r.toxic, r.h, own, np.frombuffer(bytes(r.tf), np.int32)))
-    rows.sort(key=lambda r: r[:3])
+        rows.append((r.h, r.toxic, r.doc_id, own, np.frombuffer(bytes(r.tf), np.int32)))
+    rows.sort(key=lambda r: r[:2])
     place = np.empty(len(terms), np.int32)  # terms by the order of their bytes, whatever task came first
     place[[terms[w] for w in sorted(terms)]] = np.arange(len(terms))
     terms = {w: int(place[t]) for w, t in terms.items()}
@@ -192,8 +228,12 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
         c[place[r[3]]] += 1
         a[place[r[3]]] += r[1]
     phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
-    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), np.array([r[0] for r in rows], np.int64), y, k)
-    index.build([index.weighted(place[r[3]], r[4]) for r in rows])
+    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), np.empty(0, np.int64), np.empty(0, np.int64), k)
+    vectors = [index.weighted(place[r[3]], r[4]) for r in rows]
+    strongest = np.array([t[w.argmax()] if len(w) else -1 for t, w in vectors], np.int64)
+    order = np.argsort(strongest, kind="stable")
+    index.ids, index.labels = np.array([rows[i][2] for i in order], np.int64), y[order]
+    index.build([vectors[i] for i in order])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(index)
 

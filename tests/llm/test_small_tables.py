@@ -246,12 +246,47 @@ def test_nearest_is_exact():
         dense[row, list(t)] = w
     index.build(vectors)
     ranked = dense[index.ids]
-    for q in range(60):
-        t, w = vectors[q]
-        score, rows = index.nearest(t, w)
-        full = ranked @ dense[q]
-        want = np.sort(full[full > 1e-12])[::-1][:9]
-        assert np.allclose(score, want) and np.allclose(full[rows], score)
+    skip = np.arange(500)[::-1].copy()
+    for own, found in ((None, index.neighbours(vectors)), (skip, index.neighbours(vectors, skip))):
+        for q, (score, rows) in enumerate(found):
+            full = ranked @ dense[q]
+            if own is not None:
+                full[own[q]] = 0
+            want = np.sort(full[full > 1e-12])[::-1][:9]
+            assert np.allclose(score, want) and np.allclose(full[rows], score)
+    assert index.opened < index.met
+
+
+def test_scores_are_those_of_all_cosines(spark):
+    """The whole query against dense cosines of all examples; ids of documents and their order are of no account."""
+    rng = random.Random(3)
+    bad, plain = ["nasty", "vileness", "rotten"], [f"w{i}" for i in range(60)]
+    learning = [r.id for r in spark.range(2000).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0).collect()]
+    texts = [" ".join(rng.choices(plain, k=rng.randrange(1, 30)) + rng.choices(bad, k=rng.randrange(3)) * (i % 4 == 0)) for i in range(700)]
+    texts += texts[:20]  # equal cosines
+    toxic = [int(i % 4 == 0) for i in range(720)]
+
+    def rated(ids):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        lab = spark.createDataFrame(list(zip(ids, toxic)), "doc_id long, toxic int")
+        return toxicity.learn(df, lab), {r.doc_id: r.score for r in toxicity.rate(df, lab).collect()}
+
+    ids = learning[:720]
+    index, got = rated(ids)
+    dense = np.zeros((len(index.ids), len(index.terms)))
+    for t in range(len(index.terms)):
+        own = slice(index.starts[t], index.starts[t + 1])
+        dense[index.rows[own], t] = index.weights[own]
+    for i, text in zip(ids, texts):
+        t, w = index.vector(toxicity.tokens(text.encode()))
+        cos = np.round(dense[:, t] @ w, 9)
+        best = [r for r in np.lexsort((np.arange(len(cos)), -cos)) if cos[r] > 0][: index.k]
+        vote = np.average(index.labels[best], weights=1 / (1.05 - cos[best]))
+        assert abs(got[i] - 1 / (1 + np.exp(-(index.slope * vote + index.offset)))) < 1e-6
+    assert len(set(got.values())) > 20
+    other = ids[::-1]
+    _, again = rated(other)
+    assert all(abs(got[a] - again[b]) < 1e-9 for a, b in zip(ids, other))
 
 
 def test_toxicity(spark, odd_docs, no_docs):
