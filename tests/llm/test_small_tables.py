@@ -355,6 +355,24 @@ def test_reputation(spark):
     assert rows[30] == "block" and rows[len(urls) - 1] == "allow"
 
 
+def test_reputations_of_hosts(spark):
+    """Ports and users don't split a host, repeated pages count, suffixes may come as a table, addresses are their own domain; as the SQL has it."""
+    rng = random.Random(6)
+    names = ["bad.net", "bad.net:80", "u:p@bad.net", "a.shop.co.uk", "b.shop.co.uk:8080", "other.co.uk", "10.0.0.1", "10.0.0.1:81", "[::1]:80", "x.github.io", "fresh.org", "", "www.example.com", "en.example.com"]
+    urls = [(rng.randrange(200), f"http://{rng.choice(names)}/{rng.choice(['es/', 'fr/', 'en/', ''])}{rng.randrange(9)}") for _ in range(600)] + [(7, None), (7, None), (None, "http://bad.net/q")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    got = url_filter.judge(pages)
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas().astype({"page_id": "Int64"}))
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({url_filter.oracle()})").fetchall()
+    key = lambda r: tuple(map(str, r))
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(rows, key=key) == sorted(want, key=key)
+    assert len({r[5] for r in rows if "bad.net" in r[1]}) == 1 and len(rows) == len(urls)
+    table = spark.createDataFrame([(x,) for x in url_filter.TWO_LABEL_SUFFIXES] + [(None,)], "suffix string")
+    assert sorted((tuple(r) for r in url_filter.judge(pages, suffixes=table).collect()), key=key) == sorted(rows, key=key)
+
+
 # --- 9 ----
 
 
