@@ -68,22 +68,57 @@ def _probes(lines: DataFrame, most: int) -> DataFrame:
     return _keys(lines, places, most).withColumnsRenamed({"h": "a", "letters": "letters_a"})
 
 
-def removals(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
+def _close(a: Column, b: Column, most: int) -> Column:
+    """Whether two arrays of characters are within `most` edits, `most` up to 4.
+
+    Bit-parallel in one long: lane e has a bit for each of the 2 * most + 1 diagonals that e edits can be on. For each character of b
+    a mask tells on which diagonals a has the same one; a match stays on its diagonal and in its lane, an exchanged character goes up a lane, one that
+    only b has a diagonal down as well, one that only a has a diagonal up."""
+    width = 2 * most + 1
+    lane, band = width + 1, (1 << width) - 1
+    spread = sum(1 << e * lane for e in range(most + 1))
+    lanes = F.lit(band * spread).cast("long")
+    mask = lambda c, j: sum((F.when(F.get(a, j + d) == c, 1 << d + most).otherwise(0) for d in range(-most, most + 1)), F.lit(0)).cast("long")
+
+    def up(e: int):
+        """What a character that only a has adds to lane e + 1."""
+        own, above = (F.lit(band << k * lane).cast("long") for k in (e, e + 1))
+        return lambda t: t.bitwiseOR(F.shiftleft(t.bitwiseAND(own), lane + 1).bitwiseAND(above))
+
+    def step(s: Column, m: Column) -> Column:
+        moved = s.bitwiseAND(m * spread).bitwiseOR(F.shiftleft(s.bitwiseOR(F.shiftright(s, 1).bitwiseAND(lanes)), lane)).bitwiseAND(lanes)
+        for e in range(most):  # lambdas hold what the next lane repeats
+            moved = F.element_at(F.transform(F.array(moved), up(e)), 1)
+        return moved
+
+    start = sum(((1 << e + 1) - 1) << most + e * lane for e in range(most + 1))
+    last = F.aggregate(F.transform(b, mask), F.lit(start).cast("long"), step)
+    apart = F.size(a) - F.size(b)
+    ends = F.call_function("shiftleft", F.lit(spread).cast("long"), F.greatest(apart + most, F.lit(0)))
+    return (F.abs(apart) <= most) & (last.bitwiseAND(ends) != 0)
+
+
+def removals(docs: DataFrame, most: int = 2, least: int = 20, shortest: int = 5) -> DataFrame:
     """(_d, _t, removed, near): numbers (from 0) of each document's removed lines, and how many of them have no exact twin before."""
     by_first = F.struct(*FIRST)
-    distinct = _lines(docs, least).groupBy("h", "g").agg(F.min(by_first).alias("first"), F.count("*").alias("n"), F.any_value("line").alias("line"))
-    distinct = materialise(distinct.withColumns({"n_chars": F.char_length("line"), "letters": _letters()}), "lines")
+    distinct = _lines(docs, shortest).groupBy("h", "g").agg(F.min(by_first).alias("first"), F.count("*").alias("n"), F.any_value("line").alias("line"))
+    distinct = distinct.withColumn("n_chars", F.char_length("line")).withColumn("letters", F.when(F.col("n_chars") >= least, _letters()))
+    distinct = materialise(distinct, "lines")
+    long = distinct.where(F.col("n_chars") >= least)
     # A probing line and an indexed one of no greater length share a segment; equal lines share h.
-    pairs = _probes(distinct, most).join(_index(distinct, most), "key").where((F.col("a") != F.col("b")) & _may_match(F.col("letters_a"), F.col("letters_b"), most))
+    pairs = _probes(long, most).join(_index(long, most), "key").where((F.col("a") != F.col("b")) & _may_match(F.col("letters_a"), F.col("letters_b"), most))
     pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     met = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = materialise(distinct.join(met, "h", "left_semi").select("h", "first", "line"), "line-texts")
     left = texts.select(F.col("h").alias("a"), F.col("first").alias("first_a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h").alias("b"), F.col("first").alias("first_b"), F.col("line").alias("line_b"))
-    near = pairs.join(left, "a").join(right, "b").where(F.levenshtein("line_a", "line_b", most).between(0, most))
+    both = pairs.join(left, "a").join(right, "b")
+    # A generator holds the characters, else the lambdas would split the lines for each of them.
+    both = both.select("a", "b", "first_a", "first_b", F.explode(F.array(F.struct(F.split("line_a", "").alias("x"), F.split("line_b", "").alias("y")))).alias("c"))
+    near = both.where(_close(F.col("c.x"), F.col("c.y"), most))
     later = near.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct().withColumn("near", F.lit(True))
     decided = distinct.select("h", "g", "first", "n").join(later, "h", "left").where((F.col("n") > 1) | F.col("near"))
-    hit = _lines(docs, least).select(*FIRST, "h", "g").join(decided, ["h", "g"])
+    hit = _lines(docs, shortest).select(*FIRST, "h", "g").join(decided, ["h", "g"])
     is_first = by_first == F.col("first")
     gone = hit.where(F.col("near") | ~is_first)
     return gone.groupBy("_d", "_t").agg(F.array_sort(F.collect_set("i")).alias("removed"), F.count_if(is_first).alias("near"))
@@ -92,20 +127,22 @@ def removals(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
 RESULTS = ("kept", "n_lines", "n_removed", "n_near", "removed")
 
 
-def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, most: int = 2, least: int = 20, shortest: int = 5) -> DataFrame:
     """docs with kept (the text without repeated lines), n_lines, n_removed, n_near and removed (line numbers from 0).
 
-    Lines are what newlines separate, without blanks at their ends. A line of at least `least` characters goes if an equal
-    line, or a distinct one within `most` edits, first occurs earlier; earlier is by doc_id, then text, then line number.
-    Shorter and blank lines stay.
+    Lines are what newlines separate, without blanks at their ends. A line of at least `shortest` characters goes if an equal
+    line first occurs earlier, one of at least `least` also if a distinct one of so many, within `most` edits, does; earlier is by doc_id, then text, then line number.
+    Shorter lines, such as braces, and blank ones stay.
 
     Distinct lines are split into most + 1 segments, of which an edit join's match must hold one unchanged; segments are
     indexed by length, number and content, and probed by each line's substrings at the places that can match. Lines that
-    meet are a pair only if their counts of letters allow so few edits, and pairs are verified with the banded edit distance. Equal lines are one before the join, so neither a hot line nor a group of copies multiplies. The list of removals is broadcast to the documents if its files are small, and joined by a shuffle otherwise.
+    meet are a pair only if their counts of letters allow so few edits, and pairs are verified with the banded, bit-parallel
+    edit distance (_close). Equal lines are one before the join, so neither a hot line nor a group of copies multiplies; distinct lines of one
+    length that share a segment do meet in the join, as many as there are. The list of removals is broadcast to the documents if it is small, and joined by a shuffle otherwise.
 
     A null text has no line and stays null; an empty one has one empty line. A null doc_id sorts first. Rows equal in id and text are one document here: their lines don't count as repeats of each other. Columns of docs with the names of results are replaced.
     """
-    found = materialise(removals(docs, most, least), "line-removals")
+    found = materialise(removals(docs, most, least, shortest), "line-removals")
     out = packed(docs, RESULTS).join(small(found), ["_d", "_t"], "left")
     # A generator holds the lines, else the lambda below would split the text for each of them.
     out = out.withColumn("_lines", F.explode(F.array(F.split(F.coalesce("text", F.lit("")), "\n"))))
@@ -119,11 +156,11 @@ def report(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "n_near", F.array_join("removed", ",").alias("removed"))
 
 
-def oracle(most: int = 2, least: int = 20, table: str = "documents") -> str:
+def oracle(most: int = 2, least: int = 20, shortest: int = 5, table: str = "documents") -> str:
     """The same in DuckDB's SQL, by comparing all distinct lines of like length. The hash of equal ids' texts is of no account where ids differ."""
-    return rf"""WITH l AS (SELECT doc_id, i::INT - 1 AS i, trim(line, ' ') AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM {table}) WHERE length(trim(line, ' ')) >= {least}),
+    return rf"""WITH l AS (SELECT doc_id, i::INT - 1 AS i, trim(line, ' ') AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM {table}) WHERE length(trim(line, ' ')) >= {shortest}),
 f AS (SELECT line, min((doc_id, i)) AS first, length(line) AS n FROM l GROUP BY line),
-near AS (SELECT DISTINCT b.line FROM f a JOIN f b ON a.n BETWEEN b.n - {most} AND b.n + {most} AND a.first < b.first AND levenshtein(a.line, b.line) <= {most}),
+near AS (SELECT DISTINCT b.line FROM f a JOIN f b ON a.n >= {least} AND b.n >= {least} AND a.n BETWEEN b.n - {most} AND b.n + {most} AND a.first < b.first AND levenshtein(a.line, b.line) <= {most}),
 gone AS (SELECT l.doc_id, l.i, (l.doc_id, l.i) = f.first AS is_first FROM l JOIN f USING (line) LEFT JOIN near ON l.line = near.line WHERE near.line IS NOT NULL OR (l.doc_id, l.i) <> f.first),
 r AS (SELECT doc_id, list_sort(list(i)) AS removed, count(*)::INT AS n_removed, count(*) FILTER (WHERE is_first) AS n_near FROM gone GROUP BY 1)
 SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10)))::INT END AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_near, 0) AS n_near, coalesce(array_to_string(removed, ','), '') AS removed FROM {table} d LEFT JOIN r ON d.doc_id IS NOT DISTINCT FROM r.doc_id"""

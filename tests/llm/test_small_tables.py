@@ -130,6 +130,8 @@ def test_line_dedup(spark):
     for i in range(50):
         lines = []
         for _ in range(rng.randrange(1, 8)):
+            if rng.random() < 0.2:
+                lines.append(rng.choice(["}", "", "share", "menu", "a 日本語の行", "日本語の文です。"]))
             line = list(rng.choice(base) if rng.random() < 0.7 else say(30))
             for _ in range(rng.choice((0, 0, 1, 2, 3))):
                 at = rng.randrange(len(line))
@@ -142,13 +144,29 @@ def test_line_dedup(spark):
             first.setdefault(line.strip(" "), (i, k))
     keep = [x for x in first if len(x) >= 20]
     near = {b for b in keep for a in keep if first[a] < first[b] and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2}
-    want = {i: [k for k, x in enumerate(y.strip(" ") for y in t.split("\n")) if len(x) >= 20 and (x in near or first[x] != (i, k))] for i, t in docs}
+    want = {i: [k for k, x in enumerate(y.strip(" ") for y in t.split("\n")) if len(x) >= 5 and (x in near or first[x] != (i, k))] for i, t in docs}
     got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: r.removed for r in got} == want and near
     for r in got:
         assert r.kept == "\n".join(x for k, x in enumerate(r.text.split("\n")) if k not in r.removed)
 
 
+@pytest.mark.parametrize("most", [1, 2, 4])
+def test_bit_parallel_distance(spark, most):
+    rng = random.Random(most)
+    pairs = []
+    for _ in range(600):
+        a = rng.choices("abcé日", k=rng.randrange(0, 75))
+        b = list(a)
+        for _ in range(rng.randrange(most + 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(["", "a", "x"])
+        pairs.append(("".join(a), "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.filter(F.split("a", ""), lambda c: c != "").alias("x"), F.filter(F.split("b", ""), lambda c: c != "").alias("y"))
+    got = df.select("a", "b", line_dedup._close(F.col("x"), F.col("y"), most).alias("near")).collect()
+    assert all(r.near == (distance(r.a, r.b) <= most) for r in got) and 0 < sum(r.near for r in got) < len(got)
+
+
 def test_line_dedup_odd(spark, odd_docs, no_docs):
     rows = {(r.doc_id, (r.text or "")[:5]): r for r in line_dedup.dedup_lines(odd_docs).collect()}
     assert rows[None, ""].n_lines == 0 and rows[None, ""].kept is None and rows[1, ""].n_lines == 1
