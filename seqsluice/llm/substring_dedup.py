@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, keyed, materialise, packed, text_bytes, whole_groups
+from .common import discard, keyed, materialise, packed, small, text_bytes, whole_groups
 
 #: Bytes of a repeated string, of the grams that anchor the suffixes, and of the context beside a gram that a string through it can reach.
 LENGTH, GRAM = 200, 64
@@ -18,8 +18,10 @@ SIDE = LENGTH - GRAM
 #: Stands between documents; no byte equals it.
 GAP = 256
 TILE, HALO = 1 << 17, 512
-#: Suffixes of one gram that a task may compare at once after a split; those of more are compared window by window.
-TOGETHER = 20_000
+#: Suffixes of a bucket, and of one gram that a task may compare at once after a split; those of more are compared window by window.
+BUCKET, TOGETHER = 40_000, 20_000
+#: Occurrences of one context that a task joins.
+HOT = 20_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CODES = np.random.default_rng(3).integers(1, 1 << 63, GAP + 1, dtype=np.uint64)
 KEY = ["g", "l", "r"]
@@ -180,41 +182,34 @@ def _window_hashes(context: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.nd
             yield o, rows + lo, h[rows, SIDE - o]
 
 
-def _reach(suffix: np.ndarray, before: np.ndarray, group: np.ndarray, pairwise: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """For rows in groups of one gram: how far before the gram and past it the repeated windows through it go; -1 without one.
+def _reach(suffix: np.ndarray, before: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted suffixes in groups of one gram: how far before the gram and past it the repeated windows through it go; -1 without one.
 
-    All such windows of a row overlap in the gram, so their union is one run. Two rows that agree in L bytes before the
-    gram and R past it share the windows that fit into L + GRAM + R. Small groups are compared by pairs of rows; in large ones, equal windows are found by hash at each offset of the gram."""
+    All such windows of a row overlap in the gram, so their union is one run. Two rows share the window that begins o bytes before
+    the gram if their suffixes agree in the other LENGTH - o bytes and they agree in the o bytes before. The first is
+    told by the common prefixes of neighbours: rows between which none is shorter are a stretch of the order. Of a stretch, rows whose bytes before agree too have one hash."""
     far_l, far_r = np.full(len(group), -1), np.full(len(group), -1)
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    sizes = np.diff(np.append(starts, len(group)))
-    own = np.repeat(sizes, sizes)
-    back = before[:, ::-1]
-    live = np.flatnonzero((own <= pairwise) & (own > 1))
-    for k in range(1, pairwise):
-        live = live[live + k < len(group)]
-        live = live[group[live] == group[live + k]]
-        if not len(live):
-            break
-        for i in np.array_split(live, max(1, len(live) >> 14)):
-            j = i + k
-            left = _common(back[i], back[j])
-            right = _common(suffix[i, GRAM:], suffix[j, GRAM:])
-            ok = left + right >= SIDE
-            for rows in (i[ok], j[ok]):
-                np.maximum.at(far_l, rows, left[ok])
-                np.maximum.at(far_r, rows, right[ok])
-    for at, size in zip(starts[sizes > pairwise], sizes[sizes > pairwise]):
-        context = np.concatenate([before[at : at + size], suffix[at : at + size]], axis=1)
-        by_offset: dict[int, list] = {}
-        for o, rows, h in _window_hashes(context):
-            by_offset.setdefault(o, []).append((rows, h))
-        for o, parts in by_offset.items():
-            rows, h = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            _, code, n = np.unique(h, return_inverse=True, return_counts=True)
-            hit = rows[n[code] > 1] + at
-            far_l[hit] = np.maximum(far_l[hit], o)
-            far_r[hit] = np.maximum(far_r[hit], SIDE - o)
+    if len(group) < 2:
+        return far_l, far_r
+    shared = np.concatenate([[0], np.where(group[1:] == group[:-1], _common(suffix[1:], suffix[:-1]), 0)])
+    alike = np.maximum(shared, np.append(shared[1:], 0))  # with the closer neighbour
+    left, right = (before != GAP).sum(1), (suffix != GAP).sum(1) - GRAM
+    hashes = np.zeros(len(group), np.uint64)
+    power = np.ones(1, np.uint64)
+    for o in range(SIDE + 1):
+        if o:
+            hashes = hashes + CODES[before[:, SIDE - o]] * power
+            power = power * MIX
+        live = np.flatnonzero((alike >= LENGTH - o) & (left >= o) & (right >= SIDE - o))
+        if len(live) < 2:
+            continue
+        stretch = np.cumsum(shared < LENGTH - o)[live].astype(np.uint64)
+        key = _end(hashes[live] ^ (stretch * CODES[GAP]), 5)
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        hit = live[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
+        far_l[hit] = o
+        far_r[hit] = np.maximum(far_r[hit], SIDE - o)
     return far_l, far_r
 
 
@@ -307,8 +302,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     discard(found)
     place = F.struct("_d", "_t", "pos")
     contexts = materialise(kept.groupBy(*KEY).agg(F.count("*").alias("n"), F.min(place).alias("first")), "contexts")
-    # Anchors whose whole context occurs again need no more; the others are compared with all contexts of their gram.
-    twins = kept.join(contexts.where("n > 1").select(*KEY), KEY)
+    # Anchors whose whole context occurs again need no more; the others are compared with all contexts of their gram. A context of very many occurrences is dealt to several tasks.
+    again = contexts.where("n > 1").select(*KEY, F.ceil(F.col("n") / HOT).alias("parts"))
+    hot = materialise(again.where("parts > 1"), "hot-contexts")
+    dealt = kept.join(small(hot), KEY, "left").withColumn("part", F.pmod(F.xxhash64("_d", "_t", "pos"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    twins = dealt.join(again.select(*KEY, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")), [*KEY, "part"])
     spans = twins.select("_d", "_t", (F.col("pos") - F.col("la")).alias("start"), (F.col("pos") + GRAM + F.col("ra")).alias("end"))
     open_grams = contexts.where("n = 1").select("g").distinct()
     wanted = contexts.join(open_grams, "g", "left_semi").select("first._d", "first._t", F.struct("first.pos", *KEY).alias("w"))
@@ -316,15 +314,15 @@ def repeats(docs: DataFrame) -> DataFrame:
     texts = keyed(docs, text_bytes().alias("data"))
     suffixes = texts.join(wanted, ["_d", "_t"]).select("data", "wanted").mapInArrow(_contexts, "suffix binary, before binary, g long, l long, r long")
     suffixes = materialise(suffixes, "suffixes")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // BUCKET))
     buckets = materialise(suffixes.repartitionByRange(parts, "suffix", "l", "r").mapInArrow(_bucket, f"{REACH}, suffix binary, before binary"), "buckets")
     edges = buckets.where("suffix IS NOT NULL").select(*KEY, "suffix", "before")
     sizes = edges.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
-    small = edges.join(sizes.where(F.col("n") <= TOGETHER).select("g"), "g").repartition("g").sortWithinPartitions("g").mapInArrow(_across, REACH)
-    large = edges.join(sizes.where(F.col("n") > TOGETHER).select("g"), "g").mapInArrow(_windows, f"{REACH}, window long")
-    shared = large.groupBy("window", "left").count().where("count > 1").select("window", "left")
-    large = large.join(shared, ["window", "left"]).select(*KEY, "left", "right")
-    reach = buckets.where("suffix IS NULL").select(*KEY, "left", "right").unionByName(small).unionByName(large).groupBy(*KEY).agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    few = edges.join(sizes.where(F.col("n") <= TOGETHER).select("g"), "g").repartition("g").sortWithinPartitions("g").mapInArrow(_across, REACH)
+    many = edges.join(sizes.where(F.col("n") > TOGETHER).select("g"), "g").mapInArrow(_windows, f"{REACH}, window long")
+    shared = many.groupBy("window", "left").count().where("count > 1").select("window", "left")
+    many = many.join(shared, ["window", "left"]).select(*KEY, "left", "right")
+    reach = buckets.where("suffix IS NULL").select(*KEY, "left", "right").unionByName(few).unionByName(many).groupBy(*KEY).agg(F.max("left").alias("left"), F.max("right").alias("right"))
     single = contexts.where("n = 1").join(reach, KEY).select("first._d", "first._t", (F.col("first.pos") - F.col("left")).alias("start"), (F.col("first.pos") + GRAM + F.col("right")).alias("end"))
     return materialise(spans.unionByName(single).groupBy("_d", "_t").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
 
@@ -336,11 +334,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     window's least gram hash is, so equal windows are met through suffixes at the same place in them; a suffix whose gram occurs
     once can't be in a repeated window and goes first. Suffixes whose context on both sides occurs again are settled by
     that. The others go, with one of each context of their gram, to buckets between sampled splitters of their leading
-    bytes; a bucket is sorted by multikey quicksort, and neighbours of one gram are compared in both directions. Splitters can
-    fall inside a gram's suffixes, even equal ones; those of a bucket's first and last gram are compared across boundaries,
-    up to TOGETHER of a gram in one task, more of them by counting their windows.
+    bytes, about BUCKET suffixes each; a bucket is sorted by multikey quicksort, and the common prefixes of neighbours, with hashes
+    of the bytes before, tell the repeated windows. Splitters can fall inside a gram's suffixes, even equal ones; those of a bucket's
+    first and last gram are compared across boundaries in the same way, up to TOGETHER of a gram in one task, more of them by counting their windows.
 
-    Hot passages are counted before any join, and no task gathers more than TOGETHER suffixes of a gram.
+    Hot passages are counted before any join, and no task gathers more than TOGETHER suffixes of a gram or HOT occurrences of a context.
     Null texts are empty. Rows equal in id and text are separate documents, so each repeats the other. An empty table gives no rows. Columns of docs with the names of results are replaced.
     """
     found = repeats(docs)

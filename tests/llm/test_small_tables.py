@@ -394,6 +394,41 @@ def test_reputations_of_hosts(spark):
 # --- 9 ----
 
 
+def test_decoding_and_features_by_hand():
+    """Counts of n-grams one by one; the nearest codeword by a loop over languages and bits."""
+    texts = ["Ähm, the 2 cats.", "", "x", "zz top zz"]
+    got = language.ngram_counts([t.lower().encode() for t in texts], 64)
+    for row, text in zip(got, texts):
+        data = b"  " + bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode()) + b" "
+        want = np.zeros(64)
+        for end in range(2, len(data)):
+            for n in (1, 2, 3):
+                gram = sum(data[end - j] << 8 * j for j in range(n)) + (n << 24)
+                want[(gram * 2654435761 & 0xFFFFFFFF) >> 26] += 1
+        assert (row == want).all()
+    rng = np.random.default_rng(5)
+    for langs in (2, 4, 9):
+        code = language.codewords(langs, 31)
+        assert len(np.unique(code, axis=0)) == langs
+        bits = code.shape[1]
+        trust = rng.uniform(0.1, 1, bits)
+        model = language.Model([f"l{i}" for i in range(langs)], code, rng.normal(size=(16, bits)), rng.normal(size=bits), trust / trust.sum(), 0.2)
+        x = rng.normal(size=(20, 16))
+        best, share, vague = model.decode(x)
+        for i in range(20):
+            f = [max(-3, min(3, float(x[i] @ model.weights[:, b] + model.bias[b]))) for b in range(bits)]
+            loss = [sum(model.trust[b] * np.exp(-f[b] * code[k, b]) for b in range(bits)) for k in range(langs)]
+            p = np.exp(-4 * (np.array(loss) - min(loss)))
+            p = np.sort(p / p.sum())
+            assert best[i] == int(np.argmin(loss)) and abs(share[i] - p[-1]) < 1e-5 and vague[i] == (p[-1] - p[-2] < 0.2)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+
+
 def test_language(spark, odd_docs, no_docs):
     rng = random.Random(9)
     stems = {"en": ["the", "ing", "and", "tion"], "de": ["ein", "sch", "ung", "ß"], "fr": ["eau", "é", "les", "que"], "qq": ["zx", "kj", "vv"]}
