@@ -74,7 +74,7 @@ class Index:
         self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
         self.matrix = None
 
-    def _common(self, least: float = 0.05) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _common(self, least: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The place of each term in the matrix, or -1; the matrix of the terms that `least` of the examples hold, a block of rows after the other; and the largest weight of each term and block."""
         if self.matrix is None:
             many = np.flatnonzero(np.diff(self.starts) >= max(1, least * len(self.ids)))
@@ -88,8 +88,8 @@ class Index:
             self.matrix = at, np.ascontiguousarray(dense.transpose(1, 0, 2)), dense.max(2)
         return self.matrix
 
-    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> np.ndarray:
-        """Cosines to nine places, -1 where a bound shows that a row is none of the k nearest.
+    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines to nine places, -1 where a bound shows that a row is none of the k nearest; and of each vector what none of those is below.
 
         Terms of few examples give their part outright, by their postings. A block's best row can't exceed its best such part
         plus the block maxima of the other terms. A query looks into the FIRST blocks of the highest bounds; what the k-th
@@ -117,22 +117,20 @@ class Index:
             self.opened += int(pairs.sum())
 
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argsort(-bound, 1)[:, :FIRST], True, 1)
+        top = np.argpartition(-bound, FIRST, 1)[:, :FIRST] if blocks > FIRST else np.tile(np.arange(blocks), (len(vectors), 1))
+        np.put_along_axis(first, top, True, 1)
         look(first)
-        flat = out.reshape(len(vectors), -1)
-        least = np.partition(flat, -self.k, 1)[:, -self.k] if flat.shape[1] > self.k else np.full(len(flat), -1.0)
+        seen = np.take_along_axis(out, top[:, :, None], 1).reshape(len(vectors), -1)
+        least = np.partition(seen, -self.k, 1)[:, -self.k] if seen.shape[1] > self.k else np.full(len(seen), -1.0)
         look(~first & (bound >= least[:, None] - 2e-9))
         self.met += bound.size
-        return flat[:, : len(self.ids)]
+        return out.reshape(len(vectors), -1)[:, : len(self.ids)], least
 
     def neighbours(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each vector cosines and rows of the k nearest examples of positive cosine, ties to the smaller row."""
         for b in range(0, len(vectors) if len(self.ids) else 0, self.size):
-            score = self.cosines(vectors[b : b + self.size], None if skip is None else skip[b : b + self.size])
-            n = min(self.k, score.shape[1])
-            least = np.partition(score, -n, 1)[:, -n]
-            for own, low in zip(score, least):
-                rows = np.flatnonzero((own >= low) & (own > 0))
+            for own, low in zip(*self.cosines(vectors[b : b + self.size], None if skip is None else skip[b : b + self.size])):
+                rows = np.flatnonzero(own >= low) if low > 0 else np.flatnonzero(own > 0)
                 rows = rows[np.lexsort((rows, -own[rows]))[: self.k]]
                 yield own[rows], rows
         if not len(self.ids):
