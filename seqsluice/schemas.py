@@ -6,7 +6,7 @@ SEQUENCE = "source string, ordinal long, id string, desc string, seq string, qua
 #: 14 tabular columns of a nucleotide alignment; the protein form has the first 12, and lengths of 0.
 M8 = "qname string, tname string, pident double, alen long, mismatch long, gapopen long, qstart long, qend long, tstart long, tend long, evalue double, bitscore double, qlen long, slen long"
 PAF = "qname string, qlen long, qstart long, qend long, strand string, tname string, tlen long, tstart long, tend long, nmatch long, alen long, mapq long, tags map<string,string>"
-SAM = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string"
+SAM = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags string"
 #: The one layout of a read's taxonomic call; positional text forms exist only for import and export.
 HIT_SUMMARY = (
     "read_id string, level int, taxid int, accession string, species int, genus int, family int, contig_id string, contig_accession string, "

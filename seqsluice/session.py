@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +42,17 @@ def numbered(df: DataFrame, order: list[str], number: str = "ordinal") -> DataFr
     return dealt.withColumn("_i", inside).join(F.broadcast(starts), "_range").withColumn(number, F.col("_start") + F.col("_i")).drop("_range", "_i", "_start")
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that the driver and all executors share: below the session's checkpoint folder, or on this machine where there is no cluster."""
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="work-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 #: Ordinals that a task sums up one by one.
 STRETCH = 1 << 16
 

@@ -1,4 +1,4 @@
-"""Sequence files: FASTA by Spark's text reader, FASTQ and BAM by streaming readers, one task a file."""
+"""Sequence files: FASTA by Spark's text reader, FASTQ in stretches of a file, BAM by a streaming reader, one task a file."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_desc, header_id
 from ..schemas import SAM, SEQUENCE
-from ..session import running
+from ..session import running, settled
 
 ROWS = 10_000
 #: Fixed value: what is outside the alphabet of proteins.
@@ -46,13 +46,71 @@ def _paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
 
 
+def _record(lines: list[bytes]) -> tuple | None:
+    """(id, desc, seq, qual) of four lines: @id, bases, a lone +, as many qualities; None if they are none."""
+    head, seq, plus, qual = (x.rstrip(b"\r\n") for x in lines)
+    if not head.startswith(b"@") or plus != b"+" or not seq or len(seq) != len(qual):
+        return None
+    name, _, desc = head.lstrip(b"@").partition(b" ")
+    return name.decode(), desc.decode() or None, seq.decode(), qual.decode()
+
+
+def _stretch(path: str, start: int, end: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(place, four lines) of the records that begin in [start, end) of a file; of a gzipped one, all if start is 0 and none else.
+
+    @ may begin a line of qualities, but only at a record's first line is the line after next a lone + and are the two between and after it as long as each other."""
+    store, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+    with store.open_input_file(name) as f:
+        zipped = f.read(2) == b"\x1f\x8b"
+    if zipped:
+        if start == 0:
+            lines = iter(_open(path))
+            while four := [x for _, x in zip(range(4), lines)]:
+                yield 0, four + [b""] * (4 - len(four))
+        return
+    with store.open_input_file(name) as f:
+        f.seek(max(0, start - 1))
+        stream = io.BufferedReader(f, 1 << 20)
+        at = start - 1 + len(stream.readline()) if start else 0
+        window = [stream.readline() for _ in range(4)]
+        while start and window[3] and (_record(window) is None):
+            at += len(window[0])
+            window = [*window[1:], stream.readline()]
+        if start and _record(window) is None:
+            return  # the rest of a record that began before, or of one that the count of bytes will miss
+        while window[0] and at < end:
+            yield at, window
+            at += sum(map(len, window))
+            window = [stream.readline() for _ in range(4)]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, start, end, first, n, next, bad) of stretches: where the first record begins, how many there are, where the next one would begin, and whether one is malformed."""
+    for b in batches:
+        for path, start, end in zip(*(c.to_pylist() for c in b.columns)):
+            first, n, after, bad = None, 0, None, False
+            for at, four in _stretch(path, start, end):
+                first = at if first is None else first
+                if _record(four) is None:
+                    bad = True
+                    break
+                n, after = n + 1, at + sum(map(len, four))
+            row = (path, start, end, first, n, after, bad)
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, (pa.string(), *[pa.int64()] * 5, pa.bool_()))], names=["path", "start", "end", "first", "n", "next", "bad"])
+
+
 def _fastq(strict: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path in b.column(0).to_pylist():
+            for path, start, end, base in zip(*(c.to_pylist() for c in b.columns)):
                 rows: list[tuple] = []
-                for i, row in enumerate(fastq_lines(_open(path), strict)):
-                    rows.append((path, i, *row))
+                for i, (_, four) in enumerate(_stretch(path, start, end)):
+                    row = _record(four)
+                    if row is None:
+                        if strict:
+                            raise ValueError(f"malformed FASTQ record: {four[0][:80]!r}")
+                        break
+                    rows.append((path, base + i, *row))
                     if len(rows) == ROWS:
                         yield _sequences(rows)
                         rows = []
@@ -61,31 +119,44 @@ def _fastq(strict: bool):
     return run
 
 
-def fastq_lines(stream: Iterator[bytes], strict: bool) -> Iterator[tuple]:
-    """(id, desc, seq, qual) of records of four lines: @id, bases, a lone +, as many qualities. The first record that isn't ends the reading, or is an error if strict."""
-    it = iter(stream)
-    for head in it:
-        seq, plus, qual = (next(it, b"").rstrip(b"\r\n") for _ in range(3))
-        head = head.rstrip(b"\r\n")
-        if not head.startswith(b"@") or plus != b"+" or not seq or len(seq) != len(qual):
-            if strict:
-                raise ValueError(f"malformed FASTQ record: {head[:80]!r}")
-            return
-        name, _, desc = head.lstrip(b"@").partition(b" ")
-        yield name.decode(), desc.decode() or None, seq.decode(), qual.decode()
-
-
 def _sequences(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.int64(), *[pa.string()] * 4)
     names = ("source", "ordinal", "id", "desc", "seq", "qual")
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=list(names))
 
 
-def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False) -> DataFrame:
-    """(source, ordinal, id, desc, seq, qual) of FASTQ files, plain or gzipped; ordinal numbers a file's records from 0.
+def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, split: int = 64 << 20) -> DataFrame:
+    """(source, ordinal, id, desc, seq, qual) of FASTQ files, plain or gzipped; ordinal numbers a file's records from 0. The first record that is malformed ends its file, or is an error if strict.
 
-    @ may begin a line of qualities and a gzip can't be entered in its middle, so a file is one task's; runs come as many files."""
-    return _paths(spark, paths).mapInArrow(_fastq(strict), SEQUENCE)
+    A plain file is read in stretches of `split` bytes, each a task: records that begin in a stretch are its own. A first pass counts
+    them, so that ordinals go on from stretch to stretch; where a stretch doesn't begin with the record that the one before left
+    off at, something between is malformed. A gzip can't be entered in its middle, so it is one task's."""
+    jvm = spark._jvm
+    rows = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+        step = max(size, 1) if p.lower().endswith((".gz", ".bgz")) else split
+        rows += [(p, at, min(size, at + step)) for at in range(0, max(size, 1), step)]
+    stretches = spark.createDataFrame(rows, "path string, start long, end long").repartition(max(1, len(rows)))
+    if len(rows) == len(paths):
+        return stretches.select("path", "start", "end", F.lit(0).cast("long").alias("base")).mapInArrow(_fastq(strict), SEQUENCE)
+    n_stretches = len(rows)
+    counted = settled(stretches.mapInArrow(_counted, "path string, start long, end long, first long, n long, next long, bad boolean"))
+    by = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    left_off = F.max("next").over(by)
+    apart = F.col("first").isNotNull() & (F.col("start") > 0) & (F.coalesce(left_off, F.lit(0)) != F.col("first"))
+    rows = counted.withColumns({"base": F.coalesce(F.sum("n").over(by), F.lit(0)), "apart": apart, "over": F.coalesce(F.max("bad").over(by), F.lit(False))})
+    ended = F.max("apart").over(by.rowsBetween(Window.unboundedPreceding, 0)) | F.col("over")
+    rows = rows.withColumn("ended", ended)
+    if strict:
+        whole = Window.partitionBy("path")
+        missed = (F.coalesce(F.max("next").over(whole), F.lit(0)) < F.max("end").over(whole)) & ~F.max("bad").over(whole)
+        broken = F.raise_error(F.concat(F.lit("malformed FASTQ record: "), "path", F.lit(" after byte "), F.coalesce(left_off, F.lit(0)).cast("string"))).cast("long")
+        rows = rows.withColumn("base", F.when((F.col("apart") & ~F.col("over")) | missed, broken).otherwise(F.col("base")))
+    else:
+        rows = rows.where(~F.col("ended"))
+    return rows.select("path", "start", "end", "base").repartition(n_stretches).mapInArrow(_fastq(strict), SEQUENCE)
 
 
 def read_pairs(spark: SparkSession, first: list[str], second: list[str]) -> DataFrame:
@@ -100,6 +171,33 @@ def read_pairs(spark: SparkSession, first: list[str], second: list[str]) -> Data
 CIGAR, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 
 
+#: Types of numbers in a BAM record's tags.
+NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def _tags(block: bytes, at: int) -> Iterator[str]:
+    """The tags from a place of a BAM record on, as SAM text."""
+    plain = lambda v, kind: f"{v:g}" if kind == "f" else str(v)
+    while at + 3 <= len(block):
+        key, kind = block[at : at + 2].decode(), chr(block[at + 2])
+        at += 3
+        if kind == "A":
+            text, at = chr(block[at]), at + 1
+        elif kind in NUMBERS:
+            (v,) = struct.unpack_from("<" + NUMBERS[kind], block, at)
+            text, at, kind = plain(v, kind), at + struct.calcsize(NUMBERS[kind]), kind if kind == "f" else "i"
+        elif kind in "ZH":
+            end = block.index(0, at)
+            text, at = block[at:end].decode(), end + 1
+        elif kind == "B":
+            own, n = chr(block[at]), struct.unpack_from("<i", block, at + 1)[0]
+            values = struct.unpack_from(f"<{n}{NUMBERS[own]}", block, at + 5)
+            text, at = ",".join([own, *(plain(v, own) for v in values)]), at + 5 + n * struct.calcsize(NUMBERS[own])
+        else:
+            raise ValueError(f"unknown type {kind} of tag {key}")
+        yield f"{key}:{kind}:{text}"
+
+
 def bam_rows(stream: io.BufferedReader) -> Iterator[tuple]:
     """The SAM columns of a decompressed BAM stream."""
     if stream.read(4) != b"BAM\x01":
@@ -124,7 +222,8 @@ def bam_rows(stream: io.BufferedReader) -> Iterator[tuple]:
         qual = block[at : at + l_seq]
         qual = "*" if not l_seq or qual[0] == 255 else bytes(q + 33 for q in qual).decode()
         nxt = "=" if mate == ref and mate >= 0 else name(mate)
-        yield block[32 : 31 + l_name].decode(), flag, name(ref), pos + 1, mapq, "".join(f"{o >> 4}{CIGAR[o & 15]}" for o in ops) or "*", nxt, mate_pos + 1, tlen, seq, qual
+        at += l_seq
+        yield block[32 : 31 + l_name].decode(), flag, name(ref), pos + 1, mapq, "".join(f"{o >> 4}{CIGAR[o & 15]}" for o in ops) or "*", nxt, mate_pos + 1, tlen, seq, qual, "\t".join(_tags(block, at)) or None
 
 
 def _bam(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

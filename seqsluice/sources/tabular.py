@@ -97,7 +97,8 @@ def parse_sam(text: DataFrame) -> DataFrame:
     rows = _fields(text.where(~F.startswith("value", F.lit("@")))).where(F.size("f") >= 11)
     kinds = ("string", "int", "string", "long", "int", "string", "string", "long", "long", "string", "string")
     names = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
-    return rows.select(*[_at(i).try_cast(k).alias(n) for i, (n, k) in enumerate(zip(names, kinds))])
+    tags = F.array_join(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), "\t")
+    return rows.select(*[_at(i).try_cast(k).alias(n) for i, (n, k) in enumerate(zip(names, kinds))], F.nullif(tags, F.lit("")).alias("tags"))
 
 
 def count_sam(text: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import gzip
+import random
 import struct
 
 import pytest
@@ -7,30 +8,30 @@ from pyspark.sql import functions as F
 from seqsluice.functions import alignments as al
 from seqsluice.sources import files, sinks, tabular
 
-BASIC = "read1\t150\t0\t150\t+\tNC_045512.2\t29903\t100\t250\t148\t150\t60"
-TAGS = "read2\t300\t10\t290\t-\tAB123456\t5000\t200\t480\t270\t280\t30\tcg:Z:10M2I5D\tNM:i:7\tAS:i:255"
-M8 = "read1\tNC_045512.2\t99.333\t150\t1\t0\t1\t150\t100\t249\t1.23e-75\t285.0\t150\t29903"
+BASIC = "q7\t120\t3\t118\t+\tXX_000001.3\t4000\t40\t155\t111\t115\t50"
+TAGS = "q8\t90\t5\t85\t-\tYY7\t2600\t300\t382\t76\t82\t20\tcg:Z:40M1I30M3D9M\tNM:i:6\tAS:i:61"
+M8 = "q1\tZZ_000009.1\t97.250\t200\t5\t1\t1\t200\t31\t229\t4.5e-60\t212.5\t200\t8000"
 
 
 def test_m8(lines):
-    text = lines(M8, M8 + "\textra", M8 + "   ", "", "read1\tx\t99", M8.replace("\t150\t1\t", "\t\t1\t"), M8.replace("\t150\t1\t", "\t-1\t1\t"), M8.replace("1.23e-75", "0"))
+    text = lines(M8, M8 + "\textra", M8 + "   ", "", "read1\tx\t99", M8.replace("\t200\t5\t", "\t\t5\t"), M8.replace("\t200\t5\t", "\t-1\t5\t"), M8.replace("4.5e-60", "0"))
     rows = tabular.parse_m8(text).collect()
-    assert len(rows) == 4 and {r.tname for r in rows} == {"NC_045512"} and rows[0].evalue == 1.23e-75 and rows[0].slen == 29903
+    assert len(rows) == 4 and {r.tname for r in rows} == {"ZZ_000009"} and rows[0].evalue == 4.5e-60 and rows[0].slen == 8000
     narrow = tabular.parse_m8(lines("\t".join(M8.split("\t")[:12])), wide=False).first()
-    assert (narrow.qlen, narrow.slen, narrow.bitscore) == (0, 0, 285.0)
+    assert (narrow.qlen, narrow.slen, narrow.bitscore) == (0, 0, 212.5)
     with pytest.raises(Exception, match="malformed row"):
         tabular.parse_m8(lines("a\tb"), strict=True).collect()
 
 
 def test_paf(lines, spark):
-    rows = {r.qname: r for r in tabular.parse_paf(lines(BASIC, TAGS, BASIC.replace("+", "x"), "#c", "", "short\t1", BASIC.replace("read1", "r6") + "   ", BASIC.replace("read1", "r7") + "\tbadtag\tgood:Z:value\tNM:i:5\tincomplete:")).collect()}
-    assert set(rows) == {"read1", "read2", "r6", "r7"}
-    assert rows["read2"].tags == {"cg": "10M2I5D", "NM": "7", "AS": "255"} and rows["r7"].tags == {"good": "value", "NM": "5"} and rows["r6"].mapq == 60
+    rows = {r.qname: r for r in tabular.parse_paf(lines(BASIC, TAGS, BASIC.replace("+", "x"), "#c", "", "short\t1", BASIC.replace("q7", "r6") + "   ", BASIC.replace("q7", "r7") + "\tbadtag\tgood:Z:value\tNM:i:5\tincomplete:")).collect()}
+    assert set(rows) == {"q7", "q8", "r6", "r7"}
+    assert rows["q8"].tags == {"cg": "40M1I30M3D9M", "NM": "6", "AS": "61"} and rows["r7"].tags == {"good": "value", "NM": "5"} and rows["r6"].mapq == 50
     paf = tabular.parse_paf(lines(TAGS))
     m8 = paf.select(*[c.alias(n) for n, c in al.m8_of_paf(29903.0).items()]).first()
-    assert (m8.tname, m8.mismatch, m8.gapopen, m8.qstart, m8.tstart, m8.tend, m8.alen) == ("AB123456", 7, 2, 11, 480, 201, 280)
-    assert abs(m8.bitscore - (1.58 * 266 + 2.302585093) / 0.693147181) < 1e-4
-    assert paf.select(al.paf_line().alias("x")).first().x.startswith("read2\t300\t10")
+    assert (m8.tname, m8.mismatch, m8.gapopen, m8.qstart, m8.tstart, m8.tend, m8.alen) == ("YY7", 6, 2, 6, 382, 301, 82)
+    assert abs(m8.bitscore - (1.58 * 70 + 2.302585093) / 0.693147181) < 1e-4
+    assert paf.select(al.paf_line().alias("x")).first().x.startswith("q8\t90\t5")
     assert paf.select(*[c.alias(n) for n, c in al.m8_of_paf().items()]).select(al.m8_line().alias("x")).first().x.count("\t") == 13
 
 
@@ -81,6 +82,30 @@ def test_fasta_and_fastq(spark, tmp_path):
         files.find_files(spark, str(tmp_path), ("bam",))
 
 
+@pytest.mark.parametrize("split", [90, 1000, 1 << 20])
+def test_fastq_in_stretches(spark, tmp_path, split):
+    """Qualities that look like headers, records longer than a stretch, a malformed record in the middle."""
+    rng = random.Random(split)
+    records = []
+    for i in range(40):
+        n = rng.choice((1, 3, 9, 120))
+        records.append(f"@r{i} x\n{''.join(rng.choices('ACGT', k=n))}\n+\n{''.join(rng.choices('@+I', k=n))}\n")
+    (tmp_path / "a.fq").write_text("".join(records))
+    (tmp_path / "b.fq").write_text("".join(records[:9]) + "@bad\nAC\n-\nII\n" + "".join(records[9:]))
+    paths = [str(tmp_path / "a.fq"), str(tmp_path / "b.fq")]
+    got = files.read_fastq(spark, paths, split=split).collect()
+    for path, n in zip(paths, (len(records), 9)):
+        own = sorted((r.ordinal, r.id, r.seq, r.qual) for r in got if r.source == path)
+        assert own == [(i, *(x.split("\n")[k].lstrip("@").split(" ")[0] if k == 0 else x.split("\n")[k] for k in (0, 1, 3))) for i, x in enumerate(records[:n])]
+    with pytest.raises(Exception, match="malformed FASTQ"):
+        files.read_fastq(spark, paths[1:], strict=True, split=split).collect()
+    assert files.read_fastq(spark, paths[:1], strict=True, split=split).count() == len(records)
+    (tmp_path / "c.fq").write_text("".join(records) + "@cut\nACGT\n")
+    assert files.read_fastq(spark, [str(tmp_path / "c.fq")], split=split).count() == len(records)
+    with pytest.raises(Exception, match="malformed FASTQ"):
+        files.read_fastq(spark, [str(tmp_path / "c.fq")], strict=True, split=split).collect()
+
+
 def test_pairs_of_files(spark, tmp_path):
     (tmp_path / "1.fq").write_text("@a/1\nAC\n+\nII\n@b/1\nACG\n+\nIII\n")
     (tmp_path / "2.fq").write_text("@a/2\nGG\n+\nII\n")
@@ -91,10 +116,11 @@ def test_pairs_of_files(spark, tmp_path):
 def test_bam(spark, tmp_path):
     name, cigar, seq = b"r1\0", struct.pack("<I", 4 << 4), bytes([0x12, 0x48])
     body = struct.pack("<iiBBHHHiiii", 0, 9, len(name), 60, 0, 1, 99, 4, 0, 29, 24) + name + cigar + seq + bytes([30] * 4)
+    body += b"NMC\x03" + b"ASs" + struct.pack("<h", -7) + b"XAAq" + b"MDZ4\0" + b"XBBs" + struct.pack("<i2h", 2, 5, -6) + b"XFf" + struct.pack("<f", 0.5)
     data = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 1) + struct.pack("<i", 4) + b"chr\0" + struct.pack("<i", 1000) + struct.pack("<i", len(body)) + body
     (tmp_path / "a.bam").write_bytes(gzip.compress(data))
     row = files.read_bam(spark, [str(tmp_path / "a.bam")]).first()
-    assert tuple(row) == ("r1", 99, "chr", 10, 60, "4M", "=", 30, 24, "ACGT", "????")
+    assert tuple(row) == ("r1", 99, "chr", 10, 60, "4M", "=", 30, 24, "ACGT", "????", "NM:i:3\tAS:i:-7\tXA:A:q\tMD:Z:4\tXB:B:s,5,-6\tXF:f:0.5")
 
 
 def test_synthetic_reads(spark):
