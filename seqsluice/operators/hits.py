@@ -41,19 +41,20 @@ def _agreed(mode: str) -> tuple[Column, Column]:
     return F.when(~one[s], 0).when(~one[g], 1).when(~one[f], 2).otherwise(3), F.when(~one[s], 0).when(~one[g], value[s]).when(~one[f], value[g]).otherwise(value[f])
 
 
-def consensus(hits: DataFrame, order: list[str], mode: str = "reference", removed: list[int] = (), allowed: list[int] | None = None) -> DataFrame:
-    """(qname, level, taxid, species, genus, family, n_hits) of resolved hits: the level at which they agree and the first known hit's lineage.
+def consensus(hits: DataFrame, order: list[str], mode: str = "reference", removed: list[int] = (), allowed: list[int] | None = None, by: tuple = ("qname",)) -> DataFrame:
+    """(by, level, taxid, species, genus, family, n_hits) of resolved hits: the level at which they agree and the first known hit's lineage.
 
     A call whose validated lineage fails the keep filter is level 0 and taxid 0 with no hits. One aggregation a read; no sort and no window."""
     level, taxid = _agreed(mode)
     place = F.struct(*order)
-    calls = hits.groupBy("qname").agg(level.alias("level"), taxid.alias("taxid"), F.min_by(F.struct(*RANKS), F.when(F.col("known"), place)).alias("l"), F.count_if("known").alias("n_hits"))
+    calls = hits.groupBy(*by).agg(level.alias("level"), taxid.alias("taxid"), F.min_by(F.struct(*RANKS), F.when(F.col("known"), place)).alias("l"), F.count_if("known").alias("n_hits"))
+    own = [c for c in calls.columns if c not in ("level", "taxid", "l", "n_hits")]
     first = [F.coalesce(F.col(f"l.{r}"), F.lit(-1)) for r in RANKS]
     passes = lin.kept(lin.validated(first, F.col("taxid"), F.col("level")), removed, allowed)
     none = ~passes | (F.col("n_hits") == 0)
     out = {"level": F.when(none, 0).otherwise(F.col("level")), "taxid": F.when(none, 0).otherwise(F.col("taxid")).cast("int"), "n_hits": F.when(none, 0).otherwise(F.col("n_hits")).cast("long")}
     out |= {r: F.when(none, -1).otherwise(v).cast("int") for r, v in zip(RANKS, first)}
-    return calls.withColumns(out).select("qname", "level", "taxid", *RANKS, "n_hits")
+    return calls.withColumns(out).select(*own, "level", "taxid", *RANKS, "n_hits")
 
 
 def summarize(hits: DataFrame, acc2taxid: DataFrame, lineages: DataFrame, order: list[str], least: int = 36, mode: str = "reference", removed: list[int] = (), allowed: list[int] | None = None, source: str | None = None) -> DataFrame:

@@ -46,7 +46,7 @@ def _paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
 
 
-def _record(lines: list[bytes]) -> tuple | None:
+def record_of(lines: list[bytes]) -> tuple | None:
     """(id, desc, seq, qual) of four lines: @id, bases, a lone +, as many qualities; None if they are none."""
     head, seq, plus, qual = (x.rstrip(b"\r\n") for x in lines)
     if not head.startswith(b"@") or plus != b"+" or not seq or len(seq) != len(qual):
@@ -73,10 +73,10 @@ def _stretch(path: str, start: int, end: int) -> Iterator[tuple[int, list[bytes]
         stream = io.BufferedReader(f, 1 << 20)
         at = start - 1 + len(stream.readline()) if start else 0
         window = [stream.readline() for _ in range(4)]
-        while start and window[3] and (_record(window) is None):
+        while start and window[3] and (record_of(window) is None):
             at += len(window[0])
             window = [*window[1:], stream.readline()]
-        if start and _record(window) is None:
+        if start and record_of(window) is None:
             return  # the rest of a record that began before, or of one that the count of bytes will miss
         while window[0] and at < end:
             yield at, window
@@ -91,7 +91,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, n, after, bad = None, 0, None, False
             for at, four in _stretch(path, start, end):
                 first = at if first is None else first
-                if _record(four) is None:
+                if record_of(four) is None:
                     bad = True
                     break
                 n, after = n + 1, at + sum(map(len, four))
@@ -105,7 +105,7 @@ def _fastq(strict: bool):
             for path, start, end, base in zip(*(c.to_pylist() for c in b.columns)):
                 rows: list[tuple] = []
                 for i, (_, four) in enumerate(_stretch(path, start, end)):
-                    row = _record(four)
+                    row = record_of(four)
                     if row is None:
                         if strict:
                             raise ValueError(f"malformed FASTQ record: {four[0][:80]!r}")

@@ -63,10 +63,12 @@ def parse_wide(lines: DataFrame) -> DataFrame:
 
 
 def coverage_csv(stats: DataFrame) -> DataFrame:
-    """The assembly coverage table with six decimals; a lone line if there are no contigs."""
+    """The assembly coverage table with six decimals; a row that says No Contigs if there are none."""
     names = ("avg", "min", "max", "p25", "p50", "p75", "avg2xcnt", "cnt0", "cnt1", "cnt2")
     six = [F.format_string("%.6f", F.col(c).cast("double")).alias(c) for c in names]
-    return stats.select(F.col("ref").alias("contig_name"), *six)
+    rows = stats.select(F.col("ref").cast("string").alias("contig_name"), *six)
+    none = stats.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("No Contigs").alias("contig_name"), *[F.lit("").alias(c) for c in names])
+    return rows.unionByName(none)
 
 
 def insert_size_report(stats: DataFrame, hist: DataFrame) -> DataFrame:

@@ -229,6 +229,23 @@ def variant_classes(variants: DataFrame) -> DataFrame:
     return variants.agg(*[F.count_if(F.col("kind") == k).alias(f"{k}s") for k in ("snp", "mnp", "indel")])
 
 
+#: Ranks of assembly levels.
+ASSEMBLY_LEVELS = {"chromosome": 4, "complete": 3, "scaffold": 2, "contig": 1}
+
+
+def best_assembly(metadata: DataFrame, files: DataFrame, by: list[str] = ()) -> DataFrame:
+    """(by, file, accession, score, released): of the files whose name holds an accession of the metadata that of the highest assembly level, then the latest release, then the first line. metadata: JSON lines in `value`, numbered in `ordinal`; files: file."""
+    kind = "accession string, assembly_info struct<assembly_level:string,release_date:string>"
+    m = metadata.select(*by, "ordinal", F.from_json("value", kind).alias("m")).select(*by, "ordinal", "m.accession", F.lower("m.assembly_info.assembly_level").alias("level"), F.coalesce("m.assembly_info.release_date", F.lit("1900-01-01")).alias("released"))
+    score = F.lit(0)
+    for level, rank in ASSEMBLY_LEVELS.items():
+        score = F.when(F.col("level") == level, rank).otherwise(score)
+    names = files.select(*by, "file", F.explode(F.regexp_extract_all("file", F.lit(r"(GC[AF]_[0-9]+[.][0-9]+)"), 1)).alias("accession"))
+    rows = m.withColumn("score", score).join(names, [*by, "accession"])
+    best = F.max_by(F.struct("file", "accession", "score", "released"), F.struct("score", "released", -F.col("ordinal")))
+    return rows.groupBy(*by).agg(best.alias("b")).where("b IS NOT NULL").select(*by, "b.*")
+
+
 def parse_names(names: DataFrame, nodes: DataFrame) -> DataFrame:
     """(taxid, name) of species: the first scientific name, else the last synonym, else N/A. names: lines of names.dmp in `value`, numbered in `ordinal`."""
     f = F.transform(F.split("value", r"\|"), lambda x: F.trim(F.translate(x, "\t", " ")))
