@@ -117,9 +117,13 @@ def sample_name(path: str) -> str:
     return re.sub(rf"(?i)(?<=.)(?:{end})", "", base).rstrip("_-.")
 
 
+#: Fixed value: what follows the sample in the name of a reads file that is one of a pair.
+PAIR_NAME = r".*_r?[12]\.fastq(\.gz)?$"
+
+
 def find_pairs(names: list[str], sample: str) -> list[str]:
     """The reads files of a sample among some names, sorted."""
-    pattern = re.compile(rf"^{re.escape(sample)}.*_r?[12]\.fastq(\.gz)?$", re.IGNORECASE)
+    pattern = re.compile("^" + re.escape(sample) + PAIR_NAME, re.IGNORECASE)
     return sorted(n for n in names if pattern.match(n))
 
 

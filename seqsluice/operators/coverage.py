@@ -52,13 +52,12 @@ def assembly_coverage(intervals: DataFrame, lengths: DataFrame, compat: bool = F
     covered = hist.groupBy("ref", "length").agg(F.sum(F.when(F.col("depth") > 0, F.col("n")).otherwise(0)).alias("c"))
     hist = hist.where("depth > 0").unionByName(covered.select("ref", "length", F.lit(0).cast("long").alias("depth"), (slots - F.col("c")).alias("n"))).where("n > 0")
     by = Window.partitionBy("ref").orderBy("depth")
-    cum = hist.withColumn("upto", F.sum("n").over(by))
-    total = F.sum(F.col("depth") * F.col("n")) / F.first("length")
+    mean = F.sum(F.col("depth") * F.col("n")).over(Window.partitionBy("ref")) / F.col("length")
+    cum = hist.withColumn("upto", F.sum("n").over(by)).withColumn("mean", mean)
     at = lambda p: F.min(F.when(F.col("upto") > F.floor(F.lit(p) * slots), F.col("depth")))
     share = lambda d: (F.coalesce(F.sum(F.when(F.col("depth") == d, F.col("n"))), F.lit(0)) / F.first("length"))
-    stats = cum.groupBy("ref").agg(total.alias("avg"), F.min("depth").alias("min"), F.max("depth").alias("max"), at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"), share(0).alias("cnt0"), share(1).alias("cnt1"), share(2).alias("cnt2"))
-    high = cum.join(stats.select("ref", "avg"), "ref").groupBy("ref").agg((F.coalesce(F.sum(F.when(F.col("depth") > 2 * F.col("avg"), F.col("n"))), F.lit(0)) / F.first("length")).alias("avg2xcnt"))
-    return stats.join(high, "ref").select("ref", "avg", "min", "max", "p25", "p50", "p75", "avg2xcnt", "cnt0", "cnt1", "cnt2")
+    high = F.coalesce(F.sum(F.when(F.col("depth") > 2 * F.col("mean"), F.col("n"))), F.lit(0)) / F.first("length")
+    return cum.groupBy("ref").agg(F.first("mean").alias("avg"), F.min("depth").alias("min"), F.max("depth").alias("max"), at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"), high.alias("avg2xcnt"), share(0).alias("cnt0"), share(1).alias("cnt1"), share(2).alias("cnt2"))
 
 
 def depth_stats(depths: DataFrame, by: list[str] = (), levels: tuple[int, ...] = (10, 25, 50, 100)) -> DataFrame:

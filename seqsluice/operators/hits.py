@@ -9,13 +9,23 @@ from ..functions import lineage as lin
 from ..schemas import RANKS
 
 
-def resolved(hits: DataFrame, acc2taxid: DataFrame, lineages: DataFrame, least: int = 36, removed: list[int] = (), allowed: list[int] | None = None) -> DataFrame:
+def resolved(hits: DataFrame, acc2taxid: DataFrame, lineages: DataFrame, least: int = 36, removed: list[int] | DataFrame = (), allowed: list[int] | None = None) -> DataFrame:
     """Hits of at least `least` aligned bases whose accession has a positive taxid and whose lineage passes the keep filter, with hit_taxid, species, genus and family (-1 where the lineage is unknown) and known.
 
-    The dictionaries join by key; where they are small, adaptive execution broadcasts them after measuring."""
+    The dictionaries join by key; where they are small, adaptive execution broadcasts them after measuring. A list of taxa to
+    remove goes into the plan; one of any length can be a table (taxid) instead, which the lineages meet before the hits do."""
+    if isinstance(removed, DataFrame):
+        gone = removed.select("taxid").where("taxid > 0").distinct()
+        for r in RANKS:
+            lineages = lineages.join(gone.select(F.col("taxid").alias("_gone"), F.lit(True).alias(f"_{r}")), F.col(r) == F.col("_gone"), "left").drop("_gone")
+        lineages = lineages.withColumn("_out", F.coalesce(*[f"_{r}" for r in RANKS], F.lit(False))).drop(*[f"_{r}" for r in RANKS])
+        removed = ()
+    else:
+        lineages = lineages.withColumn("_out", F.lit(False))
     rows = hits.where(F.col("alen") >= least)
     rows = rows.join(acc2taxid.where("taxid > 0").select(F.col("accession").alias("tname"), F.col("taxid").alias("hit_taxid")), "tname")
-    rows = rows.join(lineages.select(F.col("taxid").alias("hit_taxid"), *RANKS, F.lit(True).alias("known")), "hit_taxid", "left")
+    rows = rows.join(lineages.select(F.col("taxid").alias("hit_taxid"), *RANKS, "_out", F.lit(True).alias("known")), "hit_taxid", "left")
+    rows = rows.where(~F.coalesce("_out", F.lit(False))).drop("_out")
     rows = rows.withColumns({r: F.coalesce(r, F.lit(-1)) for r in RANKS} | {"known": F.coalesce("known", F.lit(False))})
     return rows.where(lin.kept([F.col(r) for r in RANKS], removed, allowed))
 

@@ -281,7 +281,7 @@ def taxon_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_with(INTERVALS) + """, d AS (SELECT ref, unnest(range(1050)) AS pos FROM (SELECT DISTINCT ref FROM iv)), c AS (SELECT ref, pos, count(*) AS depth FROM (SELECT ref, unnest(range(s, e)) AS pos FROM iv) GROUP BY 1, 2)
-SELECT d.ref AS contig_name, printf('%.6f', max(coalesce(depth, 0))::DOUBLE) AS "max", printf('%.6f', min(coalesce(depth, 0))::DOUBLE) AS "min" FROM d LEFT JOIN c USING (ref, pos) GROUP BY d.ref""")
+SELECT CAST(d.ref AS VARCHAR) AS contig_name, printf('%.6f', max(coalesce(depth, 0))::DOUBLE) AS "max", printf('%.6f', min(coalesce(depth, 0))::DOUBLE) AS "min" FROM d LEFT JOIN c USING (ref, pos) GROUP BY d.ref""")
 def coverage_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     iv = st.intervals(spark, sf_dir)
     rows = coverage.assembly_coverage(iv, iv.select("ref").distinct().withColumn("length", F.lit(1050).cast("long")))

@@ -10,15 +10,16 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
+#: Ids made of a stem and what the rules know of mates: suffixes, numbers after a blank, and stems that differ.
 PAIRS = [
-    ("SRR8073913.1.1", "SRR8073913.1.2", True),
-    ("SRR8073913.1 1", "SRR8073913.1 2", True),
-    ("SRR8073913.1/1", "SRR8073913.1/2", True),
-    ("SRR8073913.1.1", "SRR8073913.2.1", False),
-    ("A00123:123:ABC:1:1101:1234:5678 1:N:0:ATGC", "A00123:123:ABC:1:1101:1234:5678 2:N:0:ATGC", True),
-    ("read1", "read1", True),
-    ("read1_R1", "read1_R2", True),
-    ("read1", "read2", False),
+    ("RUN7.42.1", "RUN7.42.2", True),
+    ("RUN7.42 1", "RUN7.42 2", True),
+    ("RUN7.42/1", "RUN7.42/2", True),
+    ("RUN7.42.1", "RUN7.43.1", False),
+    ("lane:3:tile:9 1:N:0:GGTA", "lane:3:tile:9 2:N:0:GGTA", True),
+    ("alone", "alone", True),
+    ("x9_R1", "x9_R2", True),
+    ("x9", "y9", False),
 ]
 
 
@@ -31,12 +32,12 @@ def test_same_template(spark):
 @pytest.mark.parametrize(
     ("header", "prefix", "name", "desc"),
     [
-        ("NC_045512.2", ">", "NC_045512.2", None),
-        ("NC_045512.2 Severe acute respiratory syndrome", ">", "NC_045512.2", "Severe acute respiratory syndrome"),
-        ("read1\tsome description", "@", "read1", "some description"),
-        ("@SRR12345.1 length=150", "@", "SRR12345.1", "length=150"),
-        ("contig_00001 ", ">", "contig_00001", None),
-        ("SRR12345.1.1 SRR12345.1 length=150", "@", "SRR12345.1.1", "SRR12345.1 length=150"),
+        ("acc_7.1", ">", "acc_7.1", None),
+        ("acc_7.1 a virus of something", ">", "acc_7.1", "a virus of something"),
+        ("r5\twith a tab", "@", "r5", "with a tab"),
+        ("@r5.2 len=99", "@", "r5.2", "len=99"),
+        ("lonely ", ">", "lonely", None),
+        ("r5.2.1 r5.2 len=99", "@", "r5.2.1", "r5.2 len=99"),
     ],
 )
 def test_headers(spark, header, prefix, name, desc):
@@ -44,9 +45,9 @@ def test_headers(spark, header, prefix, name, desc):
 
 
 def test_header_taxids(spark):
-    assert one(spark, hd.header_taxid(F.lit("sample:species_nt:123:readA"), "species_nt")) == 123
-    assert one(spark, hd.header_taxid(F.lit("sample:species_nt:123:readA"), "genus_nt")) == -1
-    assert one(spark, hd.header_taxid(F.lit(">sample:species_nt:not_a_number:readA"), "species_nt")) == -1
+    assert one(spark, hd.header_taxid(F.lit("s9:species_nt:77:r"), "species_nt")) == 77
+    assert one(spark, hd.header_taxid(F.lit("s9:species_nt:77:r"), "genus_nt")) == -1
+    assert one(spark, hd.header_taxid(F.lit(">s9:species_nt:seven:r"), "species_nt")) == -1
     assert one(spark, hd.header_field_number(F.lit(">a:b:c"), "b")) == 2
     assert one(spark, hd.header_field_number(F.lit(">a:b:c"), "d")) == -1
     assert one(spark, hd.annotated_id(F.lit(None).cast("string"), F.lit("N1"), F.lit("r"))) == "NR::NT:N1:r"

@@ -164,6 +164,16 @@ def test_taxonomy(spark):
     assert {r.taxid: (r.parent, r["rank"]) for r in merged.collect()}[3] == (8, "species") and merged.count() == nodes.count()
 
 
+def test_removed_taxa_as_a_table(spark):
+    rows = spark.createDataFrame([("q", f"a{k}", 50) for k in range(6)], "qname string, tname string, alen int")
+    acc = spark.createDataFrame([(f"a{k}", k + 1) for k in range(6)], "accession string, taxid int")
+    tree = spark.createDataFrame([(k + 1, k + 1, 10 + k % 2, 20 + k % 3) for k in range(5)], "taxid int, species int, genus int, family int")
+    gone = [2, 21, 9999]
+    listed = hits.resolved(rows, acc, tree, removed=gone).collect()
+    table = hits.resolved(rows, acc, tree, removed=spark.createDataFrame([(t,) for t in [*gone, -1, None]], "taxid int"))
+    assert sorted(map(str, listed)) == sorted(map(str, table.collect())) and {r.tname for r in listed} == {"a0", "a2", "a3", "a5"}
+
+
 def test_tools(spark):
     assert tools.arguments("blastn", 8, reads="q.fa", db="nt")[-1] == "8" and "5000" in tools.arguments("blastn")
     assert tools.version_ok("samtools", "1.20") and not tools.version_ok("samtools", "1.9".replace("9", "1"))
