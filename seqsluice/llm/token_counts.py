@@ -21,9 +21,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 
 
-def encoder(vocabulary: str):
-    """A function from texts to lists of identifiers. The driver reads the file; what is sent to the tasks is that one public vocabulary."""
-    from public_tokenizers import PATTERN
+def encoder(vocabulary: str, pattern: str | None = None):
+    """A function from texts to lists of identifiers. The driver reads the file; what is sent to the tasks is that one public vocabulary. pattern cuts texts into what is merged; without one it is that of the module public_tokenizers, which comes with the vocabularies."""
+    if pattern is None:
+        from public_tokenizers import PATTERN as pattern
 
     with open(vocabulary, "rb") as f:
         lines = f.read()
@@ -32,17 +33,17 @@ def encoder(vocabulary: str):
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines.splitlines() if x)}
-        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     return make
 
 
-def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, eod: int = END_OF_DOCUMENT) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, eod: int = END_OF_DOCUMENT, pattern: str | None = None) -> DataFrame:
     """Encodes every whole text and writes flat little-endian uint16 files below `folder`, each document followed by eod: (shard, ordinal, doc_id), the manifest.
 
     A task writes under names of its own and the manifest that Spark commits names the files of the attempts that
     succeeded, so files of lost or repeated attempts are never read. Null and empty texts are a lone eod."""
-    make = encoder(vocabulary)
+    make = encoder(vocabulary, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, out, name, n, size = make(), None, "", 0, 0
@@ -111,12 +112,12 @@ def scan(spark: SparkSession, shards: DataFrame, eod: int = END_OF_DOCUMENT, wid
     return inside.unionByName(tails)
 
 
-def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, shard, first_token) for every document: encoded to flat files, then counted by the scan alone.
 
     Rows that share a doc_id return a row each; a null doc_id stays null; null and empty texts have no tokens; an empty table gives no rows."""
     spark = docs.sparkSession
-    manifest = write_token_files(docs, work_dir(spark, "token-files"), vocabulary)
+    manifest = write_token_files(docs, work_dir(spark, "token-files"), vocabulary, pattern=pattern)
     sizes = manifest.select("shard").distinct().mapInArrow(_sizes, "shard string, bytes long")
     found = scan(spark, sizes)
     name = F.substring_index("shard", "/", -1).alias("shard")
