@@ -185,6 +185,15 @@ def accession_members(calls: DataFrame) -> DataFrame:
     return calls.groupBy("taxid", "accession").agg(F.array_sort(F.collect_set("contig_id")).alias("contigs"), F.array_sort(F.collect_set(F.when(F.col("contig_id").isNull(), F.col("read_id")))).alias("reads"))
 
 
+def member_hits(hits: DataFrame, members: DataFrame) -> DataFrame:
+    """Hits of an accession's members, with taxid and kind: a contig's hits are those of the contig, a read's those on the accession itself. hits: qname, tname; members: taxid, accession, contig_id or null, read_id."""
+    contigs = members.where("contig_id IS NOT NULL").select("taxid", "accession", F.col("contig_id").alias("qname")).distinct()
+    alone = members.where("contig_id IS NULL").select("taxid", "accession", F.col("read_id").alias("qname")).distinct()
+    on_contigs = hits.join(contigs, "qname").withColumn("kind", F.lit("contig"))
+    of_reads = hits.join(alone.withColumn("tname", F.col("accession")), ["qname", "tname"]).withColumn("kind", F.lit("read"))
+    return on_contigs.unionByName(of_reads)
+
+
 def member_counts(calls: DataFrame) -> DataFrame:
     """(taxid, accession, n_contigs, n_reads) without the lists."""
     return calls.groupBy("taxid", "accession").agg(F.count_distinct("contig_id").alias("n_contigs"), F.count_distinct(F.when(F.col("contig_id").isNull(), F.col("read_id"))).alias("n_reads"))

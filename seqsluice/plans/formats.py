@@ -422,6 +422,25 @@ def accession_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.accession_members(rows).select("taxid", "accession", F.array_join("contigs", ",").alias("contigs"), F.array_join("reads", ",").alias("reads"))
 
 
+@query(_with(HITS) + """, m AS (SELECT o_custkey AS taxid, CAST(o_orderkey % 10 AS VARCHAR) AS accession, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_custkey AS VARCHAR) END AS contig_id, CAST(o_orderkey AS VARCHAR) AS read_id FROM orders)
+SELECT qname, tname, partkey, mismatch, taxid, accession, 'contig' AS kind FROM hits JOIN (SELECT DISTINCT taxid, accession, contig_id FROM m WHERE contig_id IS NOT NULL) ON qname = contig_id
+UNION ALL SELECT qname, tname, partkey, mismatch, taxid, accession, 'read' FROM hits JOIN (SELECT DISTINCT taxid, accession, read_id FROM m WHERE contig_id IS NULL) ON qname = read_id AND tname = accession""")
+def hits_of_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    members = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("taxid"), (k % 10).cast("string").alias("accession"), F.when(k % 4 == 0, F.col("o_custkey").cast("string")).alias("contig_id"), k.cast("string").alias("read_id"))
+    return coverage.member_hits(st.hits(spark, sf_dir), members).select("qname", "tname", "partkey", "mismatch", "taxid", "accession", "kind")
+
+
+@query(f"WITH {_FLAT} SELECT count(*) AS n, count(DISTINCT id) AS ids, 0::BIGINT AS least, true AS dense FROM flat WHERE seq <> ''")
+def fasta_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordinals number a file's records from 0, however many tasks read it."""
+    folder = work_folder(spark, "fasta-ordinals")
+    sinks.write_fasta(_records(spark, sf_dir).coalesce(2), folder)
+    rows = files.whole_headers(files.read_fasta(spark, folder))
+    each = rows.groupBy("source").agg(F.count("*").alias("n"), F.min("ordinal").alias("least"), F.max("ordinal").alias("most"), F.count_distinct("ordinal").alias("d"), F.count_distinct("id").alias("ids"))
+    return each.agg(F.sum("n").alias("n"), F.sum("ids").alias("ids"), F.min("least").alias("least"), F.every((F.col("most") == F.col("n") - 1) & (F.col("d") == F.col("n"))).alias("dense"))
+
+
 # --- headers and text forms ---------------------------------------------------------------------------------------
 
 

@@ -21,10 +21,35 @@ ROWS = 10_000
 OTHER = r"[^ACDEFGHIKLMNPQRSTVWYXBZJUO*.\-]"
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(source, ordinal, id, desc, seq, qual) of FASTA records; sequences of many lines are joined. Files are split at record starts, so a large one is read by many tasks."""
-    text = spark.read.text(paths, lineSep="\n>").select(F.input_file_name().alias("source"), F.monotonically_increasing_id().alias("ordinal"), "value")
-    return fasta_records(text.where(F.rlike("value", F.lit(r"\S"))))
+def read_fasta(spark: SparkSession, paths: str | list[str], until_blank: bool = False) -> DataFrame:
+    """(source, ordinal, id, desc, seq, qual) of FASTA records; sequences of many lines are joined, ordinal numbers a file's records from 0. Files are split at record starts, so a large one is read by many tasks; a first pass counts the records of each split. until_blank: a blank line ends a file, as it does a stream."""
+    text = spark.read.text(paths, lineSep="\n>").select(F.input_file_name().alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
+    text = text.where(F.rlike("value", F.lit(r"\S")))
+    starts = text.groupBy("source", "block").agg(F.count("*").alias("rows"), F.min("n").alias("first"))
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("source", "block", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    text = text.join(F.broadcast(starts), ["source", "block"]).select("source", (F.col("before") + F.col("n") - F.col("first")).alias("ordinal"), "value")
+    if until_blank:
+        ends = text.where(F.rlike("value", F.lit(BLANK_LINE))).groupBy("source").agg(F.min("ordinal").alias("last"))
+        text = text.join(ends, "source", "left").where(F.col("last").isNull() | (F.col("ordinal") <= F.col("last")))
+        text = text.select("source", "ordinal", F.when(F.col("ordinal") == F.col("last"), F.regexp_replace("value", r"(?s)\r?\n[ \t]*\r?\n.*$", "")).otherwise(F.col("value")).alias("value"))
+    return fasta_records(text)
+
+
+#: A blank line that something follows or that ends the text.
+BLANK_LINE = r"\n[ \t]*\r?\n"
+
+
+def too_small(spark: SparkSession, path: str, least: int) -> bool:
+    """Whether a file or folder is missing or has fewer bytes, so that later steps are left out."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not store.exists(p) or store.getContentSummary(p).getLength() < least
+
+
+def whole_headers(records: DataFrame) -> DataFrame:
+    """records whose id is the whole header, with no description."""
+    return records.withColumns({"id": F.concat_ws(" ", "id", "desc"), "desc": F.lit(None).cast("string")})
 
 
 def fasta_records(text: DataFrame) -> DataFrame:

@@ -82,6 +82,27 @@ def test_fasta_and_fastq(spark, tmp_path):
         files.find_files(spark, str(tmp_path), ("bam",))
 
 
+def test_fasta_in_splits(spark, tmp_path):
+    """A file of many splits has ordinals in its order; a blank line may end a file; headers may stay whole; small files are told."""
+    text = "".join(f">r{i} d{i}\nAC\nGT{'A' * (i % 7)}\n" for i in range(400))
+    (tmp_path / "a.fa").write_text(text)
+    (tmp_path / "b.fa").write_text(">x one\nAC\n\nGT\n>y\nTT\n")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = files.read_fasta(spark, str(tmp_path / "a.fa"))
+        assert rows.rdd.getNumPartitions() > 4
+        assert [(r.ordinal, r.id, r.seq) for r in rows.orderBy("ordinal").collect()] == [(i, f"r{i}", f"ACGT{'A' * (i % 7)}") for i in range(400)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    paths = [str(tmp_path / "a.fa"), str(tmp_path / "b.fa")]
+    assert [(r.id, r.seq) for r in files.read_fasta(spark, paths[1]).orderBy("ordinal").collect()] == [("x", "ACGT"), ("y", "TT")]
+    cut = files.read_fasta(spark, paths, until_blank=True)
+    assert cut.count() == 401 and [(r.id, r.seq) for r in cut.where("id IN ('x', 'y')").collect()] == [("x", "AC")]
+    assert files.whole_headers(cut).where("ordinal = 0 AND id = 'x one' AND desc IS NULL").count() == 1
+    assert files.too_small(spark, paths[1], 25) and not files.too_small(spark, paths[0], 25) and files.too_small(spark, str(tmp_path / "none"), 1)
+
+
 @pytest.mark.parametrize("split", [90, 1000, 1 << 20])
 def test_fastq_in_stretches(spark, tmp_path, split):
     """Qualities that look like headers, records longer than a stretch, a malformed record in the middle."""
