@@ -217,8 +217,9 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
         rows.append((r.h, r.toxic, r.doc_id, own, np.frombuffer(bytes(r.tf), np.int32)))
     rows.sort(key=lambda r: r[:2])
     place = np.empty(len(terms), np.int32)  # terms by the order of their bytes, whatever task came first
-    place[[terms[w] for w in sorted(terms)]] = np.arange(len(terms))
-    terms = {w: int(place[t]) for w, t in terms.items()}
+    for i, w in enumerate(sorted(terms)):
+        place[terms[w]] = i
+        terms[w] = i
     n, y = len(rows), np.array([r[1] for r in rows], np.int64)
     pos = int(y.sum())
     c, a = np.zeros(len(terms)), np.zeros(len(terms))
@@ -226,12 +227,15 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
         c[place[r[3]]] += 1
         a[place[r[3]]] += r[1]
     phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
+    ids = np.array([r[2] for r in rows], np.int64)
     index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), np.empty(0, np.int64), np.empty(0, np.int64), k)
-    vectors = [index.weighted(place[r[3]], r[4]) for r in rows]
+    rows.reverse()
+    vectors = [index.weighted(place[r[3]], r[4]) for r in (rows.pop() for _ in range(n))]  # each row goes as its vector comes
     strongest = np.array([t[w.argmax()] if len(w) else -1 for t, w in vectors], np.int64)
     order = np.argsort(strongest, kind="stable")
-    index.ids, index.labels = np.array([rows[i][2] for i in order], np.int64), y[order]
+    index.ids, index.labels = ids[order], y[order]
     index.build([vectors[i] for i in order])
+    del vectors
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(index)
 
