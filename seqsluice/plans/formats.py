@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import gzip
+import struct
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,6 +160,34 @@ def low_quality_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(reads.low_quality(rows, least_complexity=0.0)).select(F.col("ordinal").alias("doc_id"))
 
 
+@query(f"WITH {_FLAT}, f AS (SELECT doc_id, seq, row_number() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) - 1 AS k FROM flat WHERE seq <> '') SELECT a.k AS ordinal, concat('p', a.doc_id) AS id1, concat('p', b.doc_id) AS id2, md5(a.seq) AS seq1, md5(b.seq) AS seq2 FROM (SELECT * FROM f WHERE doc_id % 2 = 0) a FULL JOIN (SELECT * FROM f WHERE doc_id % 2 = 1) b ON a.k = b.k")
+def fastq_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even documents as first mates, odd ones as second, from two files."""
+    paths = []
+    for odd in (0, 1):
+        folder = work_folder(spark, "mates")
+        rows = _records(spark, sf_dir).where(F.col("doc_id") % 2 == odd).withColumn("id", F.concat(F.lit("p"), "doc_id"))
+        sinks.write_fastq(rows.coalesce(1).sortWithinPartitions("doc_id"), folder)
+        paths.append(_written(spark, folder)[:1])
+    pairs = files.read_pairs(spark, *paths)
+    md5 = lambda c: F.md5(F.col(c).cast("binary"))
+    return pairs.select("ordinal", F.col("r1.id").alias("id1"), F.col("r2.id").alias("id2"), md5("r1.seq").alias("seq1"), md5("r2.seq").alias("seq2"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream, two branches: one counts, one sums; both see every row."""
+    folder = work_folder(spark, "fan-out")
+    events = table(spark, sf_dir, "events")
+    events.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+    branches = [lambda df: df.groupBy("event_type").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{folder}/n"), lambda df: df.groupBy("event_type").agg(F.sum("value").alias("total")).write.mode("append").parquet(f"{folder}/total")]
+    ingest.fan_out(stream, branches, f"{folder}/checkpoint").awaitTermination()
+    n = spark.read.parquet(f"{folder}/n").groupBy("event_type").agg(F.sum("n").alias("n"))
+    total = spark.read.parquet(f"{folder}/total").groupBy("event_type").agg(F.round(F.sum("total"), 4).alias("total"))
+    return n.join(total, "event_type")
+
+
 # --- tables and statistics ----------------------------------------------------------------------------------------
 
 
@@ -356,6 +388,39 @@ def cigar_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.cigar_blocks(rows)
 
 
+@query(f"WITH {_SAM} SELECT row_number() OVER (ORDER BY CAST(substring(rname, 2) AS BIGINT) DESC, ordinal, qname, flag, l_linenumber, tlen) - 1 AS place, rname, qname, ordinal AS pos FROM sam")
+def alignments_by_coordinate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References in the header's order, here the largest number first; rows that tie are alike."""
+    rows = _sam(spark, sf_dir).withColumnRenamed("ordinal", "pos")
+    refs = rows.select(F.col("rname").alias("name")).distinct().withColumn("n", -F.substring("name", 2, 9).cast("int"))
+    laid = reads.sorted_alignments(rows, refs).withColumn("m", F.monotonically_increasing_id())
+    return numbered(laid.select("rname", "qname", "pos", "m"), ["m"], "place").select("place", "rname", "qname", "pos")
+
+
+def _bam(rows: list) -> bytes:
+    """An uncompressed BAM of (name, reference number, position, bases), for the query below."""
+    code = {b: i for i, b in enumerate(files.BASES)}
+    refs = sorted({r for _, r, _, _ in rows})
+    out = [b"BAM\1", struct.pack("<ii", 0, len(refs))]
+    out += [struct.pack("<i", len(f"ref{r}") + 1) + f"ref{r}".encode() + b"\0" + struct.pack("<i", 10**6) for r in refs]
+    for name, ref, pos, seq in rows:
+        packed = bytes(code[a] << 4 | code[b] for a, b in zip(seq[::2], [*seq[1::2], "="]))
+        body = struct.pack("<iiBBHHHiiii", refs.index(ref), pos, len(name) + 1, 60, 0, 1, 0, len(seq), -1, -1, 0) + name.encode() + b"\0" + struct.pack("<I", len(seq) << 4) + packed + bytes([30] * len(seq)) + b"NMC" + bytes([pos % 7])
+        out.append(struct.pack("<i", len(body)) + body)
+    return b"".join(out)
+
+
+@query("SELECT n_name AS qname, 0::INT AS flag, concat('ref', n_regionkey) AS rname, CAST(n_nationkey * 10 + 1 AS BIGINT) AS pos, concat(length(s), 'M') AS cigar, s AS seq, concat('NM:i:', n_nationkey * 10 % 7) AS tags FROM (SELECT *, regexp_replace(n_name, '[^ACGT]', 'N', 'g') AS s FROM nation)")
+def bam_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as alignments in a BAM file."""
+    rows = table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_name", "n_regionkey", (F.col("n_nationkey") * 10).alias("pos"), F.regexp_replace("n_name", "[^ACGT]", "N").alias("s")).collect()
+    path = f"{work_folder(spark, 'bam')}/a.bam"
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    with contextlib.closing(file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file)) as out:
+        out.write(bytearray(gzip.compress(_bam([tuple(r) for r in rows]))))
+    return files.read_bam(spark, [path]).select("qname", "flag", "rname", "pos", "cigar", "seq", "tags")
+
+
 @query("SELECT p_partkey AS id FROM part WHERE length(p_name) >= 12")
 def long_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.long_contigs(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("seq")), 12).select("id")
