@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -19,10 +20,16 @@ STEM = 5
 OUT = pa.schema([("score", pa.float64()), ("evidence", pa.list_(pa.int64()))])
 
 
-def tokens(data: bytes) -> list[bytes]:
-    """Words, and after them the beginnings of those longer than STEM bytes, marked by a star."""
-    words = words_of(data)
-    return words + [w[:STEM] + b"*" for w in words if len(w) > STEM]
+def tokens(data: bytes) -> Counter:
+    """How often each word occurs, and of words longer than STEM bytes the beginnings, marked by a star."""
+    found = Counter(words_of(data))
+    stems: dict[bytes, int] = {}
+    for w, n in found.items():
+        if len(w) > STEM:
+            w = w[:STEM] + b"*"
+            stems[w] = stems.get(w, 0) + n
+    found.update(stems)
+    return found
 
 
 #: Examples of a block of the index, and blocks that a query looks into before bounds decide.
@@ -43,7 +50,7 @@ class Index:
     offset: float = 0.0
     none: float = 0.0
     #: Rows and weights of the postings, term by term, and where each term's begin.
-    rows: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+    rows: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     matrix: tuple | None = None
@@ -54,11 +61,11 @@ class Index:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"matrix": None}
 
-    def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms in order, and weights of norm 1: (1 + ln tf) idf."""
-        found = Counter(map(self.terms.get, words))
-        found.pop(None, None)
-        return self.weighted(np.fromiter(found.keys(), np.int32, len(found)), np.fromiter(found.values(), np.int32, len(found)))
+        ids = np.fromiter(map(self.terms.get, words, itertools.repeat(-1)), np.int32, len(words))
+        known = ids >= 0
+        return self.weighted(ids[known], np.fromiter(words.values(), np.int32, len(words))[known])
 
     def weighted(self, terms: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(terms)
@@ -69,7 +76,7 @@ class Index:
         """vectors in the order of ids."""
         terms = np.concatenate([t for t, _ in vectors] or [np.empty(0, np.int32)])
         order = np.argsort(terms, kind="stable")
-        self.rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])[order]
+        self.rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])[order]
         self.weights = np.concatenate([w for _, w in vectors] or [np.empty(0)])[order]
         self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
         self.matrix = None
@@ -102,8 +109,11 @@ class Index:
             q[i, place[place >= 0]] = w[place >= 0]
             terms, w = terms[place < 0], w[place < 0]
             n = self.starts[terms + 1] - self.starts[terms]
-            own = np.repeat(self.starts[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            rest[i] = np.bincount(self.rows[own], self.weights[own] * np.repeat(w, n), minlength=blocks * BLOCK)
+            own = np.repeat(self.starts[terms] - np.cumsum(n) + n, n)
+            own += np.arange(len(own))
+            each = self.weights.take(own)
+            each *= np.repeat(w, n)
+            rest[i] = np.bincount(self.rows.take(own), each, minlength=blocks * BLOCK)
         rest = rest.reshape(len(vectors), blocks, BLOCK)
         bound = rest.max(2) + q @ peak
         out = np.full(rest.shape, -1.0)
@@ -164,7 +174,7 @@ class Index:
         v, y = np.array([v for v in votes if v is not None]), self.labels[ok]
         self.slope, self.offset = platt(v, y.astype(float), held[ok]) if len(set(y)) > 1 else (0.0, 6.0 if len(y) and y[0] else -6.0)
 
-    def score(self, texts: list[list[bytes]]) -> list[tuple[float, list[int]]]:
+    def score(self, texts: list[dict[bytes, int]]) -> list[tuple[float, list[int]]]:
         found = self.neighbours([self.vector(words) for words in texts])
         return [(1 / (1 + math.exp(-(self.slope * self.vote(s, r) + self.offset))), self.ids[r[:3]].tolist()) if len(r) else (self.none, []) for s, r in found]
 
@@ -184,7 +194,7 @@ def platt(v: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        held = [Counter(tokens(t)) for t in b.column(1).to_pylist()]
+        held = [tokens(t) for t in b.column(1).to_pylist()]
         words, tf = [b" ".join(h) for h in held], [np.fromiter(h.values(), np.int32, len(h)).tobytes() for h in held]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(words, pa.binary()), pa.array(tf, pa.binary())], names=["doc_id", "toxic", "h", "words", "tf"])
 

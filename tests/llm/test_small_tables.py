@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -258,7 +259,7 @@ def test_nearest_is_exact():
     terms = {f"t{i}".encode(): i for i in range(30)}
     index = toxicity.Index(terms, rng.uniform(1, 4, 30), np.arange(500), rng.integers(0, 2, 500), 9, size=16)
     texts = [[f"t{i}".encode() for i in rng.integers(0, 30, rng.integers(0, 12))] for _ in range(500)]
-    vectors = [index.vector(t) for t in texts]
+    vectors = [index.vector(Counter(t)) for t in texts]
     dense = np.zeros((500, 30))
     for row, (t, w) in enumerate(vectors):
         dense[row, list(t)] = w
