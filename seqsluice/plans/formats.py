@@ -14,7 +14,7 @@ from ..functions import headers as hd
 from ..functions import lineage as lin
 from ..operators import counts, coverage, hits, reads, refine, taxonomy, tools
 from ..session import numbered, work_folder
-from ..sources import files, sinks, tabular
+from ..sources import bam, files, sinks, tabular
 from ..streaming import ingest
 from . import standins as st
 from .queries import _calls, _joined, _nodes, _resolved, _rollup_sql, _sized, _summary, _with, _LINEAGE, _VALID, query
@@ -399,7 +399,7 @@ def alignments_by_coordinate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bam(rows: list) -> bytes:
     """An uncompressed BAM of (name, reference number, position, bases), for the query below."""
-    code = {b: i for i, b in enumerate(files.BASES)}
+    code = {b: i for i, b in enumerate(bam.BASES)}
     refs = sorted({r for _, r, _, _ in rows})
     out = [b"BAM\1", struct.pack("<ii", 0, len(refs))]
     out += [struct.pack("<i", len(f"ref{r}") + 1) + f"ref{r}".encode() + b"\0" + struct.pack("<i", 10**6) for r in refs]

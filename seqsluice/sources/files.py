@@ -1,10 +1,9 @@
-"""Sequence files: FASTA by Spark's text reader, FASTQ in stretches of a file, BAM by a streaming reader, one task a file."""
+"""Sequence files: FASTA by Spark's text reader, FASTQ in stretches of a file."""
 
 from __future__ import annotations
 
 import gzip
 import io
-import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import header_desc, header_id
-from ..schemas import SAM, SEQUENCE
+from ..schemas import SEQUENCE
 from ..session import running, settled
+from .bam import read_bam  # noqa: F401  beside the other readers
 
 ROWS = 10_000
 #: Fixed value: what is outside the alphabet of proteins.
@@ -193,83 +193,6 @@ def read_pairs(spark: SparkSession, first: list[str], second: list[str]) -> Data
     return a.join(b, ["s1", "ordinal"], "full").withColumnRenamed("s1", "source")
 
 
-CIGAR, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
-
-
-#: Types of numbers in a BAM record's tags.
-NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-
-
-def _tags(block: bytes, at: int) -> Iterator[str]:
-    """The tags from a place of a BAM record on, as SAM text."""
-    plain = lambda v, kind: f"{v:g}" if kind == "f" else str(v)
-    while at + 3 <= len(block):
-        key, kind = block[at : at + 2].decode(), chr(block[at + 2])
-        at += 3
-        if kind == "A":
-            text, at = chr(block[at]), at + 1
-        elif kind in NUMBERS:
-            (v,) = struct.unpack_from("<" + NUMBERS[kind], block, at)
-            text, at, kind = plain(v, kind), at + struct.calcsize(NUMBERS[kind]), kind if kind == "f" else "i"
-        elif kind in "ZH":
-            end = block.index(0, at)
-            text, at = block[at:end].decode(), end + 1
-        elif kind == "B":
-            own, n = chr(block[at]), struct.unpack_from("<i", block, at + 1)[0]
-            values = struct.unpack_from(f"<{n}{NUMBERS[own]}", block, at + 5)
-            text, at = ",".join([own, *(plain(v, own) for v in values)]), at + 5 + n * struct.calcsize(NUMBERS[own])
-        else:
-            raise ValueError(f"unknown type {kind} of tag {key}")
-        yield f"{key}:{kind}:{text}"
-
-
-def bam_rows(stream: io.BufferedReader) -> Iterator[tuple]:
-    """The SAM columns of a decompressed BAM stream."""
-    if stream.read(4) != b"BAM\x01":
-        raise ValueError("not a BAM file")
-    (n,) = struct.unpack("<i", stream.read(4))
-    stream.read(n)
-    refs = []
-    for _ in range(struct.unpack("<i", stream.read(4))[0]):
-        (n,) = struct.unpack("<i", stream.read(4))
-        refs.append(stream.read(n)[:-1].decode())
-        stream.read(4)
-    name = lambda i: refs[i] if i >= 0 else "*"
-    while head := stream.read(4):
-        block = stream.read(struct.unpack("<i", head)[0])
-        ref, pos, l_name, mapq, _, n_cigar, flag, l_seq, mate, mate_pos, tlen = struct.unpack_from("<iiBBHHHiiii", block)
-        at = 32 + l_name
-        ops = struct.unpack_from(f"<{n_cigar}I", block, at)
-        at += 4 * n_cigar
-        packed = block[at : at + (l_seq + 1) // 2]
-        at += (l_seq + 1) // 2
-        seq = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:l_seq] or "*"
-        qual = block[at : at + l_seq]
-        qual = "*" if not l_seq or qual[0] == 255 else bytes(q + 33 for q in qual).decode()
-        nxt = "=" if mate == ref and mate >= 0 else name(mate)
-        at += l_seq
-        yield block[32 : 31 + l_name].decode(), flag, name(ref), pos + 1, mapq, "".join(f"{o >> 4}{CIGAR[o & 15]}" for o in ops) or "*", nxt, mate_pos + 1, tlen, seq, qual, "\t".join(_tags(block, at)) or None
-
-
-def _bam(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
-    fields = [f.strip().split(" ") for f in SAM.split(",")]
-    for b in batches:
-        for path in b.column(0).to_pylist():
-            rows: list[tuple] = []
-            for row in bam_rows(_open(path)):
-                rows.append(row)
-                if len(rows) == ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], names=[n for n, _ in fields])
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], names=[n for n, _ in fields])
-
-
-def read_bam(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The SAM columns of BAM files, one task a file."""
-    return _paths(spark, paths).mapInArrow(_bam, SAM)
-
-
 def synthetic_reads(spark: SparkSession, n: int, length: int, mean: float = 30.0, sd: float = 5.0, seed: int = 42) -> DataFrame:
     """n reads of uniform ACGT with qualities drawn from Normal(mean, sd), held to 0..40 by drawing again (ten times at most, then the mean's)."""
     base = lambda i: F.substring(F.lit("ACGT"), (F.pmod(F.xxhash64("ordinal", i, F.lit(seed)), F.lit(4)) + 1).cast("int"), F.lit(1))

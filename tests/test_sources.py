@@ -1,12 +1,13 @@
 import gzip
 import random
 import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from seqsluice.functions import alignments as al
-from seqsluice.sources import files, sinks, tabular
+from seqsluice.sources import bam, files, sinks, tabular
 
 BASIC = "q7\t120\t3\t118\t+\tXX_000001.3\t4000\t40\t155\t111\t115\t50"
 TAGS = "q8\t90\t5\t85\t-\tYY7\t2600\t300\t382\t76\t82\t20\tcg:Z:40M1I30M3D9M\tNM:i:6\tAS:i:61"
@@ -144,6 +145,47 @@ def test_bam(spark, tmp_path):
     assert tuple(row) == ("r1", 99, "chr", 10, 60, "4M", "=", 30, 24, "ACGT", "????", "NM:i:3\tAS:i:-7\tXA:A:q\tMD:Z:4\tXB:B:s,5,-6\tXF:f:0.5")
 
 
+@pytest.mark.parametrize("split", [61, 700, 3000, 1 << 20])
+def test_bam_in_stretches(spark, tmp_path, split):
+    """Blocks of a few bytes, records over many blocks, an empty block in the middle and at the end."""
+    rng = random.Random(2)
+    want, body = [], [b"BAM\1" + struct.pack("<ii", 3, 0x0A0A0A), struct.pack("<i", 2), struct.pack("<i", 3) + b"r0\0" + struct.pack("<i", 99), struct.pack("<i", 3) + b"r1\0" + struct.pack("<i", 99)]
+    body[0] = b"BAM\1" + struct.pack("<i", 3) + b"@HD"
+    for i in range(120):
+        n, name = rng.choice((0, 1, 7, 40, 900)), f"read{i}" + "x" * rng.randrange(30)
+        seq = bytes(rng.randrange(256) for _ in range((n + 1) // 2))
+        block = struct.pack("<iiBBHHHiiii", rng.randrange(-1, 2), i, len(name) + 1, 9, 0, 1, 16, n, -1, -1, 0) + name.encode() + b"\0" + struct.pack("<I", n << 4) + seq + bytes([30] * n) + b"ASi" + struct.pack("<i", i)
+        body.append(struct.pack("<i", len(block)) + block)
+        want.append((name, i + 1, n, f"AS:i:{i}"))
+    data, out = b"".join(body), []
+
+    def block(part):
+        z = zlib.compressobj(1, zlib.DEFLATED, -15)
+        packed = z.compress(part) + z.flush()
+        return b"\x1f\x8b\x08\x04" + bytes(4) + b"\0\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(packed) + 25) + packed + struct.pack("<II", zlib.crc32(part), len(part))
+
+    at = 0
+    while at < len(data):
+        n = rng.choice((5, 90, 400, 3000))
+        out.append(block(data[at : at + n]))
+        at += n
+        if rng.random() < 0.1:
+            out.append(block(b""))
+    (tmp_path / "a.bam").write_bytes(b"".join([*out, block(b"")]))
+    size = sum(map(len, out)) + len(block(b""))
+    if split == 61:  # stretches shorter than blocks, without a session
+        rows = [r for s in range(0, size, split) for r in bam.records(str(tmp_path / "a.bam"), s, min(size, s + split))]
+        got = [(r[0], r[3], 0 if r[9] == "*" else len(r[9]), r[11]) for r in rows]
+    else:
+        got = [(r.qname, r.pos, 0 if r.seq == "*" else len(r.seq), r.tags) for r in files.read_bam(spark, [str(tmp_path / "a.bam")], split).orderBy("pos").collect()]
+    assert got == want
+    cut = (tmp_path / "a.bam").read_bytes()
+    (tmp_path / "b.bam").write_bytes(b"".join([*out[:-1], block(out and b"x" * 50)]))
+    with pytest.raises(Exception, match="malformed|no whole"):
+        files.read_bam(spark, [str(tmp_path / "b.bam")]).collect()
+    assert len(cut) == size
+
+
 def test_synthetic_reads(spark):
     rows = files.synthetic_reads(spark, 20, 50).collect()
     assert len({r.seq for r in rows}) == 20 and all(len(r.seq) == len(r.qual) == 50 and set(r.seq) <= set("ACGT") and all(33 <= ord(q) <= 73 for q in r.qual) for r in rows)
