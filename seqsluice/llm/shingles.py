@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from .common import WORD_BYTES
@@ -42,6 +44,56 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, stops), prepend=0)
 
 
+def pieces(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Numbers and texts in groups of about `size` bytes; a longer text goes in pieces that are cut at a blank of its words, so that arrays made of a group have a bound."""
+    numbers: list[int] = []
+    group: list[bytes] = []
+    held = 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text) or not at and not text:
+            end = len(text)
+            if end - at > size:
+                end = at + size
+                while end < len(text) and WORD_BYTES[text[end]] != 32:
+                    end += 1
+            if group and held + end - at > size:
+                yield numbers, group
+                numbers, group, held = [], [], 0
+            numbers.append(k)
+            group.append(text[at:end])
+            held += end - at
+            at = end
+            if not text:
+                break
+    if group:
+        yield numbers, group
+
+
+def term_counts(texts: list[bytes], stem: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count), in order of both: how often each word occurs in each of up to 65,536 texts, and of words of over `stem` bytes the first `stem`, as 48-bit hashes."""
+    keys, counts = [], []
+    for numbers, group in pieces(texts):
+        buf = np.frombuffer(b"".join(t.translate(WORD_BYTES) + b" " for t in group), np.uint8)
+        edge = np.diff(np.concatenate([[0], buf != 32]).astype(np.int8))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[buf] * _powers(BASE, len(buf)))])
+        back = _powers(BASE_INVERSE, len(buf))[starts]
+        own = np.searchsorted(np.cumsum([len(t) + 1 for t in group]), starts, side="right")
+        text = np.array(numbers, np.uint64)[own] << BITS
+        words = _mixed((sums[ends] - sums[starts]) * back) & MASK
+        long = np.flatnonzero(ends - starts > stem)
+        stems = _mixed(((sums[starts[long] + stem] - sums[starts[long]]) * back[long]) ^ MIX) & MASK
+        key, count = np.unique(np.concatenate([words | text, stems | text[long]]), return_counts=True)
+        keys.append(key)
+        counts.append(count)
+    key, count = np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(counts or [np.empty(0, np.int64)])
+    if len(keys) > 1:  # a text in pieces
+        key, at = np.unique(key, return_inverse=True)
+        count = np.bincount(at, count, len(key)).astype(np.int64)
+    return (key >> BITS).astype(np.int64), key & MASK, count
+
+
 def shingle_sets(texts: list[bytes], k: int = 5) -> list[np.ndarray]:
     """The sorted distinct hashes (48 bits) of each text's runs of k words; of fewer words, but not none, the whole is one shingle."""
     out: list[np.ndarray] = []

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,25 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, in_learning_fold, text_bytes, words_of
+from .common import batch, in_learning_fold, text_bytes
+from .shingles import term_counts
 
 #: Bytes of the beginning that stands for a longer word, so that a stem counts in all its endings.
 STEM = 5
 OUT = pa.schema([("score", pa.float64()), ("evidence", pa.list_(pa.int64()))])
 
 
-def tokens(data: bytes) -> Counter:
-    """How often each word occurs, and of words longer than STEM bytes the beginnings, marked by a star."""
-    found = Counter(words_of(data))
-    stems: dict[bytes, int] = {}
-    for w, n in found.items():
-        if len(w) > STEM:
-            w = w[:STEM] + b"*"
-            stems[w] = stems.get(w, 0) + n
-    found.update(stems)
-    return found
-
-
 #: Examples of a block of the index, and blocks that a query looks into before bounds decide.
 BLOCK, FIRST = 64, 6
 
@@ -40,7 +27,8 @@ BLOCK, FIRST = 64, 6
 class Index:
     """Examples by row, with the postings of every term. Rows lie in blocks; of the terms of many examples the weights lie in a matrix, with the largest of each block beside it."""
 
-    terms: dict[bytes, int]
+    #: Hashes of the terms, in order.
+    terms: np.ndarray
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
@@ -61,24 +49,21 @@ class Index:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"matrix": None}
 
-    def vector(self, words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms in order, and weights of norm 1: (1 + ln tf) idf."""
-        ids = np.fromiter(map(self.terms.get, words, itertools.repeat(-1)), np.int32, len(words))
-        known = ids >= 0
-        return self.weighted(ids[known], np.fromiter(words.values(), np.int32, len(words))[known])
-
-    def weighted(self, terms: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(terms)
-        w = (1 + np.log(tf[order])) * self.idf[terms[order]]
-        return terms[order], w / np.linalg.norm(w) if len(w) else w
-
-    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """vectors in the order of ids."""
-        terms = np.concatenate([t for t, _ in vectors] or [np.empty(0, np.int32)])
-        order = np.argsort(terms, kind="stable")
-        self.rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])[order]
-        self.weights = np.concatenate([w for _, w in vectors] or [np.empty(0)])[order]
-        self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
+    def vectors(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the known terms in order, and weights of norm 1: (1 + ln tf) idf."""
+        text, term, tf = term_counts(texts, STEM)
+        at = np.minimum(np.searchsorted(self.terms, term), max(len(self.terms) - 1, 0))
+        known = self.terms[at] == term if len(self.terms) else np.zeros(len(term), bool)
+        text, at, tf = text[known], at[known], tf[known]
+        w = weighted(text, self.idf[at] * (1 + np.log(tf)), len(texts))
+        cuts = np.searchsorted(text, np.arange(1, len(texts)))
+        return list(zip(np.split(at, cuts), np.split(w, cuts)))
+
+    def build(self, example: np.ndarray, term: np.ndarray, w: np.ndarray) -> None:
+        """Postings of examples' terms; examples are numbered as ids are."""
+        order = np.argsort(term * max(1, len(self.ids)) + example)
+        self.rows, self.weights = example[order], w[order]
+        self.starts = np.searchsorted(term[order], np.arange(len(self.idf) + 1))
         self.matrix = None
 
     def _common(self, least: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,9 +131,6 @@ class Index:
         if not len(self.ids):
             yield from ((np.empty(0), np.empty(0, np.int64)) for _ in vectors)
 
-    def nearest(self, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return next(self.neighbours([(terms, q)]))
-
     def vote(self, cosines: np.ndarray, rows: np.ndarray) -> float:
         """Share of toxic among the neighbours, weighted by 1 / (0.05 + distance)."""
         w = 1 / (1.05 - cosines)
@@ -174,11 +156,16 @@ class Index:
         v, y = np.array([v for v in votes if v is not None]), self.labels[ok]
         self.slope, self.offset = platt(v, y.astype(float), held[ok]) if len(set(y)) > 1 else (0.0, 6.0 if len(y) and y[0] else -6.0)
 
-    def score(self, texts: list[dict[bytes, int]]) -> list[tuple[float, list[int]]]:
-        found = self.neighbours([self.vector(words) for words in texts])
+    def score(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
+        found = self.neighbours(self.vectors(texts))
         return [(1 / (1 + math.exp(-(self.slope * self.vote(s, r) + self.offset))), self.ids[r[:3]].tolist()) if len(r) else (self.none, []) for s, r in found]
 
 
+def weighted(example: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """Weights whose squares add up to 1 in each of n examples."""
+    return w / np.sqrt(np.bincount(example, w * w, n))[example]
+
+
 def platt(v: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple[float, float]:
     """Slope and offset of a logistic curve with smoothed targets, by damped Newton steps; w are weights."""
     t = np.where(y > 0, ((w * y).sum() + 1) / ((w * y).sum() + 2), 1 / ((w * (1 - y)).sum() + 2))
@@ -193,10 +180,12 @@ def platt(v: np.ndarray, y: np.ndarray, w: np.ndarray, steps: int = 50) -> tuple
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        held = [tokens(t) for t in b.column(1).to_pylist()]
-        words, tf = [b" ".join(h) for h in held], [np.fromiter(h.values(), np.int32, len(h)).tobytes() for h in held]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(words, pa.binary()), pa.array(tf, pa.binary())], names=["doc_id", "toxic", "h", "words", "tf"])
+    """Of each example its terms' hashes and counts, as bytes."""
+    for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+        text, term, tf = term_counts(b.column(1).to_pylist(), STEM)
+        cuts = np.searchsorted(text, np.arange(1, b.num_rows))
+        made = [pa.array([x.tobytes() for x in np.split(v, cuts)], pa.binary()) for v in (term, tf.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *made], names=["doc_id", "toxic", "h", "terms", "tf"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float = 0.1, k: int = 25) -> Index:
@@ -208,7 +197,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     little. Equal texts of the sample with one label are one example; with both labels, an example of each. An id with
     both labels is toxic. An example stands for as many labelled documents of its label as were drawn from, so that
     calibration is by the true shares. Rows are in order of their strongest term, then of the text's hash, so that block
-    maxima differ and ties go by content; ids are evidence only.
+    maxima differ and ties go by content; ids are evidence only. Terms are known by 48 bits of a hash.
     The ids of the sample are broadcast to find its texts; only their counts of terms reach the driver."""
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     known = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p"))
@@ -220,32 +209,29 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     chosen = each[0].unionByName(each[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic", F.md5("text").alias("h"))
-    terms: dict[bytes, int] = {}
-    rows = []
-    for r in sample.mapInArrow(_counts, "doc_id long, toxic long, h string, words binary, tf binary").toLocalIterator():
-        own = np.fromiter((terms.setdefault(w, len(terms)) for w in bytes(r.words).split()), np.int32)
-        rows.append((r.h, r.toxic, r.doc_id, own, np.frombuffer(bytes(r.tf), np.int32)))
+    rows = [(r.h, r.toxic, r.doc_id, bytes(r.terms), bytes(r.tf)) for r in sample.mapInArrow(_counts, "doc_id long, toxic long, h string, terms binary, tf binary").toLocalIterator()]
     rows.sort(key=lambda r: r[:2])
-    place = np.empty(len(terms), np.int32)  # terms by the order of their bytes, whatever task came first
-    for i, w in enumerate(sorted(terms)):
-        place[terms[w]] = i
-        terms[w] = i
-    n, y = len(rows), np.array([r[1] for r in rows], np.int64)
+    n, y, ids = len(rows), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+    example = np.repeat(np.arange(n), [len(r[4]) // 4 for r in rows])
+    terms, term = np.unique(np.frombuffer(b"".join(r[3] for r in rows), np.uint64), return_inverse=True)
+    tf = np.frombuffer(b"".join(r[4] for r in rows), np.int32)
+    del rows
     pos = int(y.sum())
-    c, a = np.zeros(len(terms)), np.zeros(len(terms))
-    for r in rows:
-        c[place[r[3]]] += 1
-        a[place[r[3]]] += r[1]
+    c = np.bincount(term, minlength=len(terms)).astype(float)
+    a = np.bincount(term, y[example], len(terms))
     phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
-    ids = np.array([r[2] for r in rows], np.int64)
-    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), np.empty(0, np.int64), np.empty(0, np.int64), k)
-    rows.reverse()
-    vectors = [index.weighted(place[r[3]], r[4]) for r in (rows.pop() for _ in range(n))]  # each row goes as its vector comes
-    strongest = np.array([t[w.argmax()] if len(w) else -1 for t, w in vectors], np.int64)
+    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), ids, y, k)
+    w = weighted(example, index.idf[term] * (1 + np.log(tf)), n)
+    strongest = np.full(n, -1)
+    by = np.lexsort((-w, example))
+    has, first = np.unique(example[by], return_index=True)
+    strongest[has] = term[by][first]
     order = np.argsort(strongest, kind="stable")
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
     index.ids, index.labels = ids[order], y[order]
-    index.build([vectors[i] for i in order])
-    del vectors
+    index.build(place[example], term, w)
+    del example, term, tf, w, by
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(index)
 
@@ -255,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
 
     got = dict(tuple(r) for r in spark.range(0, n, 1, 12).withColumnRenamed("id", "row").mapInArrow(votes, "row long, vote double").collect()) if n else {}
     index.calibrate([got[i] for i in range(n)], tuple(there.get(v, 0) / max(1, drawn[v]) for v in (0, 1)))
-    shared.unpersist()
+    shared.destroy()
     return index
 
 
@@ -268,7 +254,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
         index = shared.value
         for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             col = b.column(b.schema.get_field_index("text"))
-            got = index.score([tokens(t or b"") for t in col.cast(pa.binary()).to_pylist()])
+            got = index.score([t or b"" for t in col.cast(pa.binary()).to_pylist()])
             new = batch({"score": [s for s, _ in got], "evidence": [e for _, e in got]}, OUT)
             yield pa.RecordBatch.from_arrays([*b.columns, *new.columns], names=[*b.schema.names, *OUT.names])
 

@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqsluice.llm import decontaminate, jaccard_join, language, line_dedup, mixing, substring_dedup, token_counts, topk, toxicity, url_filter
+from seqsluice.llm.common import WORD_BYTES
+from seqsluice.llm import decontaminate, jaccard_join, language, line_dedup, mixing, shingles, substring_dedup, token_counts, topk, toxicity, url_filter
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = str.maketrans(url_filter.UPPER, url_filter.LOWER)
@@ -254,21 +255,33 @@ def test_mix_odd(spark, odd_docs, no_docs):
 # --- 7 ----
 
 
+def test_terms_are_words_and_their_beginnings():
+    texts = [b"", b"Stupid stupids, x!", "é stupid STUPIDE x x".encode() * 3, b" " * 9, b"longer " * 60_000 + b"tail", b"a" * 1_200_000 + b" b"]
+    text, term, n = shingles.term_counts(texts, 5)
+    for k, data in enumerate(texts):
+        words = data.translate(WORD_BYTES).split()
+        want = Counter(words + [w[:5] + b"*" for w in words if len(w) > 5])
+        assert sorted(n[text == k]) == sorted(want.values()) and len(set(term[text == k])) == len(want)
+    own = {k: set(term[text == k]) for k in range(len(texts))}
+    assert len(own[1] & own[2]) == 3  # x, stupid, stupi*
+    assert sum(map(len, shingles.pieces(texts))) > 2 and b"".join(t for _, g in shingles.pieces(texts) for t in g) == b"".join(texts)
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(4)
-    terms = {f"t{i}".encode(): i for i in range(30)}
-    index = toxicity.Index(terms, rng.uniform(1, 4, 30), np.arange(500), rng.integers(0, 2, 500), 9, size=16)
-    texts = [[f"t{i}".encode() for i in rng.integers(0, 30, rng.integers(0, 12))] for _ in range(500)]
-    vectors = [index.vector(Counter(t)) for t in texts]
+    index = toxicity.Index(np.arange(30, dtype=np.uint64), rng.uniform(1, 4, 30), np.arange(500), rng.integers(0, 2, 500), 9, size=16)
+    example = np.repeat(np.arange(500), rng.integers(0, 12, 500))
+    pairs, tf = np.unique(example * 30 + rng.integers(0, 30, len(example)), return_counts=True)
+    example, term = pairs // 30, pairs % 30
+    w = toxicity.weighted(example, index.idf[term] * (1 + np.log(tf)), 500)
     dense = np.zeros((500, 30))
-    for row, (t, w) in enumerate(vectors):
-        dense[row, list(t)] = w
-    index.build(vectors)
-    ranked = dense[index.ids]
+    dense[example, term] = w
+    index.build(example, term, w)
+    vectors = [(term[example == i], w[example == i]) for i in range(500)]
     skip = np.arange(500)[::-1].copy()
     for own, found in ((None, index.neighbours(vectors)), (skip, index.neighbours(vectors, skip))):
         for q, (score, rows) in enumerate(found):
-            full = ranked @ dense[q]
+            full = dense @ dense[q]
             if own is not None:
                 full[own[q]] = 0
             want = np.sort(full[full > 1e-12])[::-1][:9]
@@ -297,7 +310,7 @@ def test_scores_are_those_of_all_cosines(spark):
         own = slice(index.starts[t], index.starts[t + 1])
         dense[index.rows[own], t] = index.weights[own]
     for i, text in zip(ids, texts):
-        t, w = index.vector(toxicity.tokens(text.encode()))
+        t, w = index.vectors([text.encode()])[0]
         cos = np.round(dense[:, t] @ w, 9)
         best = [r for r in np.lexsort((np.arange(len(cos)), -cos)) if cos[r] > 0][: index.k]
         vote = np.average(index.labels[best], weights=1 / (1.05 - cos[best]))
