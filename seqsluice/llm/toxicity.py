@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, in_learning_fold, text_bytes
+from .common import batch, in_learning_fold, materialise, store_of, text_bytes, work_dir
 from .shingles import term_counts
 
 #: Bytes of the beginning that stands for a longer word, so that a stem counts in all its endings.
@@ -34,9 +37,6 @@ class Index:
     labels: np.ndarray
     k: int
     size: int = 256
-    slope: float = 1.0
-    offset: float = 0.0
-    none: float = 0.0
     #: Rows and weights of the postings, term by term, and where each term's begin.
     rows: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -144,21 +144,47 @@ class Index:
         own = [slice(ends[r], ends[r + 1]) for r in rows]
         return [self.vote(s, r) if len(r) else None for s, r in self.neighbours([(terms[o], self.weights[by[o]]) for o in own], rows)]
 
-    def calibrate(self, votes: list[float | None], weight: tuple[float, float] = (1.0, 1.0)) -> None:
-        """Platt's curve over the examples' votes; examples without a term give the score of such texts. weight: how many labelled documents an example of each label stands for."""
-        held = np.array(weight)[self.labels]
-        empty = np.bincount(self.rows, minlength=len(self.ids)) == 0
-        if empty.any():
-            self.none = float((1 + held[empty] @ self.labels[empty]) / (2 + held[empty].sum()))
-        else:
-            self.none = float(held @ self.labels / held.sum()) if len(held) else 0.0
-        ok = np.array([v is not None for v in votes], bool)
-        v, y = np.array([v for v in votes if v is not None]), self.labels[ok]
-        self.slope, self.offset = platt(v, y.astype(float), held[ok]) if len(set(y)) > 1 else (0.0, 6.0 if len(y) and y[0] else -6.0)
 
-    def score(self, texts: list[bytes]) -> list[tuple[float, list[int]]]:
-        found = self.neighbours(self.vectors(texts))
-        return [(1 / (1 + math.exp(-(self.slope * self.vote(s, r) + self.offset))), self.ids[r[:3]].tolist()) if len(r) else (self.none, []) for s, r in found]
+@dataclass
+class Model:
+    """Where the index lies, and the curve from votes to scores; without a path there is no example."""
+
+    path: str | None = None
+    k: int = 25
+    slope: float = 0.0
+    offset: float = -6.0
+    #: The score of a text without any term of the index.
+    none: float = 0.0
+
+    def index(self) -> Index:
+        return loaded(self.path, self.k) if self.path else Index(np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64), self.k)
+
+    def scores(self, index: Index, texts: list[bytes]) -> list[tuple[float, list[int]]]:
+        found = index.neighbours(index.vectors(texts))
+        return [(1 / (1 + math.exp(-(self.slope * index.vote(s, r) + self.offset))), index.ids[r[:3]].tolist()) if len(r) else (self.none, []) for s, r in found]
+
+
+@lru_cache(maxsize=1)
+def loaded(path: str, k: int) -> Index:
+    """The index that a task has written; a worker reads it once."""
+    store, name = store_of(path)
+    with store.open_input_stream(name) as f, np.load(io.BytesIO(f.read())) as held:
+        index = Index(held["terms"], held["idf"], held["ids"], held["labels"], k)
+        index.rows, index.weights, index.starts = held["rows"].astype(np.int64), held["weights"], held["starts"]
+    return index
+
+
+def calibrated(labels: np.ndarray, empty: np.ndarray, votes: list[float | None], weight: tuple[float, float] = (1.0, 1.0)) -> tuple[float, float, float]:
+    """(slope, offset, none): Platt's curve over the examples' votes; examples without a term give the score of such texts. weight: how many labelled documents an example of each label stands for."""
+    held = np.array(weight)[labels]
+    if empty.any():
+        none = float((1 + held[empty] @ labels[empty]) / (2 + held[empty].sum()))
+    else:
+        none = float(held @ labels / held.sum())
+    ok = np.array([v is not None for v in votes], bool)
+    v, y = np.array([v for v in votes if v is not None]), labels[ok]
+    slope, offset = platt(v, y.astype(float), held[ok]) if len(set(y)) > 1 else (0.0, 6.0 if len(y) and y[0] else -6.0)
+    return slope, offset, none
 
 
 def weighted(example: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
@@ -188,7 +214,47 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *made], names=["doc_id", "toxic", "h", "terms", "tf"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float = 0.1, k: int = 25) -> Index:
+def _built(folder: str, k: int, least: float):
+    """Writes the index of all examples that the one task is given: (row, toxic, empty, path)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in zip(*(b.column(i).to_pylist() for i in (2, 1, 0, 3, 4)))), key=lambda r: r[:2])
+        if not rows:
+            return
+        n, y, ids = len(rows), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+        example = np.repeat(np.arange(n), [len(r[4]) // 4 for r in rows])
+        terms, term = np.unique(np.frombuffer(b"".join(r[3] for r in rows), np.uint64), return_inverse=True)
+        tf = np.frombuffer(b"".join(r[4] for r in rows), np.int32)
+        del rows
+        pos = int(y.sum())
+        c = np.bincount(term, minlength=len(terms)).astype(float)
+        a = np.bincount(term, y[example], len(terms))
+        phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
+        idf = np.log(1 + n / c) * (least + np.minimum(phi, 1))
+        w = weighted(example, idf[term] * (1 + np.log(tf)), n)
+        strongest = np.full(n, -1)
+        by = np.lexsort((-w, example))
+        has, first = np.unique(example[by], return_index=True)
+        strongest[has] = term[by][first]
+        order = np.argsort(strongest, kind="stable")
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        index = Index(terms, idf, ids[order], y[order], k)
+        index.build(place[example], term, w)
+        out = io.BytesIO()
+        np.savez(out, terms=terms, idf=idf, ids=index.ids, labels=index.labels, rows=index.rows.astype(np.int32), weights=index.weights, starts=index.starts)
+        path = f"{folder}/{uuid.uuid4().hex}.npz"  # the attempt that Spark commits names its own file
+        store, name = store_of(path)
+        store.create_dir(name.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(name) as f:
+            f.write(out.getbuffer())
+        empty = np.bincount(index.rows, minlength=n) == 0
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(index.labels), pa.array(empty), pa.array([path] * n)], names=["row", "toxic", "empty", "path"])
+
+    return run
+
+
+def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float = 0.1, k: int = 25) -> Model:
     """The index of a bounded sample: of the labelled documents of the learning fold `examples` at most, half of them toxic if there
     are so many (else all toxic ones, and more of the others), in each label those that come first by md5(doc_id).
 
@@ -198,7 +264,9 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     both labels is toxic. An example stands for as many labelled documents of its label as were drawn from, so that
     calibration is by the true shares. Rows are in order of their strongest term, then of the text's hash, so that block
     maxima differ and ties go by content; ids are evidence only. Terms are known by 48 bits of a hash.
-    The ids of the sample are broadcast to find its texts; only their counts of terms reach the driver."""
+    The ids of the sample are broadcast to find its texts; one task builds the index of them in the shared folder, where all
+    others read it. Only each example's label and vote reach the driver."""
+    spark = docs.sparkSession
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     known = labels.where(in_learning_fold() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), place.alias("p"))
     there = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -209,52 +277,31 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = 8000, least: float
     chosen = each[0].unionByName(each[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = sample.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic", F.md5("text").alias("h"))
-    rows = [(r.h, r.toxic, r.doc_id, bytes(r.terms), bytes(r.tf)) for r in sample.mapInArrow(_counts, "doc_id long, toxic long, h string, terms binary, tf binary").toLocalIterator()]
-    rows.sort(key=lambda r: r[:2])
-    n, y, ids = len(rows), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-    example = np.repeat(np.arange(n), [len(r[4]) // 4 for r in rows])
-    terms, term = np.unique(np.frombuffer(b"".join(r[3] for r in rows), np.uint64), return_inverse=True)
-    tf = np.frombuffer(b"".join(r[4] for r in rows), np.int32)
-    del rows
-    pos = int(y.sum())
-    c = np.bincount(term, minlength=len(terms)).astype(float)
-    a = np.bincount(term, y[example], len(terms))
-    phi = np.abs(a * (n - pos) - (c - a) * pos) / np.sqrt(float(max(pos, 1) * max(n - pos, 1)) * c * np.maximum(1, n - c))
-    index = Index(terms, np.log(1 + n / c) * (least + np.minimum(phi, 1)), ids, y, k)
-    w = weighted(example, index.idf[term] * (1 + np.log(tf)), n)
-    strongest = np.full(n, -1)
-    by = np.lexsort((-w, example))
-    has, first = np.unique(example[by], return_index=True)
-    strongest[has] = term[by][first]
-    order = np.argsort(strongest, kind="stable")
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    index.ids, index.labels = ids[order], y[order]
-    index.build(place[example], term, w)
-    del example, term, tf, w, by
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(index)
+    counted = sample.mapInArrow(_counts, "doc_id long, toxic long, h string, terms binary, tf binary").repartition(1)
+    made = materialise(counted.mapInArrow(_built(work_dir(spark, "toxicity-index"), k, least), "row long, toxic long, empty boolean, path string"), "toxicity-examples")
+    rows = made.orderBy("row").collect()
+    if not rows:
+        return Model(k=k)
+    path = rows[0].path
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.votes(b.column(0).to_numpy()), pa.float64())], names=["row", "vote"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(loaded(path, k).votes(b.column(0).to_numpy()), pa.float64())], names=["row", "vote"])
 
-    got = dict(tuple(r) for r in spark.range(0, n, 1, 12).withColumnRenamed("id", "row").mapInArrow(votes, "row long, vote double").collect()) if n else {}
-    index.calibrate([got[i] for i in range(n)], tuple(there.get(v, 0) / max(1, drawn[v]) for v in (0, 1)))
-    shared.destroy()
-    return index
+    got = dict(tuple(r) for r in spark.range(0, len(rows), 1, 12).withColumnRenamed("id", "row").mapInArrow(votes, "row long, vote double").collect())
+    weight = tuple(there.get(v, 0) / max(1, drawn[v]) for v in (0, 1))
+    return Model(path, k, *calibrated(np.array([r.toxic for r in rows]), np.array([r.empty for r in rows]), [got[i] for i in range(len(rows))], weight))
 
 
-def score(docs: DataFrame, index: Index) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score (0 to 1) and evidence (ids of up to three nearest examples). A text without any term of the index, or null, has the score of such examples and no evidence. Columns of docs with these names are replaced."""
     own = [c for c in docs.columns if c not in OUT.names]
-    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = model.index()
         for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             col = b.column(b.schema.get_field_index("text"))
-            got = index.score([t or b"" for t in col.cast(pa.binary()).to_pylist()])
+            got = model.scores(index, [t or b"" for t in col.cast(pa.binary()).to_pylist()])
             new = batch({"score": [s for s, _ in got], "evidence": [e for _, e in got]}, OUT)
             yield pa.RecordBatch.from_arrays([*b.columns, *new.columns], names=[*b.schema.names, *OUT.names])
 

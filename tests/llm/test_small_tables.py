@@ -301,10 +301,11 @@ def test_scores_are_those_of_all_cosines(spark):
     def rated(ids):
         df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
         lab = spark.createDataFrame(list(zip(ids, toxic)), "doc_id long, toxic int")
-        return toxicity.learn(df, lab), {r.doc_id: r.score for r in toxicity.rate(df, lab).collect()}
+        model = toxicity.learn(df, lab)
+        return model, model.index(), {r.doc_id: r.score for r in toxicity.rate(df, lab).collect()}
 
     ids = learning[:720]
-    index, got = rated(ids)
+    model, index, got = rated(ids)
     dense = np.zeros((len(index.ids), len(index.terms)))
     for t in range(len(index.terms)):
         own = slice(index.starts[t], index.starts[t + 1])
@@ -314,10 +315,10 @@ def test_scores_are_those_of_all_cosines(spark):
         cos = np.round(dense[:, t] @ w, 9)
         best = [r for r in np.lexsort((np.arange(len(cos)), -cos)) if cos[r] > 0][: index.k]
         vote = np.average(index.labels[best], weights=1 / (1.05 - cos[best]))
-        assert abs(got[i] - 1 / (1 + np.exp(-(index.slope * vote + index.offset)))) < 1e-6
+        assert abs(got[i] - 1 / (1 + np.exp(-(model.slope * vote + model.offset)))) < 1e-6
     assert len(set(got.values())) > 20
     other = ids[::-1]
-    _, again = rated(other)
+    _, _, again = rated(other)
     assert all(abs(got[a] - again[b]) < 1e-9 for a, b in zip(ids, other))
 
 
@@ -363,7 +364,7 @@ def test_rare_toxic_wording(spark):
     assert all(got[i].predicted == 1 and set(got[i].evidence) <= set(family) for i in family)
     few = lab.where((F.col("doc_id") % 60 == 0) | (F.col("toxic") == 0))
     known = few.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-    assert toxicity.learn(df, few, examples=100).labels.sum() == known.where("toxic = 1").count()
+    assert toxicity.learn(df, few, examples=100).index().labels.sum() == known.where("toxic = 1").count()
 
 
 # --- 8 ----
