@@ -17,7 +17,7 @@ from ..session import numbered, work_folder
 from ..sources import bam, files, sinks, tabular
 from ..streaming import ingest
 from . import standins as st
-from .queries import _calls, _joined, _nodes, _resolved, _rollup_sql, _sized, _summary, _with, _LINEAGE, _VALID, query
+from .queries import _calls, _joined, _nodes, _resolved, _rollup_sql, _summary, _with, _LINEAGE, _VALID, query
 from .standins import ACC, HITS, INTERVALS, READS, SIZES, TREE, table
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gzip
 import io
 from collections.abc import Iterator
@@ -150,6 +151,12 @@ def _sequences(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=list(names))
 
 
+def _zipped(store, path) -> bool:
+    """Whether a file begins as a gzip does, whatever its name."""
+    with contextlib.closing(store.open(path)) as f:
+        return f.read() == 0x1F and f.read() == 0x8B
+
+
 def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, split: int = 64 << 20) -> DataFrame:
     """(source, ordinal, id, desc, seq, qual) of FASTQ files, plain or gzipped; ordinal numbers a file's records from 0. The first record that is malformed ends its file, or is an error if strict.
 
@@ -160,8 +167,9 @@ def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, spli
     rows = []
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
-        step = max(size, 1) if p.lower().endswith((".gz", ".bgz")) else split
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size = store.getFileStatus(path).getLen()
+        step = split if size > split and not _zipped(store, path) else max(size, 1)
         rows += [(p, at, min(size, at + step)) for at in range(0, max(size, 1), step)]
     stretches = spark.createDataFrame(rows, "path string, start long, end long").repartition(max(1, len(rows)))
     if len(rows) == len(paths):

@@ -122,6 +122,8 @@ def test_fastq_in_stretches(spark, tmp_path, split):
     with pytest.raises(Exception, match="malformed FASTQ"):
         files.read_fastq(spark, paths[1:], strict=True, split=split).collect()
     assert files.read_fastq(spark, paths[:1], strict=True, split=split).count() == len(records)
+    (tmp_path / "z.fq").write_bytes(gzip.compress("".join(records).encode()))
+    assert files.read_fastq(spark, [*paths[:1], str(tmp_path / "z.fq")], strict=True, split=split).count() == 2 * len(records)
     (tmp_path / "c.fq").write_text("".join(records) + "@cut\nACGT\n")
     assert files.read_fastq(spark, [str(tmp_path / "c.fq")], split=split).count() == len(records)
     with pytest.raises(Exception, match="malformed FASTQ"):
