@@ -92,7 +92,7 @@ def _stretch(path: str, start: int, end: int) -> Iterator[tuple[int, list[bytes]
         if start == 0:
             lines = iter(_open(path))
             while four := [x for _, x in zip(range(4), lines)]:
-                yield 0, four + [b""] * (4 - len(four))
+                yield end - sum(map(len, four)), four + [b""] * (4 - len(four))  # places have no meaning; the last record ends where the file does
         return
     with store.open_input_file(name) as f:
         f.seek(max(0, start - 1))
