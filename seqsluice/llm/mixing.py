@@ -12,8 +12,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 #: Rows of one source and size that are put in order together, about.
 TOGETHER = 1024
-#: Newton rounds at most, the longest step, and decimals of the dual variable that the rates use.
-ROUNDS, STRIDE, DECIMALS = 60, 4.0, 7
+#: Newton rounds at most and those of one plan, the longest step, and decimals of the dual variable that the rates use.
+ROUNDS, EACH, STRIDE, DECIMALS = 60, 3, 4.0, 7
 #: Rounded copies are counted in millionths; rounds in which words that are still missing are filled up.
 MICRO, FILLS = 1_000_000, 3
 RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -58,27 +58,37 @@ def tilts(sizes: DataFrame, sources: DataFrame, most: float = 2.0) -> DataFrame:
     target, is zero. A round sums gradient and Hessian by source in one aggregation and takes Newton's step; a step of over
     STRIDE is cut, and one that leaves the interval in which the root is known to lie halves it. Rounds end when no source
     moves by 10^-12. A source that takes `most` times everything has no finite x; it is null, and so it is without words."""
+    sources = materialise(sources, "mix-sources")
     open_ = (F.col("source_size") > 0) & (F.col("target") < most * F.col("source_size") * (1 - 1e-12))
-    state = sources.withColumn("x", F.when(open_, 0.0)).withColumns({"low": F.lit(None).cast("double"), "high": F.lit(None).cast("double"), "moved": F.when(open_, 1.0).otherwise(0.0)})
-    state = materialise(state, "mix-dual")
-    for _ in range(ROUNDS):
+    null = F.lit(None).cast("double")
+    state = sources.where(open_).withColumns({"x": F.lit(0.0), "low": null, "high": null, "moved": F.lit(1.0)})
+    narrow, made = sources.count() <= 200_000, None
+    for _ in range(ROUNDS // EACH):
+        new = state
+        for _ in range(EACH):
+            new = _round(sizes, F.broadcast(new) if narrow else new, most)
+        new = materialise(new, "mix-dual")
+        if made is not None:
+            discard(made)
+        state = made = new
         if state.where("moved > 1e-12").isEmpty():
             break
-        at = sizes.withColumnRenamed("source", "s").join(small(state.where("x IS NOT NULL").select("source", "mean", "x"), state), F.col("s").eqNullSafe(F.col("source")))
-        tilt = F.exp(F.col("x") * F.col("size") / F.col("mean"))
-        words = F.col("n") * F.col("size")
-        sums = at.groupBy("s").agg(F.sum(words * F.least(F.lit(most), tilt)).alias("sum"), F.sum(F.when(tilt < most, words * F.col("size") / F.col("mean") * tilt)).alias("h"))
-        now = state.join(sums, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("g", F.col("sum") - F.col("target"))
-        now = now.withColumns({"low": F.when(F.col("g") <= 0, F.col("x")).otherwise(F.col("low")), "high": F.when(F.col("g") > 0, F.col("x")).otherwise(F.col("high"))})
-        step = F.when(F.col("h") > 0, F.greatest(F.lit(-STRIDE), F.least(F.lit(STRIDE), -F.col("g") / F.col("h")))).when(F.col("g") > 0, -STRIDE).otherwise(STRIDE)
-        to = F.col("x") + step
-        outside = (to < F.col("low")) | (to > F.col("high"))
-        to = F.when(F.coalesce(outside, F.lit(False)) & F.col("low").isNotNull() & F.col("high").isNotNull(), (F.col("low") + F.col("high")) / 2).otherwise(to)
-        now = now.withColumn("to", to).withColumn("moved", F.coalesce(F.abs(F.col("to") - F.col("x")), F.lit(0.0))).withColumn("x", F.col("to"))
-        new = materialise(now.select(*state.columns), "mix-dual")
-        discard(state)
-        state = new
-    return state.select(*sources.columns, F.round("x", DECIMALS).alias("x"))
+    return state.select(*sources.columns, F.round("x", DECIMALS).alias("x")).unionByName(sources.where(~open_).withColumn("x", null))
+
+
+def _round(sizes: DataFrame, state: DataFrame, most: float) -> DataFrame:
+    """state after one of Newton's steps. Its columns are keys of the sums, so it is read once and rounds can follow each other in one plan."""
+    at = sizes.withColumnRenamed("source", "s").join(state, F.col("s").eqNullSafe(F.col("source")))
+    tilt = F.exp(F.col("x") * F.col("size") / F.col("mean"))
+    words = F.col("n") * F.col("size")
+    now = at.groupBy(*state.columns).agg(F.sum(words * F.least(F.lit(most), tilt)).alias("sum"), F.sum(F.when(tilt < most, words * F.col("size") / F.col("mean") * tilt)).alias("h"))
+    now = now.withColumn("g", F.col("sum") - F.col("target"))
+    now = now.withColumns({"low": F.when(F.col("g") <= 0, F.col("x")).otherwise(F.col("low")), "high": F.when(F.col("g") > 0, F.col("x")).otherwise(F.col("high"))})
+    step = F.when(F.col("h") > 0, F.greatest(F.lit(-STRIDE), F.least(F.lit(STRIDE), -F.col("g") / F.col("h")))).when(F.col("g") > 0, -STRIDE).otherwise(STRIDE)
+    to = F.col("x") + step
+    outside = F.coalesce((to < F.col("low")) | (to > F.col("high")), F.lit(False)) & F.col("low").isNotNull() & F.col("high").isNotNull()
+    now = now.withColumn("to", F.when(outside, (F.col("low") + F.col("high")) / 2).otherwise(to))
+    return now.withColumns({"moved": F.abs(F.col("to") - F.col("x")), "x": F.col("to")}).select(*state.columns)
 
 
 def allotted(sizes: DataFrame, sources: DataFrame, most: float = 2.0) -> DataFrame:
