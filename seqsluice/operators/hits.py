@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lineage as lin
@@ -36,9 +36,9 @@ def best_hits(hits: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def _first(hits: DataFrame, order: list[Column]) -> DataFrame:
-    """A query's first row in an order, as an aggregate: partial firsts meet, rows are never sorted."""
-    best = F.min_by(F.struct(*hits.columns), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    return hits.groupBy("qname").agg(best.alias("best")).select("best.*")
+    """A query's first row in an order. Spark limits ranks of a window before the shuffle, so a task passes one row a query on; an aggregate of structs (min_by) sorts as well and takes half as long again."""
+    by = Window.partitionBy("qname").orderBy(*order)
+    return hits.withColumn("_rn", F.row_number().over(by)).where("_rn = 1").drop("_rn")
 
 
 def _agreed(mode: str) -> tuple[Column, Column]:
