@@ -61,10 +61,13 @@ def concat_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select("ordinal", checked.alias("id"), F.col("r1.desc").alias("desc"), F.concat("r1.seq", F.lit("N"), "r2.seq").alias("seq"), F.concat("r1.qual", F.lit("!"), "r2.qual").alias("qual"))
 
 
-def interleave(pairs: DataFrame) -> DataFrame:
-    """R1, R2, R1, R2, ...: a record a row, numbered anew. A missing mate is an error."""
-    both = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.array("r1", "r2")).otherwise(F.raise_error(F.lit("streams of different lengths")).cast(pairs.select(F.array("r1", "r2").alias("x")).schema["x"].dataType))
-    return pairs.select("ordinal", F.posexplode(both).alias("mate", "r")).select((F.col("ordinal") * 2 + F.col("mate")).alias("ordinal"), "r.*")
+def interleave(pairs: DataFrame, strict: bool = True) -> DataFrame:
+    """R1, R2, R1, R2, ...: a record a row, numbered anew. A missing mate is an error, or leaves its number out if not strict."""
+    both = F.array("r1", "r2")
+    if strict:
+        lone = F.raise_error(F.lit("streams of different lengths")).cast(pairs.select(both.alias("x")).schema["x"].dataType)
+        both = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), both).otherwise(lone)
+    return pairs.select("ordinal", F.posexplode(both).alias("mate", "r")).where("r IS NOT NULL").select((F.col("ordinal") * 2 + F.col("mate")).alias("ordinal"), "r.*")
 
 
 def deinterleave(records: DataFrame, strict: bool = True) -> DataFrame:

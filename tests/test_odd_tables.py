@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from seqsluice import catalog
+from seqsluice.operators import reads
 
 
 @pytest.fixture()
@@ -48,3 +49,15 @@ def documents(spark, *rows):
 @pytest.mark.parametrize("ids", [(0, 1, 2, 4, 6), (1, 3, 4, 5, 7), (-3, 0, 2, 3), (0, 1, 2, 3)])
 def test_mates_of_files_of_different_lengths(spark, agree, ids):
     assert agree("fastq_pairs", **documents(spark, *[(i, f"some words {'ab'[i % 2] * (i + 5)} 1") for i in ids], (8, "12 34")))
+
+
+@pytest.mark.parametrize("ids", [(0, 1, 2), (1, 2, 3, 4), (0, 1, 10, 13, 21), (5, 5, 5, 5, 6, None, None)])
+def test_interleaved_documents_of_any_ids(spark, agree, ids):
+    assert len(agree("interleave", **documents(spark, *[(i, f"text {k}") for k, i in enumerate(ids)], (30, "")))) == len(ids) + 1
+
+
+def test_interleave_leaves_out_missing_mates_only_if_told(spark):
+    pairs = spark.createDataFrame([(0, ("a",), ("b",)), (1, ("c",), None), (2, None, ("f",))], "ordinal long, r1 struct<id string>, r2 struct<id string>")
+    with pytest.raises(Exception, match="streams of different lengths"):
+        reads.interleave(pairs).collect()
+    assert sorted(map(tuple, reads.interleave(pairs, strict=False).collect())) == [(0, "a"), (1, "b"), (2, "c"), (5, "f")]
