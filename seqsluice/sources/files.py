@@ -18,6 +18,8 @@ from ..session import running, settled
 from .bam import read_bam  # noqa: F401  beside the other readers
 
 ROWS = 10_000
+#: Bytes of short stretches or files that one task reads, where there are more of them than cores.
+TASK = 64 << 20
 #: Fixed value: what is outside the alphabet of proteins.
 OTHER = r"[^ACDEFGHIKLMNPQRSTVWYXBZJUO*.\-]"
 
@@ -87,19 +89,19 @@ def _stretch(path: str, start: int, end: int) -> Iterator[tuple[int, list[bytes]
     @ may begin a line of qualities, but only at a record's first line is the line after next a lone + and are the two between and after it as long as each other."""
     store, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
     with store.open_input_file(name) as f:
-        zipped = f.read(2) == b"\x1f\x8b"
-    if zipped:
-        if start == 0:
-            lines = iter(_open(path))
-            while four := [x for _, x in zip(range(4), lines)]:
-                yield end - sum(map(len, four)), four + [b""] * (4 - len(four))  # places have no meaning; the last record ends where the file does
-        return
-    with store.open_input_file(name) as f:
+        if f.read(2) == b"\x1f\x8b":
+            if start == 0:
+                lines = iter(_open(path))
+                while four := [x for _, x in zip(range(4), lines)]:
+                    yield end - sum(map(len, four)), four + [b""] * (4 - len(four))  # places have no meaning; the last record ends where the file does
+            return
         f.seek(max(0, start - 1))
-        stream = io.BufferedReader(f, 1 << 20)
+        stream = io.BufferedReader(f, min(1 << 20, max(1 << 13, end - start)))
         at = start - 1 + len(stream.readline()) if start else 0
+        if start and at >= end:
+            return
         window = [stream.readline() for _ in range(4)]
-        while start and window[3] and (record_of(window) is None):
+        while start and at < end and window[3] and (record_of(window) is None):
             at += len(window[0])
             window = [*window[1:], stream.readline()]
         if start and record_of(window) is None:
@@ -113,6 +115,7 @@ def _stretch(path: str, start: int, end: int) -> Iterator[tuple[int, list[bytes]
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(path, start, end, first, n, next, bad) of stretches: where the first record begins, how many there are, where the next one would begin, and whether one is malformed."""
     for b in batches:
+        rows = []
         for path, start, end in zip(*(c.to_pylist() for c in b.columns)):
             first, n, after, bad = None, 0, None, False
             for at, four in _stretch(path, start, end):
@@ -121,15 +124,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bad = True
                     break
                 n, after = n + 1, at + sum(map(len, four))
-            row = (path, start, end, first, n, after, bad)
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, (pa.string(), *[pa.int64()] * 5, pa.bool_()))], names=["path", "start", "end", "first", "n", "next", "bad"])
+            rows.append((path, start, end, first, n, after, bad))
+        kinds = (pa.string(), *[pa.int64()] * 5, pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "start", "end", "first", "n", "next", "bad"])
 
 
 def _fastq(strict: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held = 0
         for b in batches:
             for path, start, end, base in zip(*(c.to_pylist() for c in b.columns)):
-                rows: list[tuple] = []
                 for i, (_, four) in enumerate(_stretch(path, start, end)):
                     row = record_of(four)
                     if row is None:
@@ -137,10 +142,11 @@ def _fastq(strict: bool):
                             raise ValueError(f"malformed FASTQ record: {four[0][:80]!r}")
                         break
                     rows.append((path, base + i, *row))
-                    if len(rows) == ROWS:
+                    held += len(four[1]) + len(four[3])
+                    if len(rows) == ROWS or held >= TASK:
                         yield _sequences(rows)
-                        rows = []
-                yield _sequences(rows)
+                        rows, held = [], 0
+        yield _sequences(rows)
 
     return run
 
@@ -160,7 +166,7 @@ def _zipped(store, path) -> bool:
 def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, split: int = 64 << 20) -> DataFrame:
     """(source, ordinal, id, desc, seq, qual) of FASTQ files, plain or gzipped; ordinal numbers a file's records from 0. The first record that is malformed ends its file, or is an error if strict.
 
-    A plain file is read in stretches of `split` bytes, each a task: records that begin in a stretch are its own. A first pass counts
+    A plain file is read in stretches of `split` bytes, each a task, or several where they are short: records that begin in a stretch are its own. A first pass counts
     them, so that ordinals go on from stretch to stretch; where a stretch doesn't begin with the record that the one before left
     off at, something between is malformed. A gzip can't be entered in its middle, so it is one task's."""
     jvm = spark._jvm
@@ -171,10 +177,10 @@ def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, spli
         size = store.getFileStatus(path).getLen()
         step = split if size > split and not _zipped(store, path) else max(size, 1)
         rows += [(p, at, min(size, at + step)) for at in range(0, max(size, 1), step)]
-    stretches = spark.createDataFrame(rows, "path string, start long, end long").repartition(max(1, len(rows)))
+    n_tasks = max(1, min(len(rows), max(spark.sparkContext.defaultParallelism, sum(end - at for _, at, end in rows) // TASK + 1)))
+    stretches = spark.createDataFrame(rows, "path string, start long, end long").repartition(n_tasks)
     if len(rows) == len(paths):
         return stretches.select("path", "start", "end", F.lit(0).cast("long").alias("base")).mapInArrow(_fastq(strict), SEQUENCE)
-    n_stretches = len(rows)
     counted = settled(stretches.mapInArrow(_counted, "path string, start long, end long, first long, n long, next long, bad boolean"))
     by = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     left_off = F.max("next").over(by)
@@ -189,7 +195,7 @@ def read_fastq(spark: SparkSession, paths: list[str], strict: bool = False, spli
         rows = rows.withColumn("base", F.when((F.col("apart") & ~F.col("over")) | missed, broken).otherwise(F.col("base")))
     else:
         rows = rows.where(~F.col("ended"))
-    return rows.select("path", "start", "end", "base").repartition(n_stretches).mapInArrow(_fastq(strict), SEQUENCE)
+    return rows.select("path", "start", "end", "base").repartition(n_tasks).mapInArrow(_fastq(strict), SEQUENCE)
 
 
 def read_pairs(spark: SparkSession, first: list[str], second: list[str]) -> DataFrame:

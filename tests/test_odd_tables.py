@@ -5,6 +5,7 @@ import pytest
 
 from seqsluice import catalog
 from seqsluice.operators import reads
+from seqsluice.sources import files
 
 
 @pytest.fixture()
@@ -61,3 +62,11 @@ def test_interleave_leaves_out_missing_mates_only_if_told(spark):
     with pytest.raises(Exception, match="streams of different lengths"):
         reads.interleave(pairs).collect()
     assert sorted(map(tuple, reads.interleave(pairs, strict=False).collect())) == [(0, "a"), (1, "b"), (2, "c"), (5, "f")]
+
+
+def test_short_stretches_share_tasks(spark, tmp_path):
+    records = [f"@r{i}\nACGT\n+\nIIII\n" for i in range(300)]
+    (tmp_path / "a.fq").write_text("".join(records))
+    rows = files.read_fastq(spark, [str(tmp_path / "a.fq")], split=40)
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted((r.ordinal, r.id) for r in rows.collect()) == [(i, f"r{i}") for i in range(300)]
