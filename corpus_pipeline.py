@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqsluice.llm import decontaminate, jaccard_join, line_dedup, mixing, toxicity
-from seqsluice.llm.common import discard, materialise, table
+from seqsluice.llm.common import bounded, discard, materialise, table
 
 
 def _with_text(docs: DataFrame, text: str) -> DataFrame:
@@ -23,6 +23,7 @@ def _with_text(docs: DataFrame, text: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is at least 0.5 go."""
+    bounded(spark)
     index = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, index).where("score < 0.5").select(*docs.columns)
 
@@ -36,6 +37,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies one document stays, the least by id and text; of rows equal in both, the least by a hash of the whole row."""
+    bounded(spark)
     found = jaccard_join.join(docs)
     row = F.struct(*docs.columns)
     first = found.where("n_links > 0 AND is_first").groupBy("class_key").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))

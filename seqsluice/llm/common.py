@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that go to a Python worker at once. The JVM holds a batch in vectors and as a message, both grown by doubling, and the worker holds it again.
+BATCH_BYTES = 4 << 20
 
 #: Bytes of UTF-8 text to bytes of normalised text: A-Z lower-cased, digits, a-z and all of 0x80-0xFF kept, the rest blank.
 WORD_BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -69,6 +72,12 @@ def store_of(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:/", "file:///") if uri.startswith("file:/") else f"file://{uri}")
 
 
+def bounded(spark: SparkSession) -> None:
+    """From here on the session's batches for Python end at BATCH_BYTES, or before if it says so; Spark's own bound is 64 MB for each task."""
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH)) > BATCH_BYTES:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
 def text_bytes(col: str = "text") -> Column:
     """The text as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))

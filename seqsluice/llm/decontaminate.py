@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, key, materialise, packed, small, text_bytes, words_of
+from .common import WORD_BYTES, bounded, key, materialise, packed, small, text_bytes, words_of
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -216,23 +216,23 @@ def _hits(shared):
     return run
 
 
-def _report(shared, limit: float):
-    """Hits of the last block and of those before it, and what follows from them."""
+def _report(shared, limit: float, text: int):
+    """Hits of the last block and of those before it, and what follows from them. text: its place in the row; cleaned is null where it would be the same."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
-            texts = b.column(0).to_pylist()
+            texts = [t or b"" for t in b.column(2).field(text).cast(pa.binary()).to_pylist()]
             counts, hits = _found(shared.value, texts)
             out = []
-            for k, (data, n, old, had) in enumerate(zip(texts, counts, b.column(1).to_pylist(), b.column(2).to_pylist())):
+            for k, (data, n, old, had) in enumerate(zip(texts, counts, b.column(0).to_pylist(), b.column(1).to_pylist())):
                 spans, items = _together(shared.value, hits.get(k, []))
                 if old:
                     spans = [x for s in merged([*map(list, zip(old[::2], old[1::2])), *map(list, zip(spans[::2], spans[1::2]))]) for x in s]
                     items = sorted({*items, *had})
                 hit = sum(spans[1::2]) - sum(spans[::2])
-                out.append((cut(data, spans), n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0, hit > 0 and hit >= limit * n))
+                out.append((cut(data, spans) if spans else None, n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0, hit > 0 and hit >= limit * n))
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(3), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))], names=["row", *REPORT])
+            yield pa.RecordBatch.from_arrays([b.column(2), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))], names=["row", *REPORT])
 
     return run
 
@@ -264,6 +264,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, limit: float =
     Null texts and items have no words; a null item_id counts as the empty text, and rows of one item_id are one item in
     the counts. An empty benchmark hits nothing. cleaned is null only where the text is. Columns of docs with the names of results are replaced.
     """
+    bounded(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     texts = docs.select(*key(), text_bytes().alias("data"))
     earlier: DataFrame | None = None
@@ -281,9 +282,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, limit: float =
     else:
         hits = materialise(earlier.groupBy("_d", "_t").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), "decontaminate-hits")
         state = state.join(small(hits), ["_d", "_t"], "left")
-    state = state.select(text_bytes().alias("data"), "spans", "items", "row")
-    out = state.mapInArrow(_report(sc.broadcast(Automaton(block)), limit), f"row {state.schema['row'].dataType.simpleString()}, cleaned binary, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, over_limit boolean")
-    cleaned = F.when(F.col("row.text").isNotNull(), F.col("cleaned").cast("string"))
+    state = state.select("spans", "items", "row")  # the text goes once, in its row
+    text = [f.name.lower() for f in state.schema["row"].dataType].index("text")
+    out = state.mapInArrow(_report(sc.broadcast(Automaton(block)), limit, text), f"row {state.schema['row'].dataType.simpleString()}, cleaned binary, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, over_limit boolean")
+    cleaned = F.when(F.col("row.text").isNotNull(), F.coalesce(F.col("cleaned").cast("string"), F.col("row.text").cast("string")))
     return out.select("row.*", cleaned.alias("cleaned"), *REPORT[1:])
 
 

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from seqsluice.llm import catalog
+from seqsluice.llm import catalog, common, decontaminate
 from seqsluice.llm.common import words_of
 
 
@@ -67,6 +67,39 @@ def test_one_of_every_class_stays(spark):
     assert {(r.doc_id, r.text) for r in got.collect()} >= {(7, a), (7, b), (None, c), (None, d)}
 
 
+def test_decontamination_takes_long_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """2,000 texts of 20 KB in one task: Python gets no batch beyond the bound and a row, and each text once."""
+    item = " ".join(f"i{k}" for k in range(12))
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", f"concat(repeat('Ab, ', 5000), IF(id % 500 = 0, '{item}', 'z')) AS text", "'s' AS source", "20001L AS n_chars")
+    sizes, real = str(tmp_path / "sizes"), decontaminate._report
+
+    def spied(*args):
+        inner = real(*args)
+
+        def run(batches):
+            def seen():
+                for b in batches:
+                    with open(sizes, "a") as f:
+                        f.write(f"{b.nbytes}\n")
+                    yield b
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(decontaminate, "_report", spied)
+    before = spark.conf.get(common.BATCH)
+    spark.conf.unset(common.BATCH)
+    try:
+        got = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(common.BATCH, before)
+    assert len(got) == 2000 and all(r.text == "Ab, " * 5000 + ("" if r.doc_id % 500 == 0 else "z") for r in got)
+    seen = [int(x) for x in open(sizes)]
+    assert max(seen) < common.BATCH_BYTES + 100_000 and sum(seen) < 1.2 * 2000 * 20_001
+
+
 def test_catalog():
     assert len([q for q in catalog.queries() if q.startswith("op")]) == 10 and "pipeline" in catalog.queries()
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
